@@ -155,7 +155,8 @@ def _plain(col: Column, scale: int) -> Column:
     whole = F.floor(size).cast(f"decimal({38 - scale},0)")
     text = whole.cast("string")
     if scale:
-        part = (size - whole).cast(f"decimal({scale},{scale})") * F.lit(Decimal(10**scale))
+        # Remainder, not difference: the type of a difference would lose the last digit.
+        part = (size % F.lit(Decimal(1))).cast(f"decimal({scale},{scale})") * F.lit(Decimal(10**scale))
         digits = F.rtrim(F.lpad(part.cast(f"decimal({scale},0)").cast("string"), scale, "0"), F.lit("0"))
         text = F.when(digits == "", text).otherwise(F.concat(text, F.lit("."), digits))
     return F.when(number < 0, F.concat(F.lit("-"), text)).otherwise(text)

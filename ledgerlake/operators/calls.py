@@ -15,24 +15,56 @@ from ledgerlake.functions.text import clean_lower
 from ledgerlake.operators.parse import EVENT, _each_transaction
 
 _NODE = ("node_path", "parent_path", "calls_index")
+_FLUSH_ROWS = 50_000
 
 
-def _walk(tree: str) -> Iterator[tuple[str, str, str, dict]]:
-    """(path, parent path, sibling index, node) of every node; a root is its own parent."""
-    stack = [("", json.loads(tree))]
-    while stack:
-        parent, siblings = stack.pop()
-        if not isinstance(siblings, list):
-            continue
-        for index, node in enumerate(siblings):
-            path = f"{parent}/{index}" if parent else str(index)
-            yield path, parent or path, str(index), node
-            if isinstance(node, dict) and node.get("calls"):
-                stack.append((path, node["calls"]))
+def _tree_walker(kept: list[str], fields: list[str]):
+    """Arrow batches of call trees to Arrow batches of calls.
 
+    Everything the tasks need is inside this function, so executors do not have
+    to have the package installed.
+    """
+    names = [*kept, *_NODE, *fields]
+    flush_rows = _FLUSH_ROWS
+
+    def walk(tree: str) -> Iterator[tuple[str, str, str, dict]]:
+        """(path, parent path, sibling index, node); a root is its own parent."""
+        stack = [("", json.loads(tree))]
+        while stack:
+            parent, siblings = stack.pop()
+            if not isinstance(siblings, list):
+                continue
+            for index, node in enumerate(siblings):
+                node = node if isinstance(node, dict) else {}
+                path = f"{parent}/{index}" if parent else str(index)
+                yield path, parent or path, str(index), node
+                if node.get("calls"):
+                    stack.append((path, node["calls"]))
+
+    def text(value: object) -> str | None:
+        return value if value is None or isinstance(value, str) else json.dumps(value)
+
+    def emit(batch: pa.RecordBatch, origin: list[int], rows: list[tuple]) -> pa.RecordBatch:
+        picked = pa.array(origin, pa.int64())
+        arrays = [batch.column(name).take(picked) for name in kept]
+        arrays += [pa.array(column, pa.string()) for column in zip(*rows)]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    def nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            origin: list[int] = []
+            rows: list[tuple] = []
+            for row, tree in enumerate(batch.column("tree").to_pylist()):
+                for path, parent, index, node in walk(tree):
+                    origin.append(row)
+                    rows.append((path, parent, index, *[text(node.get(field)) for field in fields]))
+                    if len(rows) >= flush_rows:
+                        yield emit(batch, origin, rows)
+                        origin, rows = [], []
+            if rows:
+                yield emit(batch, origin, rows)
 
-def _text(value: object) -> str | None:
-    return value if value is None or isinstance(value, str) else json.dumps(value)
+    return nodes
 
 
 def flatten_calls(source: DataFrame) -> DataFrame:
@@ -61,21 +93,7 @@ def flatten_calls(source: DataFrame) -> DataFrame:
         [trees.schema[name] for name in kept] + [StructField(name, StringType()) for name in (*_NODE, *fields)]
     )
 
-    def nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            origin: list[int] = []
-            columns: list[list[str | None]] = [[] for _ in range(len(_NODE) + len(fields))]
-            for row, tree in enumerate(batch.column("tree").to_pylist()):
-                for path, parent, index, node in _walk(tree):
-                    node = node if isinstance(node, dict) else {}
-                    origin.append(row)
-                    for column, value in zip(columns, (path, parent, index, *(_text(node.get(f)) for f in fields))):
-                        column.append(value)
-            taken = [batch.column(name).take(pa.array(origin, pa.int64())) for name in kept]
-            arrays = taken + [pa.array(column, pa.string()) for column in columns]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *_NODE, *fields])
-
-    flat = trees.mapInArrow(nodes, out)
+    flat = trees.mapInArrow(_tree_walker(kept, fields), out)
     tx = F.col("calls_transaction_hash")
     return flat.select(
         F.concat(tx, F.lit("/"), "node_path").alias("calls_id"),

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerlake.plans import metric_queries  # noqa: F401
+from ledgerlake.plans import (  # noqa: F401
+    expression_queries,
+    ledger_queries,
+    metric_queries,
+    source_queries,
+)
 from ledgerlake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -14,8 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.parse import envelope
 from ledgerlake.operators.spine import spine_days
 from ledgerlake.operators.transfers import TRANSFER_TOPIC
+from ledgerlake.session import scratch_path
 
 DAY = "2001-06-30"
 EVENT_DAY = "2024-01-15"
@@ -290,8 +292,13 @@ def _block_document() -> str:
 
 
 def block_documents(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    """Raw documents in column ``info``."""
-    seeds = load(spark, sf_dir, "orders").selectExpr(
+    """Raw documents in column ``info``.
+
+    The orders may come in few files; the small seed rows are spread before the
+    documents are built.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seeds = load(spark, sf_dir, "orders").repartition(tasks, "o_orderkey").selectExpr(
         "o_orderkey as k",
         "o_custkey as c",
         "cast(round(o_totalprice * 100) as bigint) as pc",
@@ -302,14 +309,27 @@ def block_documents(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return seeds.selectExpr(f"{_block_document()} as info", *keep)
 
 
-BLOCKS_SQL = """j AS (
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def source_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The envelope table of the documents, written once per application to the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED:
+        path = scratch_path(spark, "source")
+        envelope(block_documents(spark, sf_dir)).write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])
+
+
+BLOCKS_SQL = """seed AS (
   SELECT o_orderkey AS k, o_custkey AS c, CAST(round(o_totalprice * 100) AS BIGINT) AS pc,
          4365000 + o_orderkey * 200 AS b,
          date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 + (o_orderkey * 37) % 86400 AS e
   FROM orders),
 jt AS (
   SELECT *, strftime(date_time, '%H') AS dh, CAST(date_time AS DATE) AS transaction_date
-  FROM (SELECT *, CASE WHEN k % 503 <> 502 AND k % 501 <> 500 THEN make_timestamp(e * 1000000) END AS date_time FROM j)),
+  FROM (SELECT *, CASE WHEN k % 503 <> 502 AND k % 501 <> 500 THEN make_timestamp(e * 1000000) END AS date_time FROM seed)),
 tx AS (SELECT * FROM jt, unnest(range(k % 4)) AS u(j)),
 lg AS (SELECT * FROM tx, unnest(range((k + j) % 3)) AS u(i) WHERE NOT (k % 17 = 16 AND j = 0))"""
 

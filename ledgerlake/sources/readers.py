@@ -52,25 +52,18 @@ def scan(
     return df.where(between_days(df, column, first, last))
 
 
-def read_raw(spark: SparkSession, root: str, day: str | dt.date, lookback: int = 2) -> DataFrame:
+def read_raw(
+    spark: SparkSession, root: str, day: str | dt.date, lookback: int = 2, files: str = "*.log"
+) -> DataFrame:
     """Raw log lines that arrived on ``day`` or up to ``lookback`` days before.
 
     Below ``root`` lie ``local_date=.../<dir>/<dir>/*.log``. Only the wanted
-    arrival folders are listed, in one scan.
+    arrival folders are listed, in one scan; a day without a folder is no error.
     """
     day = as_date(day)
-    days = [day - dt.timedelta(days=n) for n in range(lookback + 1)]
-    return raw_lines(spark, root, [d.isoformat() for d in days])
-
-
-def raw_lines(spark: SparkSession, root: str, arrivals: list[str] | None = None) -> DataFrame:
-    wanted = "*" if arrivals is None else "{" + ",".join(arrivals) + "}"
-    return (
-        spark.read.option("basePath", root)
-        .option("recursiveFileLookup", "false")
-        .text(f"{root.rstrip('/')}/local_date={wanted}/*/*/*.log")
-        .select(F.col("value").alias("info"))
-    )
+    days = ",".join((day - dt.timedelta(days=n)).isoformat() for n in range(lookback + 1))
+    path = f"{root.rstrip('/')}/local_date={{{days}}}/*/*/{files}"
+    return spark.read.text(path).select(F.col("value").alias("info"))
 
 
 def jdbc_options(
