@@ -8,6 +8,7 @@ report with an overflow flag.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -71,27 +72,43 @@ def _many_limbs(digits: Column) -> Column:
     return F.ltrim(joined, F.lit("0"))
 
 
+def once(col: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(col)`` with ``col`` computed a single time, however often ``use`` names it.
+
+    A plain expression repeats its input wherever it is named, and does so again
+    at every level it is nested in.
+    """
+    return F.transform(F.array(col), use)[0]
+
+
+def _from_digits(digits: Column) -> Column:
+    length = F.length(digits)
+    return (
+        F.when(length == 0, F.lit("0"))
+        .when(length <= 15, F.conv(digits, 16, 10))
+        .when(length <= 30, _two_limbs(digits))
+        .when(length > 30, _many_limbs(digits))
+    )
+
+
+def _decode(text: Column) -> Column:
+    """Clean lower-case text; anything but hex digits (after an optional 0x) gives null."""
+    digits = F.when(text.rlike("^(0x)?[0-9a-f]+$"), F.ltrim(text, F.lit("0x")))
+    return once(digits, _from_digits)
+
+
 def hex_to_decimal(col: Column) -> Column:
     """Hex text of any length, with or without ``0x``, as exact decimal digits.
 
     Blank, a bare ``0x`` and text that is not hex give null.
     """
-    digits = F.regexp_replace(F.lower(strip(col)), "^0x", "")
-    significant = F.ltrim(digits, F.lit("0"))
-    length = F.length(significant)
-    return (
-        F.when(~digits.rlike("^[0-9a-f]+$"), F.lit(None))
-        .when(length == 0, F.lit("0"))
-        .when(length <= 15, F.conv(significant, 16, 10))
-        .when(length <= 30, _two_limbs(significant))
-        .otherwise(_many_limbs(significant))
-    )
+    return once(F.lower(strip(col)), _decode)
 
 
 def integer_text(col: Column) -> Column:
-    """Hex text decoded, any other text as it is, blank as null."""
-    text = F.lower(strip(col))
-    return F.when(text.startswith("0x"), hex_to_decimal(text)).otherwise(F.nullif(text, F.lit("")))
+    """Hex text (marked by 0x) decoded, any other text as it is, blank as null."""
+    decode = lambda text: F.when(text.startswith("0x"), _decode(text)).otherwise(F.nullif(text, F.lit("")))
+    return once(F.lower(strip(col)), decode)
 
 
 def to_bigint(col: Column) -> Column:
@@ -100,28 +117,29 @@ def to_bigint(col: Column) -> Column:
 
 
 def unit_scale_text(digits: Column, decimals: Column) -> Column:
-    """Divide whole-number text by ``10^decimals`` by moving the point; exact, no trailing zeros."""
-    places = decimals.cast("int")
-    width = F.greatest(F.length(digits), places + 1)
-    padded = F.lpad(digits, width, F.lit("0"))
-    whole = F.left(padded, width - places)
-    whole = F.when(whole.rlike("[1-9]"), F.ltrim(whole, F.lit("0"))).otherwise(F.lit("0"))
-    fraction = F.rtrim(F.right(padded, places), F.lit("0"))
-    text = F.when(fraction == "", whole).otherwise(F.concat(whole, F.lit("."), fraction))
-    return F.when(digits.rlike("^[0-9]+$"), text)
+    """Divide whole-number text by ``10^decimals`` by moving the point; exact for any length, no trailing zeros."""
+
+    def move(state: Column) -> Column:
+        text, places = state["text"], state["places"]
+        padded = F.lpad(text, F.greatest(F.length(text), places + 1), F.lit("0"))
+        whole = F.left(padded, F.length(padded) - places)
+        return F.rtrim(F.rtrim(F.concat(whole, F.lit("."), F.right(padded, places)), F.lit("0")), F.lit("."))
+
+    plain = F.when(digits.rlike("^[0-9]+$"), F.regexp_replace(digits, "^0+(?=[0-9])", ""))
+    return once(F.struct(plain.alias("text"), decimals.cast("int").alias("places")), move)
 
 
 def unit_scale(digits: Column, decimals: Column) -> Column:
-    """:func:`unit_scale_text` as ``decimal(38,18)``; null when it does not fit."""
-    return unit_scale_text(digits, decimals).try_cast(UNITS)
+    """Whole-number text over ``10^decimals`` as ``decimal(38,18)``; null when it does not fit."""
+    return F.concat(digits, F.lit("E-"), decimals.cast("string")).try_cast(UNITS)
 
 
 def wei_to_units(col: Column) -> Column:
     """A movement value: hex is a count of 10^-18 units, other text is already in units."""
-    text = F.lower(strip(col))
-    return F.when(
-        text.startswith("0x"), unit_scale(hex_to_decimal(text), F.lit(18))
-    ).otherwise(text.try_cast(UNITS))
+    scale = lambda text: F.when(text.startswith("0x"), unit_scale(_decode(text), F.lit(18))).otherwise(
+        text.try_cast(UNITS)
+    )
+    return once(F.lower(strip(col)), scale)
 
 
 def exact_amount(value: Column, price: Column) -> Column:
@@ -132,34 +150,43 @@ def exact_amount(value: Column, price: Column) -> Column:
     product. Null when the value has more than 19 whole digits, the price more
     than 10, or the product more than 19.
     """
-    value = value.try_cast("decimal(37,18)")
-    price = price.try_cast("decimal(28,18)")
+    wide = "decimal(37,18)"
 
     def parts(col: Column, digits: int) -> tuple[Column, Column]:
-        whole = F.when(col < 0, F.ceil(col)).otherwise(F.floor(col)).cast(f"decimal({digits},0)")
-        return whole, (col - whole).cast("decimal(18,18)")
+        part = (col % F.lit(Decimal(1))).cast("decimal(18,18)")
+        return (col - part).cast(f"decimal({digits},0)"), part
 
-    v_whole, v_part = parts(value, 19)
-    p_whole, p_part = parts(price, 10)
-    wide = "decimal(37,18)"
-    cross = ((v_whole * p_part).try_cast(wide) + v_part * p_whole).try_cast(wide)
-    tail = (v_part * p_part).cast("decimal(19,18)")
-    whole = (v_whole * p_whole).try_cast(wide)
-    small = (cross + tail).try_cast(wide)
-    return (whole + small).try_cast(UNITS)
+    def multiply(pair: Column) -> Column:
+        v_whole, v_part = pair["v_whole"], pair["v_part"]
+        p_whole, p_part = pair["p_whole"], pair["p_part"]
+        cross = ((v_whole * p_part).try_cast(wide) + v_part * p_whole).try_cast(wide)
+        small = (cross + (v_part * p_part).cast("decimal(19,18)")).try_cast(wide)
+        return ((v_whole * p_whole).try_cast(wide) + small).try_cast(UNITS)
+
+    def split(pair: Column) -> Column:
+        v_whole, v_part = parts(pair["value"], 19)
+        p_whole, p_part = parts(pair["price"], 10)
+        named = F.struct(
+            v_whole.alias("v_whole"), v_part.alias("v_part"), p_whole.alias("p_whole"), p_part.alias("p_part")
+        )
+        return once(named, multiply)
+
+    narrowed = F.struct(value.try_cast(wide).alias("value"), price.try_cast("decimal(28,18)").alias("price"))
+    return once(narrowed, split)
 
 
 def _plain(col: Column, scale: int) -> Column:
-    number = col.try_cast(f"decimal(38,{scale})")
-    size = F.abs(number)
-    whole = F.floor(size).cast(f"decimal({38 - scale},0)")
-    text = whole.cast("string")
-    if scale:
-        # Remainder, not difference: the type of a difference would lose the last digit.
-        part = (size % F.lit(Decimal(1))).cast(f"decimal({scale},{scale})") * F.lit(Decimal(10**scale))
-        digits = F.rtrim(F.lpad(part.cast(f"decimal({scale},0)").cast("string"), scale, "0"), F.lit("0"))
-        text = F.when(digits == "", text).otherwise(F.concat(text, F.lit("."), digits))
-    return F.when(number < 0, F.concat(F.lit("-"), text)).otherwise(text)
+    def show(number: Column) -> Column:
+        size = F.abs(number)
+        text = F.floor(size).cast(f"decimal({38 - scale},0)").cast("string")
+        if scale:
+            # Remainder, not difference: the type of a difference would lose the last digit.
+            part = (size % F.lit(Decimal(1))).cast(f"decimal({scale},{scale})") * F.lit(Decimal(10**scale))
+            digits = F.lpad(part.cast(f"decimal({scale},0)").cast("string"), scale, "0")
+            text = F.rtrim(F.rtrim(F.concat(text, F.lit("."), digits), F.lit("0")), F.lit("."))
+        return F.concat(F.when(number < 0, "-").otherwise(""), text)
+
+    return once(col.try_cast(f"decimal(38,{scale})"), show)
 
 
 def plain_decimal(col: Column) -> Column:

@@ -12,9 +12,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlake import schemas as S
 from ledgerlake.functions.text import clean_lower
-from ledgerlake.operators.parse import EVENT, _each_transaction
+from ledgerlake.operators.parse import EVENT
 
-_NODE = ("node_path", "parent_path", "calls_index")
+_INDEX, _HASH = "calls_transaction_index", "calls_transaction_hash"
+_NODE = (_INDEX, _HASH, "node_path", "parent_path", "calls_index")
 _FLUSH_ROWS = 50_000
 
 
@@ -27,9 +28,9 @@ def _tree_walker(kept: list[str], fields: list[str]):
     names = [*kept, *_NODE, *fields]
     flush_rows = _FLUSH_ROWS
 
-    def walk(tree: str) -> Iterator[tuple[str, str, str, dict]]:
+    def walk(siblings: object) -> Iterator[tuple[str, str, str, dict]]:
         """(path, parent path, sibling index, node); a root is its own parent."""
-        stack = [("", json.loads(tree))]
+        stack = [("", siblings)]
         while stack:
             parent, siblings = stack.pop()
             if not isinstance(siblings, list):
@@ -41,6 +42,19 @@ def _tree_walker(kept: list[str], fields: list[str]):
                 if node.get("calls"):
                     stack.append((path, node["calls"]))
 
+    def trees(index: str | None, tx_hash: str | None, tree: str | None, document: str | None):
+        """(index, hash, parsed tree): the one given, or those of a whole document."""
+        if document is None:
+            yield index, tx_hash, json.loads(tree)
+            return
+        try:
+            block = json.loads(document)
+        except ValueError:  # not JSON at all: no parser gets rows from it
+            return
+        for tx in block.get("transactions") or [] if isinstance(block, dict) else []:
+            base, trace = tx.get("base") or {}, tx.get("trace") or {}
+            yield text(base.get("transactionIndex")), text(base.get("hash")), trace.get("calls")
+
     def text(value: object) -> str | None:
         return value if value is None or isinstance(value, str) else json.dumps(value)
 
@@ -54,13 +68,16 @@ def _tree_walker(kept: list[str], fields: list[str]):
         for batch in batches:
             origin: list[int] = []
             rows: list[tuple] = []
-            for row, tree in enumerate(batch.column("tree").to_pylist()):
-                for path, parent, index, node in walk(tree):
-                    origin.append(row)
-                    rows.append((path, parent, index, *[text(node.get(field)) for field in fields]))
-                    if len(rows) >= flush_rows:
-                        yield emit(batch, origin, rows)
-                        origin, rows = [], []
+            inputs = [batch.column(name).to_pylist() for name in ("index", "hash", "tree", "document")]
+            for row, given in enumerate(zip(*inputs)):
+                for index, tx_hash, tree in trees(*given):
+                    for path, parent, sibling, node in walk(tree):
+                        origin.append(row)
+                        values = [text(node.get(field)) for field in fields]
+                        rows.append((index, tx_hash, path, parent, sibling, *values))
+                        if len(rows) >= flush_rows:
+                            yield emit(batch, origin, rows)
+                            origin, rows = [], []
             if rows:
                 yield emit(batch, origin, rows)
 
@@ -71,38 +88,40 @@ def flatten_calls(source: DataFrame) -> DataFrame:
     """Every internal call below every transaction's trace.
 
     The level of nesting is open, so the tree text is walked in one Arrow pass
-    inside the tasks (an explicit stack, no recursion limit); parsing the block,
-    cleaning and typing stay JVM expressions. ``calls_id`` is the transaction
-    hash plus the node's path, so a retried task gives the same ids; a root's
-    parent is itself.
+    inside the tasks (an explicit stack); parsing the block, cleaning and typing
+    stay JVM expressions. A block whose tree is too deep for the JSON writer to
+    hand over as text goes to the tasks as a whole document instead.
+    ``calls_id`` is the transaction hash plus the node's path, so a retried task
+    gives the same ids; a root's parent is itself.
     """
     shape = S.transactions_of(base=S.texts(["transactionIndex", "hash"]), trace=S.texts(["calls"]))
+    options = {**S.JSON_OPTIONS, "columnNameOfCorruptRecord": "unread"}
+    parsed = source.select(*EVENT, F.from_json("info", shape.add("unread", StringType()), options).alias("block"))
+    item = "struct<index: string, hash: string, tree: string, document: string>"
+    nothing = F.lit(None).cast("string")
+    usual = F.transform(
+        "block.transactions",
+        lambda tx: F.struct(tx["base"]["transactionIndex"], tx["base"]["hash"], tx["trace"]["calls"], nothing).cast(item),
+    )
+    whole = F.array(F.struct(nothing, nothing, nothing, F.col("block.unread")).cast(item))
     trees = (
-        _each_transaction(source, shape)
-        .where(F.col("tx.trace.calls").isNotNull())
-        .select(
-            *EVENT,
-            clean_lower(F.col("tx.base.transactionIndex")).alias("calls_transaction_index"),
-            clean_lower(F.col("tx.base.hash")).alias("calls_transaction_hash"),
-            F.col("tx.trace.calls").alias("tree"),
-        )
+        parsed.select(*EVENT, F.inline(F.when(F.col("block.unread").isNotNull(), whole).otherwise(usual)))
+        .where(F.col("tree").isNotNull() | F.col("document").isNotNull())
     )
-    kept = [name for name in trees.columns if name != "tree"]
-    fields = list(S.CALL_FIELDS)
+    kept, fields = list(EVENT), list(S.CALL_FIELDS)
     out = StructType(
         [trees.schema[name] for name in kept] + [StructField(name, StringType()) for name in (*_NODE, *fields)]
     )
-
     flat = trees.mapInArrow(_tree_walker(kept, fields), out)
-    tx = F.col("calls_transaction_hash")
+    tx = clean_lower(F.col(_HASH))
     return flat.select(
         F.concat(tx, F.lit("/"), "node_path").alias("calls_id"),
         F.concat(tx, F.lit("/"), "parent_path").alias("calls_parent_id"),
         "calls_index",
         *[clean_lower(F.col(f"`{field}`")).alias(column) for field, column in S.CALL_FIELDS.items()],
         "block_number",
-        "calls_transaction_index",
-        "calls_transaction_hash",
+        clean_lower(F.col(_INDEX)).alias(_INDEX),
+        tx.alias(_HASH),
         "dh",
         "date_time",
         "transaction_date",

@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from ledgerlake import schemas as S
 from ledgerlake.functions.dates import epoch_to_ts, hour_key
 from ledgerlake.functions.numbers import to_bigint
-from ledgerlake.functions.text import clean, clean_lower, json_field
+from ledgerlake.functions.text import clean, clean_lower
 
 TIMES = ("dh", "date_time", "transaction_date")
 EVENT = ("block_number", *TIMES)
@@ -27,12 +27,13 @@ def envelope(df: DataFrame, info: str = "info", keep: tuple[str, ...] = ()) -> D
 
     A missing or non-numeric timestamp gives null times.
     """
+    header = F.from_json(info, S.texts(["number", "timestamp"]), S.JSON_OPTIONS)
     return (
-        df.withColumn("date_time", epoch_to_ts(json_field(F.col(info), "$.timestamp")))
-        .withColumn("block_number", to_bigint(json_field(F.col(info), "$.number")))
+        df.withColumn("_header", header)
+        .withColumn("date_time", epoch_to_ts(clean(F.col("_header.timestamp"))))
         .select(
             F.col(info).alias("info"),
-            "block_number",
+            to_bigint(F.col("_header.number")).alias("block_number"),
             hour_key(F.col("date_time")).alias("dh"),
             "date_time",
             *keep,
@@ -47,12 +48,12 @@ def _fields(parent: str, fields: Mapping[str, str]) -> list[Column]:
 
 def _each_transaction(source: DataFrame, shape: StructType) -> DataFrame:
     """One row per transaction; blocks without transactions give none."""
-    parsed = F.from_json("info", shape).getField("transactions")
+    parsed = F.from_json("info", shape, S.JSON_OPTIONS).getField("transactions")
     return source.select(*EVENT, F.explode(parsed).alias("tx"))
 
 
 def parse_blocks(source: DataFrame) -> DataFrame:
-    header = F.from_json("info", S.texts(S.BLOCK_FIELDS))
+    header = F.from_json("info", S.texts(S.BLOCK_FIELDS), S.JSON_OPTIONS)
     return source.select(*EVENT, header.alias("block")).select(
         *_fields("block", S.BLOCK_FIELDS), "block_number", *TIMES
     )
@@ -123,7 +124,7 @@ def parse_uncles(source: DataFrame) -> DataFrame:
     """Uncles with a hash; their own time is UTC."""
     shape = S.doc(uncles=ArrayType(S.texts([*S.UNCLE_FIELDS, "time"])))
     return (
-        source.select(*EVENT, F.explode(F.from_json("info", shape).getField("uncles")).alias("uncle"))
+        source.select(*EVENT, F.explode(F.from_json("info", shape, S.JSON_OPTIONS).getField("uncles")).alias("uncle"))
         .select(
             "block_number",
             *_fields("uncle", S.UNCLE_FIELDS),

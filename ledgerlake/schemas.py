@@ -10,6 +10,9 @@ from collections.abc import Mapping
 
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+# The parser's own limit of 1000 levels would turn a block with a deep call tree into nulls.
+JSON_OPTIONS = {"maxNestingDepth": "1000000"}
+
 # Document field -> column, in table order. Fixed by the raw format.
 BLOCK_FIELDS = {
     "difficulty": "difficulty",

@@ -27,21 +27,28 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
+def local_session(cores: int | str = 8, memory: str = "12g", shared: str | None = None) -> SparkSession:
     """Single-machine session for tests and the bench."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ledgerlake")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
     )
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
 
 
+# Folders made for local sessions that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -52,11 +59,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    named = tempfile.mkdtemp(prefix="ledgerlake-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="ledgerlake-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
