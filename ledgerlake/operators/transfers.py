@@ -26,9 +26,8 @@ def select_transfer_logs(logs: DataFrame, tokens: DataFrame, topic: str = TRANSF
 
 def decode_transfers(logs: DataFrame) -> DataFrame:
     """Parties from topics 1 and 2, raw value (exact digits) from the data word."""
-    topics = split_json_list(F.col("logs_topics"))
-    party = lambda n: F.concat(F.lit("0x"), F.right(topics[n], F.lit(ADDRESS_DIGITS)))
-    return logs.select(
+    party = lambda n: F.concat(F.lit("0x"), F.right(F.col("_topics")[n], F.lit(ADDRESS_DIGITS)))
+    return logs.withColumn("_topics", split_json_list(F.col("logs_topics"))).select(
         "block_number",
         "logs_address",
         party(1).alias("from_address"),

@@ -10,9 +10,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ledgerlake.functions.dates import as_date
 from ledgerlake.operators import activity, calls, entities, flows, metrics, native, parse, rankings, totals, transfers
@@ -46,7 +45,15 @@ class Warehouse:
     windows: Windows = field(default_factory=Windows)
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}")
+        try:
+            return self.spark.read.parquet(f"{self.root}/{table}")
+        except AnalysisException as error:
+            layer, name = table.split("/")
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA" or name not in PARSERS:
+                raise
+            # Written, but no block had such a part yet: no file to take the columns from.
+            none = PARSERS[name](parse.envelope(self.spark.createDataFrame([], "info string")))
+            return none.drop("dh") if layer == "ods" else none
 
     def known(self, table: str, like: DataFrame) -> DataFrame:
         """The table, or no rows when it was never written."""
