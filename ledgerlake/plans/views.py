@@ -11,7 +11,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.parse import envelope
@@ -309,19 +311,24 @@ def block_documents(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return seeds.selectExpr(f"{_block_document()} as info", *keep)
 
 
-_STAGED: dict[tuple[str, str], str] = {}
+_STAGED: dict[tuple[str, str, str], str] = {}
 
 
-def source_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The envelope table of the documents, written once per application to the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table made from the given ones, written once per application to the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
-        path = scratch_path(spark, "source")
-        envelope(block_documents(spark, sf_dir)).write.parquet(path)
+        path = scratch_path(spark, name)
+        build().write.parquet(path)
         _STAGED[key] = path
     return spark.read.parquet(_STAGED[key])
 
 
+def source_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The envelope table of the documents."""
+    return _staged(spark, sf_dir, "source", lambda: envelope(block_documents(spark, sf_dir)))
+
+
 BLOCKS_SQL = """seed AS (
   SELECT o_orderkey AS k, o_custkey AS c, CAST(round(o_totalprice * 100) AS BIGINT) AS pc,
          4365000 + o_orderkey * 200 AS b,
@@ -349,15 +356,15 @@ TOKENS_SQL = f"""tok AS (
 
 
 def token_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Highest order price per token and day; a third of the orders sets none."""
-    return (
-        load(spark, sf_dir, "orders")
-        .where("o_orderkey % 3 <> 0")
-        .groupBy(
-            F.expr("concat('tok-', cast((o_orderkey * 7) % 2500 as string))").alias("id"),
-            F.to_date("o_orderdate").alias("transaction_date"),
-        )
-        .agg(F.max(F.col("o_totalprice").cast("decimal(18,2)")).alias("price_us"))
+    """Highest order price per token and day, as a table; a third of the orders sets none."""
+    quotes = load(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0")
+    token = F.expr("concat('tok-', cast((o_orderkey * 7) % 2500 as string))")
+    return _staged(spark, sf_dir, "token-price", lambda: _highest_price(quotes, token))
+
+
+def _highest_price(quotes: DataFrame, asset: Column) -> DataFrame:
+    return quotes.groupBy(asset.alias("id"), F.to_date("o_orderdate").alias("transaction_date")).agg(
+        F.max(F.col("o_totalprice").cast("decimal(18,2)")).alias("price_us")
     )
 
 
@@ -368,15 +375,10 @@ TOKEN_PRICES_SQL = """pr AS (
 
 
 def native_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Highest order price per day for two assets, many days without one."""
-    return (
-        load(spark, sf_dir, "orders")
-        .groupBy(
-            F.expr("case when o_orderkey % 5 = 0 then 'ethereum' else 'other' end").alias("id"),
-            F.to_date("o_orderdate").alias("transaction_date"),
-        )
-        .agg(F.max(F.col("o_totalprice").cast("decimal(18,2)")).alias("price_us"))
-    )
+    """Highest order price per day for two assets, as a table; many days have none."""
+    quotes = load(spark, sf_dir, "orders")
+    asset = F.expr("case when o_orderkey % 5 = 0 then 'ethereum' else 'other' end")
+    return _staged(spark, sf_dir, "native-price", lambda: _highest_price(quotes, asset))
 
 
 NATIVE_PRICES_SQL = """np AS (
