@@ -16,7 +16,12 @@ GRAINS = ("day", "week", "month")
 
 def epoch_to_ts(seconds: Column) -> Column:
     """Epoch seconds as UTC time; text that is not a whole number gives null."""
-    return F.timestamp_add("SECOND", seconds.try_cast("bigint"), F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    return F.timestamp_add("SECOND", seconds.try_cast("bigint"), midnight(dt.date(1970, 1, 1)))
+
+
+def midnight(day: dt.date) -> Column:
+    """Start of a day; made from text, because a datetime literal would be read in the session's time zone."""
+    return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
 def hour_key(ts: Column) -> Column:

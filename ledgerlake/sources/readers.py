@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
-from ledgerlake.functions.dates import as_date, period_range
+from ledgerlake.functions.dates import as_date, midnight, period_range
 
 
 def table(spark: SparkSession, source: str) -> DataFrame:
@@ -26,9 +26,8 @@ def between_days(df: DataFrame, column: str, first: dt.date | None, last: dt.dat
         low = None if first is None else F.col(column) >= F.lit(first)
         high = None if last is None else F.col(column) <= F.lit(last)
     else:
-        start = lambda day: F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
-        low = None if first is None else F.col(column) >= start(first)
-        high = None if last is None else F.col(column) < start(last + dt.timedelta(days=1))
+        low = None if first is None else F.col(column) >= midnight(first)
+        high = None if last is None else F.col(column) < midnight(last + dt.timedelta(days=1))
     conditions = [c for c in (low, high) if c is not None]
     if not conditions:
         return F.lit(True)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import calls, parse
+from ledgerlake.sources.readers import scan
 
 
 def nested(depth):
@@ -115,11 +116,15 @@ def test_uncles_need_a_hash(source):
         ("0xu", dt.datetime(2018, 12, 31, 23, 46, 40), 3)]
 
 
-def test_results_do_not_depend_on_the_session_time_zone(spark, source):
-    before = [tuple(r) for r in parse.parse_blocks(source).select("block_number", "dh", F.col("date_time").cast("string")).collect()]
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, source, zone):
+    shown = lambda df: sorted(map(str, df.select("block_number", "dh", F.col("date_time").cast("string"), "transaction_date").collect()))
+    scanned = lambda: spark.createDataFrame([(json.dumps(d),) for d in DOCUMENTS], "info string")
+    want = shown(source)
+    spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        after = [tuple(r) for r in parse.parse_blocks(source).select("block_number", "dh", F.col("date_time").cast("string")).collect()]
+        again = parse.envelope(scanned())
+        assert shown(again) == want
+        assert shown(scan(again, on="2019-01-01", column="date_time")) == shown(again.where("transaction_date = date'2019-01-01'"))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert after == before
