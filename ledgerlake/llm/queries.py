@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import exact_dedup, language_id
+from ledgerlake.llm import class_lm, decontaminate, exact_dedup, language_id, warc_zip
 from ledgerlake.llm.common import ascii_lower, fold, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,55 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = language_id.sample(docs.filter(fold("doc_id", 3) != 1), "text", "lang")
     marked = language_id.identify(docs, labelled).select("row.doc_id", "lang_pred", "score")
     return marked.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under the class model of the rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = class_lm.train(docs.filter(fold("doc_id", 7) != 2))
+    return class_lm.score(docs, model).select(
+        "doc_id",
+        (fold("doc_id", 7) == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+@register
+def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through packed archives and back."""
+    return warc_zip.round_trip(table(spark, sf_dir, "pages"), payload=False)
+
+
+ORACLES["op9_warc_zip"] = """
+WITH payloads AS (
+  SELECT page_id, url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+  FROM pages),
+fives AS (
+  SELECT *, list_transform(range(0, 40, 5), lambda i: CAST('0x' || substr(hex, CAST(i + 1 AS INT), 5) AS INT)) AS parts
+  FROM payloads),
+digests AS (
+  SELECT page_id, url, payload_bytes,
+    array_to_string(list_transform(parts, lambda v:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 15) % 32 + 1, 1) ||
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 10) % 32 + 1, 1) ||
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 5) % 32 + 1, 1) ||
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v % 32 + 1, 1)), '') AS payload_digest
+  FROM fives),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM digests)
+SELECT page_id, url, payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM firsts
+"""
+
+
+@register
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages, with the items."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("mark")
