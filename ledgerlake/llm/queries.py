@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import class_lm, decontaminate, exact_dedup, language_id, warc_zip
+from ledgerlake.llm import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, packing, warc_zip
 from ledgerlake.llm.common import ascii_lower, fold, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +102,40 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages, with the items."""
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("mark")
+
+
+@register
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and link counts of near-equal documents."""
+    return jaccard_join.similar_classes(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_jaccard_join"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda w: w <> '') AS w FROM documents),
+shingles AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE
+    list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+sets AS (SELECT min(doc_id) AS first_id, count(*) AS copies, list_sort(s) AS s FROM shingles WHERE len(s) > 0 GROUP BY list_sort(s)),
+items AS (SELECT first_id, copies, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.first_id AS a, b.first_id AS b, any_value(b.copies) AS copies FROM items a JOIN items b ON a.x = b.x AND a.first_id <> b.first_id
+  GROUP BY a.first_id, b.first_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+reach(v, r) AS (SELECT a, b FROM links UNION SELECT reach.v, links.b FROM reach JOIN links ON reach.r = links.a),
+class_of AS (SELECT v, least(min(r), v) AS class_id FROM reach GROUP BY v),
+totals AS (SELECT a, sum(copies) AS linked, count(*) AS texts FROM links GROUP BY a),
+every AS (
+  SELECT s.doc_id, coalesce(c.class_id, e.first_id, s.doc_id) AS class_id,
+    CAST(coalesce(e.copies - 1, 0) + coalesce(t.linked, 0) AS BIGINT) AS n_links,
+    CAST(coalesce(t.texts, 0) AS BIGINT) AS n_linked_texts
+  FROM shingles s LEFT JOIN sets e ON list_sort(s.s) = e.s
+  LEFT JOIN class_of c ON c.v = e.first_id LEFT JOIN totals t ON t.a = e.first_id)
+SELECT *, doc_id = class_id AS kept FROM every
+"""
+
+
+@register
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
