@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, packing, warc_zip
+from ledgerlake.llm import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, licenses, packing, toxicity, warc_zip
 from ledgerlake.llm.common import ascii_lower, fold, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,28 @@ SELECT *, doc_id = class_id AS kept FROM every
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces in sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents; a document's path is source, language and id."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path")
+    )
+    found = licenses.scan(docs, "path", "text", ("doc_id",))
+    return found.select("row.doc_id", "path", "license", "similarity", "origin", "from_dir")
+
+
+@register
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.learn(*toxicity.sample(docs, labels.filter(fold("doc_id", 4) != 2)))
+    marked = toxicity.score(docs, model).select("row.doc_id", "score")
+    return marked.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
