@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, licenses, packing, toxicity, warc_zip
+from ledgerlake.llm import class_lm, decontaminate, exact_dedup, html_text, jaccard_join, language_id, licenses, packing, toxicity, warc_zip
 from ledgerlake.llm.common import ascii_lower, fold, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@register
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
