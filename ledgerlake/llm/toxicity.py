@@ -40,7 +40,7 @@ from ledgerlake.llm.common import small_slices
 SAMPLE_DOCS = 2500
 LEXICON = 300
 STEM_CHARS = range(4, 9)
-LEAST_SUPPORT, LEAST_SHARE, LEAST_ODDS = 3, 0.004, 2.5
+LEAST_SUPPORT, LEAST_SHARE, LEAST_ODDS = 4, 0.004, 2.5
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
 QUOTED, DENIED = 6, 7  # insult or threat, as rewritten
@@ -220,9 +220,9 @@ def learn_lexicon(texts: list[str], toxic: list[int]) -> dict[str, float]:
             continue
         odds = math.log((n + 0.5) / (n_toxic - n + 0.5)) - math.log((without[word] + 0.5) / (n_clean - without[word] + 0.5))
         if odds >= LEAST_ODDS:
-            ranked.append((-n * odds, word, odds))
+            ranked.append((-n * odds, -len(word), word, odds))  # of equal evidence the longest
     chosen: dict[str, float] = {}
-    for _, word, odds in sorted(ranked):
+    for _, _, word, odds in sorted(ranked):
         related = any(word.startswith(s) or s.startswith(word) for s in chosen)
         if not related and len(chosen) < LEXICON:
             chosen[word] = odds
