@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import ledgerlake
 from ledgerlake.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -35,6 +39,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Applications that have the package on their executors.
+_SHIPPED: set[str] = set()
+
+
+def in_tasks(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow``, with this package handed to the executors first: they need not have it installed."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(ledgerlake.__file__)
+        path = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-package-"), "ledgerlake.zip")
+        with zipfile.ZipFile(path, "w") as package:
+            for folder, _, names in os.walk(root):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    file = os.path.join(folder, name)
+                    package.write(file, os.path.join("ledgerlake", os.path.relpath(file, root)))
+        context.addPyFile(path)  # Spark serves it from the driver
+        _SHIPPED.add(context.applicationId)
+    return df.mapInArrow(function, schema)
+
+
 def small_slices(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of at most so many rows and about so many bytes."""
     for batch in batches:

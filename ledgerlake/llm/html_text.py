@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import small_slices
+from ledgerlake.llm.common import in_tasks, small_slices
 
 # --- blocks ---
 
@@ -263,4 +263,4 @@ def extract(pages: DataFrame, html_col: str = "html", carry: tuple[str, ...] = (
             texts = [main_text(page, tree) for page in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["row", "text"])
 
-    return narrow.mapInArrow(run, narrow.select("row", F.lit("").alias("text")).schema)
+    return in_tasks(narrow, run, narrow.select("row", F.lit("").alias("text")).schema)

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import small_slices, staged
+from ledgerlake.llm.common import in_tasks, small_slices, staged
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -128,7 +128,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 ["id", "hi", "lo", "size", "sig"],
             )
 
-    return narrow.mapInArrow(run, f"id {id_kind}, hi long, lo long, size int, sig array<int>")
+    return in_tasks(narrow, run, f"id {id_kind}, hi long, lo long, size int, sig array<int>")
 
 
 # --- chosen paths ---
@@ -263,7 +263,7 @@ def compare(pieces: DataFrame, threshold: float) -> DataFrame:
         yield batch()
 
     spread = pieces.repartition("leaf", "i", "j").sortWithinPartitions("leaf", "i", "j", "hi", "lo")
-    return spread.mapInArrow(run, "hi long, lo long, hi2 long, lo2 long, links long, linked long")
+    return in_tasks(spread, run, "hi long, lo long, hi2 long, lo2 long, links long, linked long")
 
 
 def in_blocks(members: DataFrame) -> DataFrame:
@@ -340,7 +340,7 @@ def similar_classes(
                 ["hi", "lo", "hashes"],
             )
 
-    hashes = texts.mapInArrow(again, "hi long, lo long, hashes binary")
+    hashes = in_tasks(texts, again, "hi long, lo long, hashes binary")
     hashes = hashes.groupBy("hi", "lo").agg(F.first("hashes").alias("hashes"))
     candidates = staged(hashes.join(met.drop("first_id"), ["hi", "lo"]), "candidate-sets")
     pieces = in_blocks(members).join(candidates, ["hi", "lo"])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import small_slices
+from ledgerlake.llm.common import in_tasks, small_slices
 
 SAMPLE_DOCS = 64
 SAMPLE_DOC_CHARS = 1000
@@ -219,7 +219,7 @@ def identify(
             )
 
     schema = narrow.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return narrow.mapInArrow(run, schema)
+    return in_tasks(narrow, run, schema)
 
 
 def keep_identified(docs: DataFrame, labelled: list[tuple[str, str]], text_col: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import small_slices, staged
+from ledgerlake.llm.common import in_tasks, small_slices, staged
 
 WINDOW = 1024
 DEPTH = 3
@@ -103,7 +103,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), *columns], names)
 
     names = ["id", "start", "length", "ids_crc32", "doc_tokens"]
-    return narrow.mapInArrow(run, f"id {id_kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    return in_tasks(narrow, run, f"id {id_kind}, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 # --- the plan, on the histogram ---
@@ -242,7 +242,8 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names)
 
     id_kind = cut.schema["id"].dataType.simpleString()
-    out = ranked.mapInArrow(
+    out = in_tasks(
+        ranked,
         run,
         f"id {id_kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import small_slices
+from ledgerlake.llm.common import in_tasks, small_slices
 
 SAMPLE_DOCS = 2500
 LEXICON = 300
@@ -292,4 +292,4 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", carry:
             scores = [model.score(t) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], ["row", "score"])
 
-    return narrow.mapInArrow(run, narrow.select("row", F.lit(0.0).alias("score")).schema)
+    return in_tasks(narrow, run, narrow.select("row", F.lit(0.0).alias("score")).schema)

@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import small_slices, staged, text_or_empty
+from ledgerlake.llm.common import in_tasks, small_slices, staged, text_or_empty
 from ledgerlake.session import scratch_path
 
 PACKAGE_BYTES = 256 << 20
@@ -262,7 +262,7 @@ def write_packages(records: DataFrame, folder: str, package_bytes: int = PACKAGE
         if package is not None:
             yield finish()
 
-    return staged(records.mapInArrow(run, "path string, bytes long, records long"), "package-manifest")
+    return staged(in_tasks(records, run, "path string, bytes long, records long"), "package-manifest")
 
 
 def list_records(manifest: DataFrame, folder: str) -> DataFrame:
@@ -290,7 +290,7 @@ def list_records(manifest: DataFrame, folder: str) -> DataFrame:
 
     # A list of files is a small table; without this one task would open them all.
     spread = manifest.select("path", "bytes").repartition(_parts(manifest, 4), "path")
-    return spread.mapInArrow(run, "path string, offset long, length long")
+    return in_tasks(spread, run, "path string, offset long, length long")
 
 
 def _parts(manifest: DataFrame, chunks: int) -> int:
@@ -322,7 +322,7 @@ def read_records(entries: DataFrame, manifest: DataFrame, folder: str, payload:
     chunk = F.expr(f"offset div {CHUNK_BYTES}")
     spread = entries.repartition(_parts(manifest, 1), "path", chunk).sortWithinPartitions("path", "offset")
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return spread.mapInArrow(run, schema + ", payload binary" * payload)
+    return in_tasks(spread, run, schema + ", payload binary" * payload)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0, payload: bool = True) -> DataFrame:
