@@ -5,17 +5,21 @@ are one class member from there on. Each set is embedded as ``COORDS`` minhash
 values. A run starts with all sets in one node; a node samples coordinates, on
 average 1 / ``LAMBDA`` of them, and hands each of its sets to the child that the
 set's value there names. Nodes of up to ``SMALL`` sets are leaves, at depth
-``DEPTH`` all others are too. In a leaf all pairs are compared exactly. Two sets
+``DEPTH`` all others are too. In a leaf all pairs are compared. Two sets
 whose similarity is the threshold share a leaf of one run with a probability
 that the recursion gives; the number of runs follows from ``TARGET``.
 
+In a leaf the minhash values themselves are compared first: pairs that agree in
+at least ``SKETCH`` of them (four standard deviations below the threshold) may
+be similar. Their connected components are the groups that are compared exactly,
+shingle by shingle, each pair of sets once; other sets are done.
+
 No pair of rows is ever emitted. Leaves with equal members are one leaf. Large
-leaves are cut into blocks, and each pair of blocks is a piece of work of its
-own, so no task holds more than two blocks. A pair that meets in several leaves
-counts in the first of them only. What leaves a block pair are the number of
-links of each set and the edges of a spanning forest; connected components are
-found by passing on the least label, with tables in the shared folder between
-the rounds.
+leaves and groups are cut into blocks, and each pair of blocks is a piece of
+work of its own, so no task holds more than two blocks. What leaves a block pair
+are the number of links of each set and the edges of a spanning forest;
+connected components are found by passing on the least label, with tables in the
+shared folder between the rounds.
 
 Words are lower-cased and parted by white space. Texts with fewer than five
 words have one shingle, all their words.
@@ -29,7 +33,7 @@ separate rows with the same class; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +50,7 @@ LAMBDA = 0.75
 SMALL = 32
 DEPTH = 3
 TARGET = 0.999
+SKETCH = 0.6
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1_000_000
 
@@ -142,15 +147,13 @@ def children(node: Column, sig: Column) -> Column:
 
 
 def leaves(sets: DataFrame, runs: int) -> DataFrame:
-    """(leaf, n, shingles, hi, lo): the members of all leaves with two or more sets, each membership once."""
+    """(part, n, hi, lo): the members of all leaves with two or more sets, each membership once."""
     picked = [F.xxhash64(F.lit(run), F.lit(k), F.get("sig", F.lit(k))) for run, k in root_coordinates(runs)]
-    rows = sets.select("hi", "lo", "size", F.explode(F.array(*picked)).alias("node"))
+    rows = sets.select("hi", "lo", F.explode(F.array(*picked)).alias("node"))
     levels, found = [], []
     for depth in range(1, DEPTH + 1):
         nodes = rows.groupBy("node").agg(
-            F.count("*").alias("n"),
-            F.sum("size").alias("shingles"),
-            F.bit_xor(F.xxhash64("hi", "lo")).alias("members"),
+            F.count("*").alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("members")
         )
         nodes = staged(nodes.filter("n > 1"), f"nodes-{depth}")
         large = nodes.filter(F.col("n") > SMALL) if depth < DEPTH else nodes.filter(F.lit(False))
@@ -159,21 +162,19 @@ def leaves(sets: DataFrame, runs: int) -> DataFrame:
         if large.isEmpty():
             break
         inside = rows.join(large.select("node"), "node").select("node", "hi", "lo")
-        split = inside.join(sets.select("hi", "lo", "size", "sig"), ["hi", "lo"])
-        rows = split.select("hi", "lo", "size", F.explode(children(F.col("node"), F.col("sig"))).alias("node"))
+        split = inside.join(sets.select("hi", "lo", "sig"), ["hi", "lo"])
+        rows = split.select("hi", "lo", F.explode(children(F.col("node"), F.col("sig"))).alias("node"))
         rows = staged(rows.distinct(), f"paths-{depth + 1}")
     distinct = None
     for nodes in found:
         distinct = nodes if distinct is None else distinct.unionByName(nodes)
-    kept = staged(
-        distinct.groupBy("n", "members").agg(F.min("node").alias("node"), F.first("shingles").alias("shingles")), "leaves"
-    )
+    kept = staged(distinct.groupBy("n", "members").agg(F.min("node").alias("node")), "leaves")
     members = None
     for rows in levels:
         here = rows.select("node", "hi", "lo").join(kept, "node")
         members = here if members is None else members.unionByName(here)
     # A set can come to one node twice, when two samples of a run agree.
-    return members.select(F.col("node").alias("leaf"), "n", "shingles", "hi", "lo").distinct()
+    return members.select(F.col("node").alias("part"), "n", "hi", "lo").distinct()
 
 
 # --- comparing ---
@@ -198,22 +199,25 @@ def overlaps(sets: list[np.ndarray], rows: range) -> np.ndarray:
     return out
 
 
-def compare_block(
-    sets: list[np.ndarray], side: np.ndarray, earlier: list[np.ndarray], threshold: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """(all similar pairs, those that meet in no earlier leaf) as boolean matrices; 0 and 1 in ``side`` are the blocks."""
-    n = len(sets)
-    shared = overlaps(sets, range(n))
+def exactly_similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which pairs of sets have a Jaccard similarity at the threshold or above, as a boolean matrix."""
+    shared = overlaps(sets, range(len(sets)))
     size = np.array([len(s) for s in sets])
-    similar = shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-9
+    return shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-9
+
+
+def maybe_similar(sigs: np.ndarray, share: float) -> np.ndarray:
+    """Which pairs of signatures agree in at least this share of their coordinates."""
+    agree = np.zeros((len(sigs), len(sigs)), dtype=np.int16)
+    for column in sigs.T:
+        agree += column[:, None] == column[None, :]
+    return agree >= share * sigs.shape[1]
+
+
+def between_blocks(similar: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """No pair of a row with itself; of two blocks only the pairs between them, the rest is other tasks' work."""
     np.fill_diagonal(similar, False)
-    if side.any():  # two blocks: pairs within a block are other tasks' work
-        similar &= side[:, None] != side[None, :]
-    known = np.unique(np.concatenate(earlier)) if earlier else np.empty(0)
-    met = np.zeros((n, len(known)), dtype=np.float32)
-    for k, own in enumerate(earlier):
-        met[k, np.searchsorted(known, own)] = 1
-    return similar, similar & (met @ met.T == 0)
+    return similar & (side[:, None] != side[None, :]) if side.any() else similar
 
 
 def spanning(similar: np.ndarray) -> list[tuple[int, int]]:
@@ -226,16 +230,16 @@ def spanning(similar: np.ndarray) -> list[tuple[int, int]]:
         label = least
 
 
-def compare(pieces: DataFrame, threshold: float) -> DataFrame:
-    """Links of every set and spanning edges (hi2, lo2 not null) from rows that a leaf's block pair has together."""
+LINKS = "hi long, lo long, hi2 long, lo2 long, links long, linked long"
+
+
+def compare(pieces: DataFrame, similar_pairs: Callable[[list[dict]], np.ndarray]) -> DataFrame:
+    """Links of every set, and spanning edges (hi2, lo2 not null), from the rows that a block pair has together."""
 
     def work(rows: list[dict]) -> list[tuple]:
-        sets = [np.frombuffer(r["hashes"], dtype=np.uint64) for r in rows]
-        side = np.array([r["side"] for r in rows])
-        earlier = [np.array([x for x in r["leaves"] if x < r["leaf"]], dtype=np.int64) for r in rows]
-        similar, fresh = compare_block(sets, side, earlier, threshold)
-        copies = np.array([r["copies"] for r in rows])
-        links, linked = fresh.sum(axis=1), fresh @ copies
+        rows = list({(r["hi"], r["lo"]): r for r in rows}.values())  # texts that repeat come more than once
+        similar = between_blocks(similar_pairs(rows), np.array([r["side"] for r in rows]))
+        links, linked = similar.sum(axis=1), similar @ np.array([r["copies"] for r in rows])
         key = [(r["hi"], r["lo"]) for r in rows]
         out = [(*key[k], None, None, int(links[k]), int(linked[k])) for k in links.nonzero()[0]]
         return out + [(*key[a], *key[b], 0, 0) for a, b in spanning(similar)]
@@ -250,7 +254,7 @@ def compare(pieces: DataFrame, threshold: float) -> DataFrame:
 
         for part in small_slices(batches, rows=256):
             for row in part.to_pylist():
-                here = (row["leaf"], row["i"], row["j"])
+                here = (row["part"], row["i"], row["j"])
                 if here != group and rows:
                     done += work(rows)
                     rows = []
@@ -262,14 +266,14 @@ def compare(pieces: DataFrame, threshold: float) -> DataFrame:
             done += work(rows)
         yield batch()
 
-    spread = pieces.repartition("leaf", "i", "j").sortWithinPartitions("leaf", "i", "j", "hi", "lo")
-    return in_tasks(spread, run, "hi long, lo long, hi2 long, lo2 long, links long, linked long")
+    spread = pieces.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "hi", "lo")
+    return in_tasks(spread, run, LINKS)
 
 
-def in_blocks(members: DataFrame) -> DataFrame:
+def in_blocks(members: DataFrame, blocks: Column) -> DataFrame:
     """One row per block pair that a member takes part in: i, j and the side it is on."""
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    own = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.hash("hi", "lo"), F.col("blocks")))
+    own = members.withColumn("blocks", F.ceil(blocks).cast("int"))
+    own = own.withColumn("own", F.pmod(F.hash("hi", "lo"), F.col("blocks")))
     paired = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return paired.select(
         *members.columns,
@@ -279,6 +283,13 @@ def in_blocks(members: DataFrame) -> DataFrame:
     )
 
 
+def forest(results: DataFrame) -> DataFrame:
+    """The edges (a, b) among compared rows."""
+    a = F.struct("hi", "lo")
+    b = F.struct(F.col("hi2").alias("hi"), F.col("lo2").alias("lo"))
+    return results.filter("hi2 is not null").select(a.alias("a"), b.alias("b"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, label) for every end of an edge (a, b): the least vertex of its component.
 
@@ -318,14 +329,21 @@ def similar_classes(
         ),
         "sets",
     )
-    members = staged(leaves(sets, runs_needed(threshold, target)), "leaf-members")
-    met = members.groupBy("hi", "lo").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
-    met = staged(met.join(sets.select("hi", "lo", "first_id", "copies"), ["hi", "lo"]), "candidates")
+    # Which sets may be similar: leaves, compared by signature.
+    members = leaves(sets, runs_needed(threshold, target)).join(sets.select("hi", "lo", "sig"), ["hi", "lo"])
+    sketched = in_blocks(members.withColumn("copies", F.lit(1)), F.col("n") / BLOCK_SETS)
+    near = compare(sketched, lambda rows: maybe_similar(np.array([r["sig"] for r in rows], dtype=np.int32), SKETCH))
+    groups = components(forest(staged(near, "near-sets")))
+    groups = groups.select("v.hi", "v.lo", F.xxhash64("label").alias("part")).join(
+        sets.select("hi", "lo", "first_id", "copies", "size"), ["hi", "lo"]
+    )
+    groups = staged(groups, "near-groups")
+    sizes = groups.groupBy("part").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
 
-    # The texts of the sets that met another one, as sets again.
-    wanted = met.select(F.col("first_id").alias("wanted")).distinct()
+    # The texts of these sets, as sets again.
+    wanted = groups.select(F.col("first_id").alias("wanted")).distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    texts = texts.join(staged(wanted, "near-ids"), F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in small_slices(batches):
@@ -341,14 +359,16 @@ def similar_classes(
             )
 
     hashes = in_tasks(texts, again, "hi long, lo long, hashes binary")
-    hashes = hashes.groupBy("hi", "lo").agg(F.first("hashes").alias("hashes"))
-    candidates = staged(hashes.join(met.drop("first_id"), ["hi", "lo"]), "candidate-sets")
-    pieces = in_blocks(members).join(candidates, ["hi", "lo"])
-    results = staged(compare(pieces, threshold), "links")
+    placed = groups.join(staged(sizes, "near-sizes"), "part").select("part", "n", "shingles", "copies", "hi", "lo")
+    blocks = F.greatest(F.col("n") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)
+    pieces = in_blocks(hashes.join(placed, ["hi", "lo"]), blocks)
+    exact = compare(
+        pieces, lambda rows: exactly_similar([np.frombuffer(r["hashes"], dtype=np.uint64) for r in rows], threshold)
+    )
+    results = staged(exact, "links")
 
     counts = results.filter("hi2 is null").groupBy("hi", "lo").agg(F.sum("links").alias("links"), F.sum("linked").alias("linked"))
-    edges = results.filter("hi2 is not null").select(F.struct("hi", "lo").alias("a"), F.struct(
-        F.col("hi2").alias("hi"), F.col("lo2").alias("lo")).alias("b"))
+    edges = forest(results)
     labels = components(edges).select("v.hi", "v.lo", "label")
     ids = sets.select("hi", "lo", "first_id")
     named = labels.join(ids, ["hi", "lo"])
