@@ -144,9 +144,9 @@ def contaminated(
     """Pairs of contaminated document and item: id, ``mark`` (hash of the text), item_id, windows matched."""
     found, widths = item_windows(benchmark, item_id_col, item_text_col)
     text = text_or_empty(text_col)
-    keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), marked_text(text).alias("marked"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     if not widths:
-        empty = keyed.filter(F.lit(False)).crossJoin(found.select(F.col("item").alias(item_id_col)).limit(0))
+        empty = texts.filter(F.lit(False)).crossJoin(found.select(F.col("item").alias(item_id_col)).limit(0))
         counts = [F.lit(0).cast("long").alias(c) for c in ("matched", "n_windows", "changed")]
         return empty.select(F.col("id").alias(id_col), "mark", item_id_col, *counts)
 
@@ -156,7 +156,8 @@ def contaminated(
         hashes = F.broadcast(hashes)
     template = as_tokens(without_values(F.col("marked")))
     met = (
-        keyed.select("id", "mark", template.alias("tokens"))
+        texts.select("id", "mark", marked_text(F.col("text")).alias("marked"))
+        .select("id", "mark", template.alias("tokens"))
         .select("id", "mark", F.explode(all_hashes(F.col("tokens"), widths)).alias("hash"))
         .join(hashes, "hash", "left_semi")
         .select("id", "mark")
@@ -166,7 +167,8 @@ def contaminated(
 
     # Step 2: places and values, for those documents alone.
     same = F.col("id").eqNullSafe(F.col("met_id")) & (F.col("mark") == F.col("met_mark"))
-    suspects = keyed.join(met, same, "left_semi").dropDuplicates(["id", "mark"])
+    suspects = texts.join(met, same, "left_semi").dropDuplicates(["id", "mark"])
+    suspects = suspects.select("id", "mark", marked_text(F.col("text")).alias("marked"))
     theirs = windows(suspects, ["id", "mark"], widths).select(
         "id", "mark", F.col("place").alias("doc_place"), "hash", F.col("slots").alias("doc_slots")
     )
