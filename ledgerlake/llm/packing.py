@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,12 +35,13 @@ WINDOW = 1024
 DEPTH = 3
 BUCKET = 50_000
 STEPS = 400
-CACHE = 1_000_000  # words whose ids a worker keeps
+CACHE = 1_500_000  # words whose ids a worker keeps
 
 # --- tokens ---
 
 # The tokenizer's own word pattern, for texts where both engines agree on letters, numbers and blanks.
 _WORD = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_ASCII_OTHER = re.compile("[\x1c-\x1f]")
 _OTHER = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbeɐ-\U0010ffff]")
 
 
@@ -58,7 +60,10 @@ class Encoder:
         out: list[bytes | None] = [None] * len(texts)
         split, missing = {}, set()
         for k, text in enumerate(texts):
-            if not text or _OTHER.search(text):
+            if text.isascii():
+                if _ASCII_OTHER.search(text):
+                    continue
+            elif _OTHER.search(text):
                 continue
             split[k] = _WORD.findall(text)
             missing.update(split[k])
@@ -76,7 +81,7 @@ class Encoder:
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]  # four bytes each, the lowest first
 
 
 _ENCODERS: dict[str, Encoder] = {}
