@@ -1,9 +1,8 @@
 """Exact numbers: hex words, unit scaling, money products, deterministic sums.
 
-Everything stays in JVM expressions. Raw integers travel as text because a
-256-bit word does not fit a 38-digit decimal; scaled values are
-``decimal(38,18)``, and a value outside that range becomes null, which callers
-report with an overflow flag.
+Everything stays in JVM expressions. Raw integers and scaled values travel as
+plain text, because a 256-bit word does not fit a 38-digit decimal; arithmetic
+on them is exact for any length.
 """
 
 from __future__ import annotations
@@ -11,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StringType
 
 from ledgerlake.functions.text import strip
 
 WHOLE = "decimal(38,0)"
-UNITS = "decimal(38,18)"
 
 _BASE_DIGITS = 28
 _LIMB_DIGITS = 8
@@ -129,78 +128,167 @@ def unit_scale_text(digits: Column, decimals: Column) -> Column:
     return once(F.struct(plain.alias("text"), decimals.cast("int").alias("places")), move)
 
 
-def unit_scale(digits: Column, decimals: Column) -> Column:
-    """Whole-number text over ``10^decimals`` as ``decimal(38,18)``; null when it does not fit."""
-    return F.concat(digits, F.lit("E-"), decimals.cast("string")).try_cast(UNITS)
+def _unsigned(text: Column) -> Column:
+    return F.ltrim(text, F.lit("-"))
+
+
+def _signed(text: Column, negative: Column) -> Column:
+    return F.when(negative & text.rlike("[1-9]"), F.concat(F.lit("-"), text)).otherwise(text)
+
+
+def _places(text: Column) -> Column:
+    """Number of decimals of a plain number."""
+    point = F.instr(text, ".")
+    return F.when(point > 0, F.length(text) - point).otherwise(F.lit(0))
+
+
+def shift_point(text: Column, places: Column) -> Column:
+    """A plain number divided by ``10^places``, exact for any length."""
+    digits = F.replace(_unsigned(text), F.lit("."), F.lit(""))
+    return _signed(unit_scale_text(digits, _places(text) + places.cast("int")), text.startswith("-"))
 
 
 def wei_to_units(col: Column) -> Column:
-    """A movement value: hex is a count of 10^-18 units, other text is already in units."""
-    scale = lambda text: F.when(text.startswith("0x"), unit_scale(_decode(text), F.lit(18))).otherwise(
-        text.try_cast(UNITS)
+    """A movement value: hex is a count of 10^-18 units, other text is already in units. Exact plain text."""
+    scale = lambda text: F.when(text.startswith("0x"), unit_scale_text(_decode(text), F.lit(18))).otherwise(
+        plain_decimal(text)
     )
     return once(F.lower(strip(col)), scale)
 
 
-def exact_amount(value: Column, price: Column) -> Column:
-    """``value * price`` rounded once, at the 18th decimal.
+_FACTOR_DIGITS = 14
 
-    A plain product of two wide decimals would be cut to 6 decimals. Whole and
-    fractional parts are multiplied apart instead, each in a type that holds the
-    product. Null when the value has more than 19 whole digits, the price more
-    than 10, or the product more than 19.
-    """
-    wide = "decimal(37,18)"
 
-    def parts(col: Column, digits: int) -> tuple[Column, Column]:
-        part = (col % F.lit(Decimal(1))).cast("decimal(18,18)")
-        return (col - part).cast(f"decimal({digits},0)"), part
+def _limbs(digits: Column) -> Column:
+    """Digit text as limbs of 14 digits, the lowest first."""
+    count = F.ceil(F.length(digits) / _FACTOR_DIGITS).cast("int")
+    padded = F.lpad(digits, count * _FACTOR_DIGITS, F.lit("0"))
+    limb = lambda i: F.substring(padded, (count - 1 - i) * _FACTOR_DIGITS + 1, F.lit(_FACTOR_DIGITS)).cast(WHOLE)
+    return F.transform(F.sequence(F.lit(0), count - 1), limb)
 
-    def multiply(pair: Column) -> Column:
-        v_whole, v_part = pair["v_whole"], pair["v_part"]
-        p_whole, p_part = pair["p_whole"], pair["p_part"]
-        cross = ((v_whole * p_part).try_cast(wide) + v_part * p_whole).try_cast(wide)
-        small = (cross + (v_part * p_part).cast("decimal(19,18)")).try_cast(wide)
-        return ((v_whole * p_whole).try_cast(wide) + small).try_cast(UNITS)
-
-    def split(pair: Column) -> Column:
-        v_whole, v_part = parts(pair["value"], 19)
-        p_whole, p_part = parts(pair["price"], 10)
-        named = F.struct(
-            v_whole.alias("v_whole"), v_part.alias("v_part"), p_whole.alias("p_whole"), p_part.alias("p_part")
+
+def _carried(sums: Column, limb_digits: int) -> Column:
+    """Digits of a number given by its limbs, the lowest first; limbs may hold more than their digits, or be negative."""
+    base = F.lit(Decimal(10**limb_digits)).cast(WHOLE)
+    start = F.struct(F.lit(Decimal(0)).cast(WHOLE).alias("carry"), F.lit("").alias("text"))
+
+    def step(state: Column, limb: Column) -> Column:
+        total = (limb + state["carry"]).cast(WHOLE)
+        low = F.pmod(total, base).cast(WHOLE)
+        return F.struct(
+            ((total - low) / base).cast(WHOLE).alias("carry"),
+            F.concat(F.lpad(low.cast("string"), limb_digits, "0"), state["text"]).alias("text"),
         )
-        return once(named, multiply)
 
-    narrowed = F.struct(value.try_cast(wide).alias("value"), price.try_cast("decimal(28,18)").alias("price"))
-    return once(narrowed, split)
+    whole = lambda state: F.concat(F.when(state["carry"] == 0, "").otherwise(state["carry"].cast("string")), state["text"])
+    return F.aggregate(sums, start, step, whole)
+
+
+def _digit_product(pair: Column) -> Column:
+    """Product of two digit texts of any length, limb by limb."""
+    left, right = pair["left"], pair["right"]
+    zero = F.lit(Decimal(0)).cast(WHOLE)
+
+    def place(k: Column) -> Column:
+        parts = F.transform(right, lambda limb, j: F.coalesce((limb * F.get(left, k - j)).cast(WHOLE), zero))
+        return F.aggregate(parts, zero, lambda total, part: (total + part).cast(WHOLE))
+
+    return _carried(F.transform(F.sequence(F.lit(0), F.size(left) + F.size(right) - 2), place), _FACTOR_DIGITS)
+
 
+def exact_amount(value: Column, price: Column) -> Column:
+    """``value * price`` of two plain numbers as exact plain text; any length, no rounding."""
+
+    def multiply(pair: Column) -> Column:
+        value, price = pair["value"], pair["price"]
+        left, right = (F.replace(_unsigned(x), F.lit("."), F.lit("")) for x in (value, price))
+        # Products of up to 38 digits are one decimal multiplication; the limbs give the same digits.
+        short = F.length(left) + F.length(right) <= 38
+        quick = F.try_multiply(left.try_cast(WHOLE), right.try_cast(WHOLE)).cast("string")
+        limbs = once(F.struct(_limbs(left).alias("left"), _limbs(right).alias("right")), _digit_product)
+        digits = F.when(short, quick).otherwise(limbs)
+        scaled = unit_scale_text(digits, _places(value) + _places(price))
+        return _signed(scaled, value.startswith("-") != price.startswith("-"))
+
+    texts = F.struct(plain_decimal(value).alias("value"), plain_decimal(price).alias("price"))
+    return once(texts, lambda pair: F.when(pair["value"].isNotNull() & pair["price"].isNotNull(), multiply(pair)))
+
+
+def add_text(left: Column, right: Column) -> Column:
+    """Exact sum of two plain numbers that are not negative."""
+
+    def add(pair: Column) -> Column:
+        places = F.greatest(_places(pair["left"]), _places(pair["right"]))
+        raised = lambda x: F.concat(F.replace(x, F.lit("."), F.lit("")), F.repeat(F.lit("0"), places - _places(x)))
+        width = F.greatest(F.length(raised(pair["left"])), F.length(raised(pair["right"])))
+        wide = lambda x: _limbs(F.lpad(raised(x), width, F.lit("0")))
+        sums = F.zip_with(wide(pair["left"]), wide(pair["right"]), lambda a, b: (a + b).cast(WHOLE))
+        return unit_scale_text(_carried(sums, _FACTOR_DIGITS), places)
+
+    return once(F.struct(left.alias("left"), right.alias("right")), add)
 
-def _plain(col: Column, scale: int) -> Column:
-    def show(number: Column) -> Column:
-        size = F.abs(number)
-        text = F.floor(size).cast(f"decimal({38 - scale},0)").cast("string")
-        if scale:
-            # Remainder, not difference: the type of a difference would lose the last digit.
-            part = (size % F.lit(Decimal(1))).cast(f"decimal({scale},{scale})") * F.lit(Decimal(10**scale))
-            digits = F.lpad(part.cast(f"decimal({scale},0)").cast("string"), scale, "0")
-            text = F.rtrim(F.rtrim(F.concat(text, F.lit("."), digits), F.lit("0")), F.lit("."))
-        return F.concat(F.when(number < 0, "-").otherwise(""), text)
 
-    return once(col.try_cast(f"decimal(38,{scale})"), show)
+_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]{1,5})?$"
 
 
 def plain_decimal(col: Column) -> Column:
-    """A number as text without exponent and without trailing zeros.
+    """A number, or a text that is one, as text without exponent and without trailing zeros; any length, exact.
 
-    Keeps 18 decimals; numbers of more than 20 whole digits keep 6 or none.
+    Text that is no number, or with an exponent beyond five digits, gives null.
     """
-    return F.coalesce(_plain(col, 18), _plain(col, 6), _plain(col, 0))
+
+    def show(text: Column) -> Column:
+        simple = text.rlike("^(?:0|[1-9][0-9]*)(?:\\.[0-9]*[1-9])?$")
+        mantissa = F.regexp_replace(text, "[eE].*$", "")
+        exponent = F.coalesce(F.nullif(F.regexp_extract(text, "[eE]([+-]?[0-9]+)$", 1), F.lit("")).cast("int"), F.lit(0))
+        bare = F.regexp_replace(mantissa, "[+.-]", "")
+        places = _places(mantissa) - exponent
+        digits = F.when(places < 0, F.concat(bare, F.repeat(F.lit("0"), -places))).otherwise(bare)
+        moved = unit_scale_text(digits, F.greatest(places, F.lit(0)))
+        return F.when(simple, text).when(text.rlike(_NUMBER), _signed(moved, text.startswith("-")))
+
+    return once(F.btrim(col.cast("string")), show)
+
+
+# Limbs that a sum has room for: whole parts of 108 digits (a 256-bit word has 78) and 270 decimals (a token has at
+# most 255). Each limb is added up on its own, so no total can leave a decimal's range.
+_SUM_DIGITS, _SUM_WHOLE, _SUM_PART = 18, 6, 15
+
+
+def sum_text(col: Column) -> Column:
+    """Exact sum of plain numbers in text form, as plain text, whatever their order and number; null without any."""
+    size = _unsigned(col)
+    whole = F.lpad(F.substring_index(size, ".", 1), _SUM_WHOLE * _SUM_DIGITS, "0")
+    point = F.instr(size, ".")
+    part = F.rpad(F.when(point > 0, F.substring(size, point + 1, F.length(size))).otherwise(""), _SUM_PART * _SUM_DIGITS, "0")
+    sign = F.when(col.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+    limb = lambda text, k: F.sum((F.substring(text, k * _SUM_DIGITS + 1, _SUM_DIGITS).cast("bigint") * sign).cast("decimal(28,0)"))
+    limbs = [limb(part, k) for k in reversed(range(_SUM_PART))] + [limb(whole, k) for k in reversed(range(_SUM_WHOLE))]
+    both = F.struct(F.array(*[x.cast(WHOLE) for x in limbs]).alias("up"), F.array(*[(-x).cast(WHOLE) for x in limbs]).alias("down"))
+
+    def close(sums: Column) -> Column:
+        up = _carried(sums["up"], _SUM_DIGITS)
+        negative = up.startswith("-")
+        digits = F.when(negative, _carried(sums["down"], _SUM_DIGITS)).otherwise(up)
+        return _signed(unit_scale_text(digits, F.lit(_SUM_PART * _SUM_DIGITS)), negative)
+
+    return F.when(F.count(col) > 0, once(both, close))
 
 
-def sum_exact(col: Column) -> Column:
-    """Sum as double that does not depend on row order.
+def sum_exact(df: DataFrame, column: str) -> Column:
+    """Sum of a column of ``df`` as double that does not depend on row order, at any size.
 
-    Decimals are added exactly and turned into a double once. Only if the exact
-    total leaves the decimal range is the sum of doubles taken.
+    Exact digits are added and turned into a double at the end: numbers in text
+    form limb by limb, decimals in one sum where the type has ten digits of
+    room, else in three parts.
     """
-    return F.coalesce(F.try_sum(col).cast("double"), F.sum(col.cast("double")))
+    kind, col = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, StringType):
+        return sum_text(col).cast("double")
+    if not isinstance(kind, DecimalType) or kind.precision <= 28:
+        return F.sum(col.cast(f"decimal(28,{getattr(kind, 'scale', 0)})")).cast("double")
+    split = F.lit(Decimal(10**19))
+    whole = (col - col % 1).cast(WHOLE)
+    parts = ((whole - whole % split) / split, whole % split)
+    high, low = (F.sum(part.cast("decimal(28,0)")).cast("double") for part in parts)
+    return high * 1e19 + low + F.sum((col % 1).cast("decimal(28,18)")).cast("double")

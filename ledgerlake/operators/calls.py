@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -27,6 +28,45 @@ def _tree_walker(kept: list[str], fields: list[str]):
     """
     names = [*kept, *_NODE, *fields]
     flush_rows = _FLUSH_ROWS
+    plain = re.compile(r"[ \t\n\r]*(?:(true|false|null|-?[0-9][0-9.eE+-]*)|([\[\]{},:\"]))")
+    read_string = json.decoder.scanstring
+
+    def parse(text: str) -> object:
+        """The JSON value; nesting deeper than the library's parser takes is read with an own stack."""
+        try:
+            return json.loads(text)
+        except RecursionError:
+            pass
+        at, value, stack, key = 0, None, [], None
+        while True:
+            token = plain.match(text, at)
+            if token is None:
+                raise ValueError("not JSON")
+            at, mark = token.end(), token[2]
+            if mark in ("[", "{"):
+                stack.append(([] if mark == "[" else {}, key))
+                key = None
+                continue
+            if mark in (",", ":"):
+                continue
+            if mark in ("]", "}"):
+                if not stack:
+                    raise ValueError("not JSON")
+                value, key = stack.pop()
+            elif mark == '"':
+                value, at = read_string(text, at)
+                if stack and isinstance(stack[-1][0], dict) and key is None:
+                    key = value
+                    continue
+            else:
+                value = json.loads(token[1])
+            if not stack:
+                return value
+            if isinstance(stack[-1][0], list):
+                stack[-1][0].append(value)
+            else:
+                stack[-1][0][key] = value
+            key = None
 
     def walk(siblings: object) -> Iterator[tuple[str, str, str, dict]]:
         """(path, parent path, sibling index, node); a root is its own parent."""
@@ -44,19 +84,29 @@ def _tree_walker(kept: list[str], fields: list[str]):
 
     def trees(index: str | None, tx_hash: str | None, tree: str | None, document: str | None):
         """(index, hash, parsed tree): the one given, or those of a whole document."""
-        if document is None:
-            yield index, tx_hash, json.loads(tree)
-            return
         try:
-            block = json.loads(document)
+            parsed = parse(tree if document is None else document)
         except ValueError:  # not JSON at all: no parser gets rows from it
             return
-        for tx in block.get("transactions") or [] if isinstance(block, dict) else []:
-            base, trace = tx.get("base") or {}, tx.get("trace") or {}
+        if document is None:
+            yield index, tx_hash, parsed
+            return
+        for tx in part(parsed, "transactions", list):
+            base, trace = part(tx, "base", dict), part(tx, "trace", dict)
             yield text(base.get("transactionIndex")), text(base.get("hash")), trace.get("calls")
 
+    def part(holder: object, name: str, kind: type):
+        """A part of the right type; an empty one where it is missing or something else."""
+        found = holder.get(name) if isinstance(holder, dict) else None
+        return found if isinstance(found, kind) else kind()
+
     def text(value: object) -> str | None:
-        return value if value is None or isinstance(value, str) else json.dumps(value)
+        if value is None or isinstance(value, str):
+            return value
+        try:
+            return json.dumps(value)
+        except RecursionError:  # a tree where a field should be
+            return None
 
     def emit(batch: pa.RecordBatch, origin: list[int], rows: list[tuple]) -> pa.RecordBatch:
         picked = pa.array(origin, pa.int64())
@@ -68,9 +118,9 @@ def _tree_walker(kept: list[str], fields: list[str]):
         for batch in batches:
             origin: list[int] = []
             rows: list[tuple] = []
-            inputs = [batch.column(name).to_pylist() for name in ("index", "hash", "tree", "document")]
-            for row, given in enumerate(zip(*inputs)):
-                for index, tx_hash, tree in trees(*given):
+            inputs = [batch.column(name) for name in ("index", "hash", "tree", "document")]
+            for row in range(batch.num_rows):  # one tree at a time becomes Python objects
+                for index, tx_hash, tree in trees(*(column[row].as_py() for column in inputs)):
                     for path, parent, sibling, node in walk(tree):
                         origin.append(row)
                         values = [text(node.get(field)) for field in fields]
@@ -128,6 +178,21 @@ def flatten_calls(source: DataFrame) -> DataFrame:
     )
 
 
+def quarantine(source: DataFrame) -> DataFrame:
+    """Documents that some parser gets less from than they hold, with the reason: kept apart, to be counted and mended.
+
+    ``no object``: not a JSON object; ``transactions``: not a list; ``undated``:
+    no readable time, so no dated run meets the document.
+    """
+    listed = F.ltrim(F.get_json_object("info", "$.transactions"))
+    reason = (
+        F.when(F.col("info").isNull() | ~F.col("info").rlike(r"^\s*\{"), "no object")
+        .when(listed.isNotNull() & ~listed.startswith("["), "transactions")
+        .when(F.col("date_time").isNull(), "undated")
+    )
+    return source.select("info", *EVENT, reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def exclude_senders(calls: DataFrame, senders: list[str], column: str = "calls_from") -> DataFrame:
     """Drop calls of listed senders (a short configured list)."""
     return calls.where(~F.col(column).isin([s.lower() for s in senders])) if senders else calls

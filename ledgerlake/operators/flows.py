@@ -28,6 +28,6 @@ def party_flow(
     return (
         ledger.join(wanted, side, "left_semi")
         .groupBy(side, "token_address", "transaction_date")
-        .agg(F.coalesce(sum_exact(F.col(value)), F.lit(0.0)).alias("value_num"))
+        .agg(F.coalesce(sum_exact(ledger, value), F.lit(0.0)).alias("value_num"))
         .select("value_num", F.col(side).alias("address"), "token_address", "transaction_date")
     )

@@ -11,9 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ledgerlake.functions.dates import as_date, hour_key, hour_stamp, period, period_range
-from ledgerlake.functions.numbers import sum_exact
+from ledgerlake.functions.numbers import plain_decimal, sum_exact, sum_text
 from ledgerlake.operators.spine import fill, spine_hours, spine_periods
 from ledgerlake.sources.readers import between_days, scan
 
@@ -22,12 +23,12 @@ DATE = "transaction_date"
 MEASURES = ("volume", "amount", "trades", "new_addresses")
 
 
-def measure_column(measure: str, value: str = "value", amount: str = "amount") -> Column:
+def measure_column(ledger: DataFrame, measure: str, value: str = "value", amount: str = "amount") -> Column:
     """``volume`` sums values, ``amount`` sums priced amounts (no price counts 0), the others count rows."""
     if measure == "volume":
-        return F.coalesce(sum_exact(F.col(value)), F.lit(0.0))
+        return F.coalesce(sum_exact(ledger, value), F.lit(0.0))
     if measure == "amount":
-        return F.coalesce(sum_exact(F.col(amount)), F.lit(0.0))
+        return F.coalesce(sum_exact(ledger, amount), F.lit(0.0))
     if measure in ("trades", "new_addresses"):
         return F.count("*")
     raise ValueError(f"measure must be one of {MEASURES}, not {measure!r}")
@@ -55,7 +56,7 @@ def rollup_metric(
         spine = spine.where(between_days(spine, DATE, *listed))
     keys = [TOKEN, DATE]
     totals = ledger.groupBy(TOKEN, period(F.col(DATE), grain).alias(DATE)).agg(
-        measure_column(measure, value, amount).alias("value_num")
+        measure_column(ledger, measure, value, amount).alias("value_num")
     )
     return fill(spine_periods(spine, grain), totals, keys).select("value_num", *keys)
 
@@ -69,15 +70,19 @@ def rollup_grains(
     months are rolled up from them.
     """
     column = {"volume": value, "amount": amount}.get(measure)
-    counted = F.count("*") if column is None else F.try_sum(column)
-    rough = F.count("*") if column is None else F.sum(F.col(column).cast("double"))
-    daily = ledger.groupBy(TOKEN, DATE).agg(counted.alias("total"), rough.alias("rough"))
     if column is None:
-        rolled = F.sum("total")
+        counted, rolled = F.count("*"), F.sum("total")
     else:
-        # A day whose exact sum left the decimal range has only the rough one.
-        whole = F.when(F.count("total") == F.count("rough"), F.try_sum("total").cast("double"))
-        rolled = F.coalesce(whole, F.sum("rough"), F.lit(0.0))
+        # Exact totals, so that days add up to weeks without rounding: decimals with room, else text.
+        kind = ledger.schema[column].dataType
+        if isinstance(kind, DecimalType) and kind.precision <= 18:
+            counted = F.sum(F.col(column).cast(f"decimal(18,{kind.scale})"))
+            rolled = F.coalesce(F.sum("total").cast("double"), F.lit(0.0))
+        else:
+            ledger = ledger.withColumn(column, plain_decimal(F.col(column)))
+            counted = sum_text(F.col(column))
+            rolled = F.coalesce(sum_text(F.col("total")).cast("double"), F.lit(0.0))
+    daily = ledger.groupBy(TOKEN, DATE).agg(counted.alias("total"))
     parts = []
     for grain in ("day", "week", "month"):
         totals = daily.groupBy(TOKEN, period(F.col(DATE), grain).alias(DATE)).agg(rolled.alias("value_num"))
@@ -97,8 +102,8 @@ def avg_metric(
     if day is not None:
         ledger, spine = scan(ledger, on=day), scan(spine, on=day)
     if positive:
-        ledger = ledger.where(F.col(column) > 0)
-    mean = F.coalesce(sum_exact(F.col(column)), F.lit(0.0)) / F.count("*")
+        ledger = ledger.where(F.col(column).cast("double") > 0)
+    mean = F.coalesce(sum_exact(ledger, column), F.lit(0.0)) / F.count("*")
     totals = ledger.groupBy(TOKEN, DATE).agg(mean.alias("value_num"))
     return fill(spine.select(TOKEN, DATE), totals, [TOKEN, DATE]).select("value_num", TOKEN, DATE)
 
@@ -125,7 +130,7 @@ def hourly_metric(
     if day is not None:
         hours = hours.where(F.col("dh") <= timed.agg(F.max("dh").alias("latest")).scalar())
     keys = [TOKEN, DATE, "dh"]
-    totals = timed.groupBy(*keys).agg(measure_column(measure, value, amount).alias("value_num"))
+    totals = timed.groupBy(*keys).agg(measure_column(ledger, measure, value, amount).alias("value_num"))
     return fill(hours, totals, keys).select(
         "value_num",
         TOKEN,

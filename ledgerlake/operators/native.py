@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import hour_key
-from ledgerlake.functions.numbers import UNITS, exact_amount, integer_text, to_bigint, unit_scale, wei_to_units
+from ledgerlake.functions.numbers import add_text, exact_amount, integer_text, plain_decimal, shift_point, sum_text, to_bigint, wei_to_units
 
 # Block reward from each height on, and the sender of minted units.
 REWARD_STEPS = ((0, 5), (4_370_000, 3), (7_080_001, 2))
@@ -21,7 +21,6 @@ MOVEMENT = (
     "from_address",
     "to_address",
     "value",
-    "overflow",
     "transaction_index",
     "transaction_hash",
     "date_time",
@@ -42,14 +41,16 @@ def step_lookup(col: Column, steps: Sequence[tuple[int, int]]) -> Column:
 def block_fees(transactions: DataFrame) -> DataFrame:
     """Sum of gas used x gas price per block, in units; a blank on either side counts as 0.
 
-    Summed as whole base units, then scaled once.
+    Products and their sum are exact, then scaled once.
     """
-    gas = F.coalesce(F.col("base_gas_used").try_cast("decimal(17,0)"), F.lit(0).cast("decimal(17,0)"))
-    price = F.coalesce(integer_text(F.col("base_gas_price")).try_cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    zero = F.lit("0")
+    gas = F.coalesce(plain_decimal(F.col("base_gas_used")), zero)
+    price = F.coalesce(plain_decimal(integer_text(F.col("base_gas_price"))), zero)
+    charged = transactions.select("block_number", exact_amount(gas, price).alias("fee"))
     return (
-        transactions.groupBy("block_number")
-        .agg(F.sum(gas * price).alias("fee"))
-        .select("block_number", unit_scale(F.col("fee").cast("string"), F.lit(18)).alias("service_charge"))
+        charged.groupBy("block_number")
+        .agg(sum_text(F.col("fee")).alias("fee"))
+        .select("block_number", shift_point(F.col("fee"), F.lit(18)).alias("service_charge"))
     )
 
 
@@ -65,8 +66,7 @@ def uncle_rewards(uncles: DataFrame, steps: Sequence[tuple[int, int]] = REWARD_S
         "block_number",
         F.lit(MINT_ADDRESS).alias("from_address"),
         F.col("uncles_miner").alias("to_address"),
-        value.cast(UNITS).alias("value"),
-        F.lit(False).alias("overflow"),
+        plain_decimal(value).alias("value"),
         F.lit("").alias("transaction_index"),
         F.lit("").alias("transaction_hash"),
         "date_time",
@@ -82,7 +82,8 @@ def block_rewards(
     counts = uncles.groupBy("block_number").agg(F.count("*").alias("uncle_count"))
     reward = _reward(F.col("block_number"), steps)
     bonus = reward * F.lit(UNCLE_BONUS) * F.coalesce("uncle_count", F.lit(0)).cast("decimal(10,0)")
-    value = (reward + bonus).cast("decimal(28,18)") + F.coalesce("service_charge", F.lit(0).cast(UNITS))
+    minted = plain_decimal(reward + bonus)
+    value = F.when(F.col("service_charge").isNull(), minted).otherwise(add_text(minted, F.col("service_charge")))
     return (
         blocks.select("block_number", F.col("miner").alias("to_address"), "date_time", "transaction_date")
         .join(counts, "block_number", "left")
@@ -91,8 +92,7 @@ def block_rewards(
             "block_number",
             F.lit(MINT_ADDRESS).alias("from_address"),
             "to_address",
-            value.cast(UNITS).alias("value"),
-            F.lit(False).alias("overflow"),
+            value.alias("value"),
             F.lit("").alias("transaction_index"),
             F.lit("").alias("transaction_hash"),
             "date_time",
@@ -104,14 +104,11 @@ def block_rewards(
 
 def _movements(df: DataFrame, prefix: str, kind: str) -> DataFrame:
     column = lambda name: F.col(f"{prefix}_{name}")
-    text = column("value")
-    value = wei_to_units(text)
     return df.where((column("error") == "") & (column("from") != "") & (column("to") != "")).select(
         "block_number",
         column("from").alias("from_address"),
         column("to").alias("to_address"),
-        value.alias("value"),
-        (value.isNull() & integer_text(text).isNotNull()).alias("overflow"),
+        wei_to_units(column("value")).alias("value"),
         column("transaction_index").alias("transaction_index"),
         column("transaction_hash").alias("transaction_hash"),
         "date_time",
@@ -167,6 +164,5 @@ def price_ledger(ledger: DataFrame, prices: DataFrame, asset: str = "ethereum")
         hour_key(F.col("date_time")).alias("dh"),
         "date_time",
         "transaction_type",
-        (F.col("overflow") | (F.col("value").isNotNull() & F.col("amount").isNull())).alias("overflow"),
         "transaction_date",
     )

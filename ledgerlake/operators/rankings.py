@@ -14,23 +14,20 @@ from ledgerlake.operators.metrics import DATE, TOKEN
 from ledgerlake.sources.readers import between_days
 
 TOP = 100
-# Up to this rank Spark cuts each map output to the top rows before the shuffle
-# (default of spark.sql.optimizer.windowGroupLimitThreshold).
-_CUT_LIMIT = 1000
 
 
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, spread: Sequence[str] = ()) -> DataFrame:
     """The first ``k`` rows of each group; a hot group never reaches one task whole.
 
-    Ranks Spark does not cut by itself get a first round within 64 slices of
-    each group, made from the ``spread`` columns.
+    The first round works within 64 slices of each group, made from the
+    ``spread`` columns, so it does not count on a cut before the shuffle.
     """
 
     def cut(rows: DataFrame, group: list[str]) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         return rows.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
-    if k > _CUT_LIMIT and spread:
+    if spread:
         sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*spread), F.lit(64)))
         df = cut(sliced, [*by, "_slice"]).drop("_slice")
     return cut(df, list(by))

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import as_date
 from ledgerlake.operators.metrics import DATE, TOKEN, new_addresses
-from ledgerlake.operators.spine import fill
-from ledgerlake.sources.readers import scan
+from ledgerlake.sources.readers import between_days, scan
 
 
 def running_total(first_seen: DataFrame) -> DataFrame:
-    """Addresses seen up to each day.
+    """Addresses seen up to each day that has new ones.
 
     First-seen rows are counted per day before the window, so the window's
     single task holds one row per day of history.
@@ -25,42 +24,58 @@ def running_total(first_seen: DataFrame) -> DataFrame:
 
 
 def running_total_day(first_seen: DataFrame, prior: DataFrame, day: str | dt.date) -> DataFrame:
-    """Yesterday's total plus the day's new addresses; to be written by partition overwrite."""
+    """The latest total before ``day`` plus what is new since then; to be written by partition overwrite.
+
+    Days without new addresses may be missing from ``prior``.
+    """
     day = as_date(day)
-    yesterday = scan(prior, on=day - dt.timedelta(days=1)).select("value_num")
-    today = new_addresses(first_seen, day=day).select("value_num")
-    return (
-        yesterday.unionByName(today)
-        .agg(F.sum("value_num").alias("value_num"))
-        .select("value_num", F.lit(day).alias(DATE))
+    latest = prior.where(between_days(prior, DATE, None, day - dt.timedelta(days=1))).agg(
+        F.max_by("value_num", DATE).alias("value_num"), F.max(DATE).alias("upto")
     )
+    since = latest.select("upto").scalar()
+    fresh = first_seen.where(between_days(first_seen, DATE, None, day) & (since.isNull() | (F.col(DATE) > since)))
+    both = latest.select("value_num").unionByName(fresh.agg(F.count("*").alias("value_num")))
+    return both.agg(F.sum("value_num").alias("value_num")).select("value_num", F.lit(day).alias(DATE))
 
 
 def running_total_by_token(first_seen: DataFrame, spine: DataFrame) -> DataFrame:
-    """Addresses per token seen up to each listed day; days without new ones carry the total on."""
+    """Addresses per token seen up to each listed day, whether the days before were listed or not.
+
+    The list takes part as rows of zero; one running sum over both, of which the
+    listed days are kept.
+    """
+    new = new_addresses(first_seen, [TOKEN]).withColumn("listed", F.lit(False))
+    zero = F.lit(0).cast("bigint").alias("value_num")
+    marks = spine.select(zero, TOKEN, DATE, F.lit(True).alias("listed"))
+    days = new.unionByName(marks).groupBy(TOKEN, DATE).agg(
+        F.sum("value_num").alias("value_num"), F.bool_or("listed").alias("listed")
+    )
     upto = Window.partitionBy(TOKEN).orderBy(DATE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    daily = new_addresses(first_seen, [TOKEN])
-    summed = daily.select(F.sum("value_num").over(upto).alias("value_num"), TOKEN, DATE)
-    on_spine = fill(spine.select(TOKEN, DATE), summed, [TOKEN, DATE])
-    return on_spine.select(F.max("value_num").over(upto).alias("value_num"), TOKEN, DATE)
+    summed = days.select(F.sum("value_num").over(upto).alias("value_num"), TOKEN, DATE, "listed")
+    return summed.where("listed").drop("listed")
 
 
 def running_total_by_token_day(
     first_seen: DataFrame, spine: DataFrame, prior: DataFrame, day: str | dt.date
 ) -> DataFrame:
-    """Yesterday's total per token plus the day's new addresses.
+    """Each token's latest total before ``day`` plus its new addresses since then.
 
-    A token that is no longer listed keeps its total under the new day, so the
-    chain of daily runs does not lose it.
+    Covers the listed tokens and all that ``prior`` knows, so the chain of daily
+    runs loses none. Of the first-seen table only token and day are read, and
+    only counts of days are joined.
     """
     day = as_date(day)
-    listed = scan(spine, on=day).select(TOKEN, F.lit(0).cast("bigint").alias("value_num"))
-    today = new_addresses(first_seen, [TOKEN], day).select(TOKEN, "value_num")
-    fresh = listed.unionByName(today.join(listed, TOKEN, "left_semi"))
-    yesterday = scan(prior, on=day - dt.timedelta(days=1)).select(TOKEN, F.col("value_num").cast("bigint"))
+    before = prior.where(between_days(prior, DATE, None, day - dt.timedelta(days=1)))
+    latest = before.groupBy(TOKEN).agg(
+        F.max_by("value_num", DATE).cast("bigint").alias("base"), F.max(DATE).alias("upto")
+    )
+    listed = scan(spine, on=day).select(TOKEN, F.lit(0).cast("bigint").alias("base"), F.lit(None).cast("date").alias("upto"))
+    wanted = latest.unionByName(listed).groupBy(TOKEN).agg(F.max("base").alias("base"), F.max("upto").alias("upto"))
+    counts = new_addresses(first_seen.where(between_days(first_seen, DATE, None, day)), [TOKEN])
+    fresh = F.when(F.col("upto").isNull() | (F.col(DATE) > F.col("upto")), F.col("value_num"))
     return (
-        fresh.unionByName(yesterday)
-        .groupBy(TOKEN)
-        .agg(F.sum("value_num").alias("value_num"))
-        .select("value_num", TOKEN, F.lit(day).alias(DATE))
+        wanted.join(counts, TOKEN, "left")
+        .groupBy(TOKEN, "base")
+        .agg(F.sum(fresh).alias("fresh"))
+        .select((F.col("base") + F.coalesce("fresh", F.lit(0))).alias("value_num"), TOKEN, F.lit(day).alias(DATE))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import hour_key
-from ledgerlake.functions.numbers import exact_amount, hex_to_decimal, integer_text, unit_scale
+from ledgerlake.functions.numbers import exact_amount, hex_to_decimal, integer_text, unit_scale_text
 from ledgerlake.functions.text import split_json_list
 
 # Fixed value: first topic of a token Transfer event.
@@ -70,9 +70,8 @@ def valid_transfers(transfers: DataFrame, receipts: DataFrame, traces: DataFrame
 def enrich_transfers(transfers: DataFrame, tokens: DataFrame, prices: DataFrame) -> DataFrame:
     """Token id, symbol and scale, the day's price, and value x price.
 
-    A day without price leaves price and amount null. A value or amount that
-    does not fit ``decimal(38,18)`` is null with ``overflow`` set. Both
-    dimensions are left to the optimizer: it broadcasts them only below the
+    Value and amount are exact plain text, whatever their length. A day without
+    price leaves price and amount null. Both dimensions are left to the optimizer: it broadcasts them only below the
     session's size threshold, and splits hot tokens otherwise.
     """
     dim = tokens.select(
@@ -83,11 +82,9 @@ def enrich_transfers(transfers: DataFrame, tokens: DataFrame, prices: DataFrame)
         transfers.withColumnRenamed("value", "raw_value")
         .join(dim, "logs_address", "left")
         .join(daily, ["token_id", "transaction_date"], "left")
-        .withColumn("value", unit_scale(F.col("raw_value"), F.col("decimals")))
+        .withColumn("value", unit_scale_text(F.col("raw_value"), F.col("decimals")))
         .withColumn("amount", exact_amount(F.col("value"), F.col("price_us")))
     )
-    lost_value = F.col("raw_value").isNotNull() & F.col("value").isNull()
-    lost_amount = F.col("value").isNotNull() & F.col("price_us").isNotNull() & F.col("amount").isNull()
     return joined.select(
         "block_number",
         "from_address",
@@ -102,7 +99,6 @@ def enrich_transfers(transfers: DataFrame, tokens: DataFrame, prices: DataFrame)
         "token_id",
         "token_symbol",
         F.col("logs_address").alias("token_address"),
-        (lost_value | lost_amount).alias("overflow"),
         "transaction_date",
     )
 

@@ -87,7 +87,7 @@ def _unit_scale(spark: SparkSession, sf: str) -> DataFrame:
     return seeds.select(
         "o_orderkey",
         numbers.unit_scale_text(digits, F.col("places")).alias("as_text"),
-        numbers.unit_scale(digits, F.col("places")).alias("as_number"),
+        numbers.shift_point(F.concat(digits, F.lit(".05")), F.col("places")).alias("shifted"),
         numbers.wei_to_units(F.concat(F.lit("0x"), F.hex("pc"))).alias("wei"),
     )
 
@@ -96,7 +96,7 @@ _SCALED = scaled_sql("pc", "places")
 register(
     "unit_scale",
     _unit_scale,
-    f"""SELECT o_orderkey, {_SCALED} AS as_text, {_SCALED} AS as_number, {scaled_sql('pc', '18')} AS wei
+    f"""SELECT o_orderkey, {_SCALED} AS as_text, {scaled_sql('pc * 100 + 5', '(places + 2)')} AS shifted, {scaled_sql('pc', '18')} AS wei
     FROM (SELECT o_orderkey, {PC} AS pc, o_orderkey % 19 AS places FROM orders)""",
 )
 _UNITS = f"CAST({PC} AS HUGEINT) * 1000000007 * (o_orderkey + 1)"
@@ -104,7 +104,7 @@ _UNITS = f"CAST({PC} AS HUGEINT) * 1000000007 * (o_orderkey + 1)"
 
 def _exact_amount(spark: SparkSession, sf: str) -> DataFrame:
     seeds = _orders(f"cast({PC} as decimal(20,0)) * 1000000007 * (o_orderkey + 1) as u", "o_totalprice")(spark, sf)
-    value = numbers.unit_scale(F.col("u").cast("string"), F.lit(18))
+    value = numbers.unit_scale_text(F.col("u").cast("string"), F.lit(18))
     return seeds.select(
         "o_orderkey", numbers.exact_amount(value, F.col("o_totalprice").cast("decimal(18,2)")).alias("amount")
     )
@@ -180,13 +180,20 @@ register(
     _dated(("first", dates.month_first), ("last", dates.month_last)),
     _dated_sql(first="date_trunc('month', d)", last="last_day(d)"),
 )
-register(
-    "null_fill",
-    lambda spark, sf: V.transfers(spark, sf, parties=False).groupBy("token_address").agg(
+
+
+def _null_fill(spark: SparkSession, sf: str) -> DataFrame:
+    filled = V.transfers(spark, sf).withColumn("filled", F.coalesce("amount", F.lit(0).cast("decimal(18,2)")))
+    return filled.groupBy("token_address").agg(
         F.sum(F.when(F.col("amount").isNull(), 0).otherwise(1)).alias("priced"),
         F.sum(F.when(F.col("value") > 25, F.when(F.col("value") > 40, 2).otherwise(1)).otherwise(0)).alias("graded"),
-        numbers.sum_exact(F.coalesce("amount", F.lit(0).cast("decimal(18,2)"))).alias("amount"),
-    ),
+        numbers.sum_exact(filled, "filled").alias("amount"),
+    )
+
+
+register(
+    "null_fill",
+    _null_fill,
     f"""WITH {V.TRANSFERS_SQL} SELECT token_address, count(amount) AS priced,
       CAST(sum(CASE WHEN value > 40 THEN 2 WHEN value > 25 THEN 1 ELSE 0 END) AS BIGINT) AS graded,
       CAST(sum(amount) AS DOUBLE) AS amount FROM t GROUP BY ALL""",

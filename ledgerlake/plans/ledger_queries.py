@@ -120,15 +120,21 @@ def scaled_sql(digits: str, places: str) -> str:
     )
 
 
-def amount_sql(source: str, units: str = "u", cents: str = "pcent") -> str:
-    """Adds ``amount`` = units / 10^18 x cents / 100, rounded at the 18th decimal, as text."""
-    return f"""(SELECT *, CASE WHEN {units} // {E18} < 10 * CAST({E18} AS HUGEINT) AND {cents} IS NOT NULL
-        AND whole + f18 // {E18} < 10 * CAST({E18} AS HUGEINT)
-      THEN rtrim(rtrim(concat(CAST(whole + f18 // {E18} AS VARCHAR), '.', lpad(CAST(f18 % {E18} AS VARCHAR), 18, '0')),
-                       '0'), '.') END AS amount
-    FROM (SELECT *, ({units} // {E18} * {cents}) // 100 AS whole,
-                 ((({units} // {E18} * {cents}) % 100) * {E18} + {units} % {E18} * {cents} + 50) // 100 AS f18
-          FROM {source}))"""
+E19 = "10000000000000000000"
+
+
+def product_sql(whole: str, cents: str) -> str:
+    """Digits of a whole number of up to 38 digits times a small one; the product may be longer."""
+    low = f"(CAST({whole} AS HUGEINT) % {E19} * {cents})"
+    high = f"(CAST({whole} AS HUGEINT) // {E19} * {cents} + {low} // {E19})"
+    rest = f"CAST({low} % {E19} AS VARCHAR)"
+    return f"CASE WHEN {high} > 0 THEN concat(CAST({high} AS VARCHAR), lpad({rest}, 19, '0')) ELSE {rest} END"
+
+
+def amount_sql(source: str, whole: str = "u", cents: str = "pcent", places: str = "18") -> str:
+    """Adds ``amount`` = whole / 10^places x cents / 100 as exact text."""
+    return f"""(SELECT *, CASE WHEN product IS NOT NULL THEN {scaled_sql('product', f'({places} + 2)')} END AS amount
+    FROM (SELECT *, {product_sql(whole, cents)} AS product FROM {source}))"""
 
 
 # ------------------------------------------------------------- token transfers
@@ -180,17 +186,13 @@ register(
     _enriched,
     f"""WITH {B}, {_VALID_SQL}, {V.TOKEN_PRICES_SQL},
     v1 AS (SELECT val.*, id, decimals, token_symbol FROM val JOIN tok ON logs_address = address),
-    v2 AS (SELECT v1.*, price_us, CAST(price_us * 100 AS BIGINT) AS pcent,
-             length(CAST(raw AS VARCHAR)) - decimals <= 20 AS fits
+    v2 AS (SELECT v1.*, price_us, CAST(price_us * 100 AS BIGINT) AS pcent
            FROM v1 LEFT JOIN pr ON v1.id = pr.id AND v1.transaction_date = pr.transaction_date),
-    v3 AS (SELECT *, CASE WHEN fits THEN {scaled_sql('raw', 'decimals')} END AS value_text,
-             CASE WHEN fits THEN raw * CAST(rpad('1', CAST(19 - decimals AS INT), '0') AS HUGEINT) END AS u FROM v2),
-    v4 AS (SELECT * FROM {amount_sql('v3')})
-    SELECT block_number, from_address, to_address, value_text AS value,
+    v3 AS (SELECT * FROM {amount_sql('v2', 'raw', 'pcent', 'decimals')})
+    SELECT block_number, from_address, to_address,
+      CASE WHEN raw IS NOT NULL THEN {scaled_sql('raw', 'decimals')} END AS value,
       rtrim(rtrim(CAST(price_us AS VARCHAR), '0'), '.') AS price_us, amount, logs_transaction_index,
-      logs_transaction_hash, id AS token_id, token_symbol, logs_address AS token_address,
-      CAST((raw IS NOT NULL AND NOT fits) OR (u IS NOT NULL AND price_us IS NOT NULL AND amount IS NULL) AS VARCHAR)
-        AS overflow, {TIMES} FROM v4""",
+      logs_transaction_hash, id AS token_id, token_symbol, logs_address AS token_address, {TIMES} FROM v3""",
 )
 register(
     "price_by_symbol",
@@ -233,7 +235,7 @@ mv AS (SELECT * FROM lt UNION ALL SELECT * FROM lc),
 al AS (SELECT * FROM lu UNION ALL SELECT * FROM lb UNION ALL SELECT * FROM mv)"""
 _PLAIN_TIMES = "CAST(date_time AS VARCHAR) AS date_time, CAST(transaction_date AS VARCHAR) AS transaction_date"
 _LEDGER_OUT = f"""SELECT b AS block_number, from_address, to_address, {scaled_sql('u', '18')} AS value,
-  'false' AS overflow, transaction_index, transaction_hash, transaction_type, {_PLAIN_TIMES}"""
+  transaction_index, transaction_hash, transaction_type, {_PLAIN_TIMES}"""
 
 
 def _fees(spark: SparkSession, sf: str) -> DataFrame:
@@ -292,5 +294,5 @@ register(
     p2 AS (SELECT * FROM {amount_sql('p1')})
     SELECT b AS block_number, from_address, to_address, {scaled_sql('u', '18')} AS value,
       rtrim(rtrim(CAST(price_us AS VARCHAR), '0'), '.') AS price_us, amount, transaction_index, transaction_hash,
-      dh, {_PLAIN_TIMES}, transaction_type, 'false' AS overflow FROM p2""",
+      dh, {_PLAIN_TIMES}, transaction_type FROM p2""",
 )

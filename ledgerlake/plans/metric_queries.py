@@ -97,7 +97,7 @@ AGGREGATE_SQL = {
 def _ledger(spark: SparkSession, sf: str, measure: str) -> DataFrame:
     if measure == "new_addresses":
         return entities.first_seen(V.transfers(spark, sf))
-    return V.transfers(spark, sf, parties=False)
+    return V.transfers(spark, sf)
 
 
 def _rollup(measure: str, grain: str, day: str | None):
@@ -140,7 +140,7 @@ for _measure in metrics.MEASURES:
 
 
 def _grains(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.rollup_grains(V.transfers(spark, sf, parties=False), V.transfer_spine(spark, sf), "volume")
+    return metrics.rollup_grains(V.transfers(spark, sf), V.transfer_spine(spark, sf), "volume")
 
 
 def _grains_oracle() -> str:
@@ -219,7 +219,7 @@ for _mode, _day in (("day", NATIVE_DAY), ("full", None)):
 
 def _average(column: str, positive: bool, day: str | None):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        ledger, listed = V.transfers(spark, sf, parties=False), V.transfer_spine(spark, sf)
+        ledger, listed = V.transfers(spark, sf), V.transfer_spine(spark, sf)
         return metrics.avg_metric(ledger, listed, column, day, positive)
 
     return run
@@ -243,7 +243,7 @@ for _name, _column, _positive in (("avg_volume", "value", False), ("avg_amount",
 
 def _flow(side: str, day: str | None):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        ledger = V.transfers(spark, sf, parties=side == "from_address")
+        ledger = V.transfers(spark, sf)
         return flows.party_flow(ledger, V.exchanges(spark, sf), side, day)
 
     return run
@@ -347,7 +347,7 @@ def _ranking(days_back: int, k: int):
     return lambda spark, sf: rankings.top_participants(V.transfers(spark, sf), DAY, days_back, k)
 
 
-for _name, _back, _k in (("day", 0, 100), ("week", 7, 10), ("month", 30, 10)):
+for _name, _back, _k in (("day", 0, 100), ("week", 7, 100), ("month", 30, 100)):
     register(
         f"ranking_{_name}",
         _ranking(_back, _k),

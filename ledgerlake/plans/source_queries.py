@@ -106,7 +106,7 @@ register(
 
 
 def _daily(spark: SparkSession, sf: str) -> DataFrame:
-    daily = metrics.rollup_metric(V.transfers(spark, sf, parties=False), V.transfer_spine(spark, sf), "trades")
+    daily = metrics.rollup_metric(V.transfers(spark, sf), V.transfer_spine(spark, sf), "trades")
     return daily.withColumn("year", F.year("transaction_date")).withColumn("month", F.month("transaction_date"))
 
 
@@ -175,7 +175,7 @@ def _promoted_sql(columns: list[str], lookback: int) -> str:
 
 register(
     "promote_window",
-    lambda spark, sf: windows.promote(V.transfers(spark, sf, parties=False), ODS, DAY, windows.Windows().ods),
+    lambda spark, sf: windows.promote(V.transfers(spark, sf), ODS, DAY, windows.Windows().ods),
     _promoted_sql(ODS, 2),
 )
 register(

@@ -32,24 +32,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- transfers
 
 
-def transfers(spark: SparkSession, sf_dir: str, parties: bool = True) -> DataFrame:
-    """``parties=False`` leaves out the sender, and with it the join to the orders."""
+def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = load(spark, sf_dir, "lineitem")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     parts = load(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    joined = lines.join(parts, lines.l_partkey == parts.p_partkey)
-    columns = [
+    joined = lines.join(parts, lines.l_partkey == parts.p_partkey).join(orders, lines.l_orderkey == orders.o_orderkey)
+    return joined.select(
+        F.col("o_custkey").cast("string").alias("from_address"),
         F.col("l_suppkey").cast("string").alias("to_address"),
         F.col("p_brand").alias("token_address"),
         F.col("l_quantity").cast("decimal(18,2)").alias("value"),
         F.when(F.col("l_discount") > 0, F.col("l_extendedprice").cast("decimal(18,2)")).alias("amount"),
         F.col("l_shipdate").alias("date_time"),
         F.to_date("l_shipdate").alias("transaction_date"),
-    ]
-    if parties:
-        orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-        joined = joined.join(orders, joined.l_orderkey == orders.o_orderkey)
-        columns.insert(0, F.col("o_custkey").cast("string").alias("from_address"))
-    return joined.select(*columns)
+    )
 
 
 def _first_last(spark: SparkSession, sf_dir: str, name: str, ts: str):
@@ -122,7 +118,7 @@ EVENT_SPINE_SQL = """es AS (
                                       CAST(max(CAST(ts AS DATE)) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM events))"""
 
 # ------------------------------------------------------------------- blocks
-# k = order key, c = customer key, pc = price in cents, b = block number,
+# k = order key, c = customer key, np = number of parts (tokens), pc = price in cents, b = block number,
 # e = epoch seconds, j = transaction index, i = log or uncle index, n = call node.
 
 
@@ -191,7 +187,7 @@ RECEIPT_DOC = {
     "transactionHash": TX_HASH,
 }
 LOG_COUNT = "(k + j) % 3"
-LOG_TOKEN = "(k * 7 + j * 3 + i) % 2500"
+LOG_TOKEN = "(k * 7 + j * 3 + i) % np"
 TOPIC_CASE = "(k + i) % 6"
 DATA_CASE = "(k + j + i) % 4"
 LOG_DOC = {
@@ -293,6 +289,10 @@ def _block_document() -> str:
     return f"to_json({_struct(fields)})"
 
 
+def part_count(spark: SparkSession, sf_dir: str) -> Column:
+    return load(spark, sf_dir, "part").agg(F.count("*").alias("np")).scalar()
+
+
 def block_documents(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Raw documents in column ``info``.
 
@@ -300,7 +300,9 @@ def block_documents(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     documents are built.
     """
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seeds = load(spark, sf_dir, "orders").repartition(tasks, "o_orderkey").selectExpr(
+    orders = load(spark, sf_dir, "orders").withColumn("np", part_count(spark, sf_dir))
+    seeds = orders.repartition(tasks, "o_orderkey").selectExpr(
+        "np",
         "o_orderkey as k",
         "o_custkey as c",
         "cast(round(o_totalprice * 100) as bigint) as pc",
@@ -332,7 +334,8 @@ def source_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 BLOCKS_SQL = """seed AS (
   SELECT o_orderkey AS k, o_custkey AS c, CAST(round(o_totalprice * 100) AS BIGINT) AS pc,
          4365000 + o_orderkey * 200 AS b,
-         date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 + (o_orderkey * 37) % 86400 AS e
+         date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 + (o_orderkey * 37) % 86400 AS e,
+         (SELECT count(*) FROM part) AS np
   FROM orders),
 jt AS (
   SELECT *, strftime(date_time, '%H') AS dh, CAST(date_time AS DATE) AS transaction_date
@@ -357,8 +360,8 @@ TOKENS_SQL = f"""tok AS (
 
 def token_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Highest order price per token and day, as a table; a third of the orders sets none."""
-    quotes = load(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0")
-    token = F.expr("concat('tok-', cast((o_orderkey * 7) % 2500 as string))")
+    quotes = load(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").withColumn("np", part_count(spark, sf_dir))
+    token = F.expr("concat('tok-', cast((o_orderkey * 7) % np as string))")
     return _staged(spark, sf_dir, "token-price", lambda: _highest_price(quotes, token))
 
 
@@ -369,7 +372,7 @@ def _highest_price(quotes: DataFrame, asset: Column) -> DataFrame:
 
 
 TOKEN_PRICES_SQL = """pr AS (
-  SELECT concat('tok-', CAST((o_orderkey * 7) % 2500 AS VARCHAR)) AS id, CAST(o_orderdate AS DATE) AS transaction_date,
+  SELECT concat('tok-', CAST((o_orderkey * 7) % (SELECT count(*) FROM part) AS VARCHAR)) AS id, CAST(o_orderdate AS DATE) AS transaction_date,
          max(CAST(o_totalprice AS DECIMAL(18,2))) AS price_us
   FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY ALL)"""
 

@@ -12,12 +12,13 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import as_date
 from ledgerlake.operators import activity, calls, entities, flows, metrics, native, parse, rankings, totals, transfers
 from ledgerlake.sources.readers import between_days, read_raw, scan
 from ledgerlake.sources.sinks import write_partitions
-from ledgerlake.sources.windows import Windows
+from ledgerlake.sources.windows import Windows, backfill
 
 DATE = "transaction_date"
 PARSERS = {
@@ -73,13 +74,20 @@ class Warehouse:
 
     def load_raw(self, raw_root: str, day: str | dt.date, files: str = "*.log") -> None:
         """Lines that arrived in the last days to the source table."""
-        lines = read_raw(self.spark, raw_root, day, self.windows.raw, files)
-        self.write(scan(parse.envelope(lines), since=self.since("parse", day)), "stage/source")
+        lines = parse.envelope(read_raw(self.spark, raw_root, day, self.windows.raw, files))
+        self.write(scan(lines, since=self.since("parse", day)), "stage/source")
+        # Undated and malformed documents stay in reach, under the day of the run.
+        self.write(calls.quarantine(lines).withColumn("run_date", F.lit(as_date(day))), "stage/quarantine", ("run_date",))
 
     def load_documents(self, documents: DataFrame) -> None:
         """Backfill of the source table from a frame of documents."""
         self.write(parse.envelope(documents), "stage/source")
 
+    def backfill_ods(self, month: str | None = None, day: str | None = None) -> None:
+        """One month, or one day, of the fresh tables anew to the promoted ones."""
+        for table in ("source", *PARSERS):
+            self.write(backfill(self.read(f"stage/{table}"), month, day).drop("dh"), f"ods/{table}")
+
     def parse_stage(self, day: Day = None) -> None:
         source = scan(self.read("stage/source"), since=self.since("parse", day))
         for table, parser in PARSERS.items():

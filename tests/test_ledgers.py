@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import native, transfers
+from ledgerlake.operators import metrics, native, transfers
 
 DAY = dt.date(2019, 1, 1)
 NOON = dt.datetime(2019, 1, 1, 12)
@@ -59,12 +59,26 @@ def test_enrich(spark, tokens):
     moves = transfers.decode_transfers(spark.createDataFrame(
         [log(FULL, "25"), log(FULL, "0x"), log(FULL, "0x" + "f" * 64), log(FULL, "7", address="0xnone")], LOG))
     prices = spark.createDataFrame([("a", Decimal("0.00000003"), DAY)], PRICE)
-    got = {r.value if not r.overflow else "over": r for r in transfers.enrich_transfers(moves, tokens, prices).collect()}
-    assert got[Decimal("2.5")].amount == Decimal("0.000000075")
-    assert (got[None].amount, got[None].overflow) == (None, False)
-    assert (got["over"].value, got["over"].amount) == (None, None)
-    assert (got[Decimal(7)].price_us, got[Decimal(7)].amount, got[Decimal(7)].token_symbol) == (None, None, "N")
-    assert got[Decimal(7)].dh == "12"
+    got = {r.value: r for r in transfers.enrich_transfers(moves, tokens, prices).collect()}
+    assert got["2.5"].amount == "0.000000075"
+    assert got[None].amount is None
+    widest, product = str(2**256 - 1), str(3 * (2**256 - 1))
+    assert got[f"{widest[:-1]}.{widest[-1]}"].amount == f"{product[:-9]}.{product[-9:]}"
+    assert (got["7"].price_us, got["7"].amount, got["7"].token_symbol) == (None, None, "N")
+    assert got["7"].dh == "12"
+
+
+def test_widest_word_reaches_the_metrics(spark, tokens):
+    """A 256-bit value is counted whole in volume, amount and averages."""
+    moves = transfers.decode_transfers(spark.createDataFrame([log(FULL, "0x" + "f" * 64), log(FULL, "25")], LOG))
+    prices = spark.createDataFrame([("a", Decimal("2"), DAY)], PRICE)
+    ledger = transfers.enrich_transfers(moves, tokens, prices)
+    listed = ledger.select("token_address", "transaction_date").distinct()
+    whole = Decimal(2**256 - 1 + 25).scaleb(-1)
+    for measure, want in (("volume", whole), ("amount", whole * 2)):
+        for got in (metrics.rollup_metric(ledger, listed, measure), metrics.rollup_grains(ledger, listed, measure)):
+            assert {r.value_num for r in got.collect()} == {float(want)}
+    assert [r.value_num for r in metrics.avg_metric(ledger, listed).collect()] == [float(whole) / 2]
 
 
 def test_reward_heights(spark):
@@ -84,11 +98,13 @@ def test_rewards_and_fees(spark):
     base = spark.createDataFrame([(10, "21000", "0x3b9aca00"), (10, "21000", "1000000000"), (10, "", "5"), (10, "5", "")],
                                  "block_number bigint, base_gas_used string, base_gas_price string")
     fees = native.block_fees(base)
-    assert fees.collect()[0].service_charge == Decimal("0.000042")
-    assert sorted(r.value for r in native.uncle_rewards(uncles).collect()) == [Decimal("3.75"), Decimal("4.375")]
+    assert fees.collect()[0].service_charge == "0.000042"
+    assert sorted(r.value for r in native.uncle_rewards(uncles).collect()) == ["3.75", "4.375"]
     got = {r.block_number: r for r in native.block_rewards(blocks, uncles, fees).collect()}
-    assert got[10].value == Decimal("5") + Decimal("0.3125") + Decimal("0.000042")
-    assert got[7080001].value == 2
+    assert got[10].value == "5.312542"
+    assert got[7080001].value == "2"
+    wide = spark.createDataFrame([(11, "3", "9" * 60), (11, "2", "1.5")], base.schema)
+    assert native.block_fees(wide).collect()[0].service_charge == "3" + "0" * 42  # 3e60 wei
     assert got[10].from_address == "0x^0"
 
 
@@ -99,10 +115,9 @@ def test_movements_and_pricing(spark):
     rows = [(1, "0xa", "0xb", v, e, "0", "0xt", NOON, DAY) for v, e in (("0xde0b6b3a7640000", ""), ("2.5", ""), ("0x", ""), ("0x1", "bad"))]
     rows += [(1, "", "0xb", "0x1", "", "0", "0xt", NOON, DAY), (1, "0xa", "", "0x1", "", "0", "0xt", NOON, DAY)]
     moves = native.trace_movements(spark.createDataFrame(rows, MOVE))
-    assert [r.value for r in moves.collect()] == [Decimal(1), Decimal("2.5"), None]
+    assert [r.value for r in moves.collect()] == ["1", "2.5", None]
     prices = spark.createDataFrame([("ethereum", Decimal("100.5"), DAY), ("other", Decimal(1), DAY)], PRICE)
     priced = native.price_ledger(moves, prices).collect()
-    assert [r.amount for r in priced] == [Decimal("100.5"), Decimal("251.25"), None]
-    assert not any(r.overflow for r in priced)
+    assert [r.amount for r in priced] == ["100.5", "251.25", None]
     unpriced = native.price_ledger(moves, prices.where("id = 'other'")).collect()
-    assert [(r.price_us, r.amount) for r in unpriced][:2] == [(Decimal(0), Decimal(0))] * 2
+    assert [(r.price_us, r.amount) for r in unpriced][:2] == [(Decimal(0), "0")] * 2

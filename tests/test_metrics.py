@@ -156,6 +156,21 @@ def test_totals_daily_and_full(spark):
     assert [tuple(r) for r in step] == [(5, d("2019-01-04"))]
 
 
+def test_totals_after_quiet_days_and_on_a_list_with_gaps(spark):
+    moves = frame(spark, row("2019-01-01", "a", "b"), row("2019-01-02", "c", "a"), row("2019-01-03", "d", "a"))
+    native = entities.first_seen(moves.where("transaction_date != date'2019-01-02'"), [])
+    prior = totals.running_total(native.where("transaction_date < date'2019-01-03'"))
+    assert [r.value_num for r in totals.running_total_day(native, prior, "2019-01-03").collect()] == [3]
+    assert [r.value_num for r in totals.running_total_day(native, prior.where("false"), "2019-01-03").collect()] == [3]
+    seen = entities.first_seen(moves)
+    days = listed(spark, "2019-01-01", "2019-01-03").where("transaction_date != date'2019-01-02' and token_address = 'T'")
+    full = totals.running_total_by_token(seen, days)
+    assert sorted((str(r.transaction_date), r.value_num) for r in full.collect()) == [("2019-01-01", 2), ("2019-01-03", 4)]
+    prior = full.where("transaction_date < date'2019-01-03'")
+    step = totals.running_total_by_token_day(seen, days, prior, "2019-01-03").collect()
+    assert [(r.token_address, r.value_num) for r in step] == [("T", 4)]
+
+
 def test_flows_ignore_duplicate_listings(spark):
     moves = frame(spark, row("2019-01-01", "a", "x", value=3), row("2019-01-01", "x", "a", value=5), row("2019-01-02", "a", "x", value=7))
     exchanges = spark.createDataFrame([("x",), ("x",)], "address string")

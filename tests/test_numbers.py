@@ -1,5 +1,5 @@
 import random
-from decimal import ROUND_HALF_UP, Decimal, getcontext
+from decimal import Decimal, getcontext, localcontext
 
 from pyspark.sql import functions as F
 
@@ -26,34 +26,43 @@ def test_integer_text_and_bigint(spark):
 
 
 def test_unit_scale(spark):
-    cases = [("1500000", 6, "1.5"), ("5", 3, "0.005"), ("0", 0, "0"), ("100", 0, "100"), ("00120", 1, "12"), ("x", 1, None), (None, 1, None)]
+    cases = [("1500000", 6, "1.5"), ("5", 3, "0.005"), ("0", 0, "0"), ("100", 0, "100"), ("00120", 1, "12"), ("x", 1, None), (None, 1, None), ("9" * 78, 60, "9" * 18 + "." + "9" * 60)]
     df = spark.createDataFrame(cases, "v string, d int, want string")
-    rows = df.select("want", N.unit_scale_text(F.col("v"), F.col("d")), N.unit_scale(F.col("v"), F.col("d"))).collect()
-    for want, text, number in rows:
-        assert text == want
-        assert number == (None if want is None else Decimal(want))
+    assert df.where(~N.unit_scale_text(F.col("v"), F.col("d")).eqNullSafe(F.col("want"))).collect() == []
+    moved = [("12.5", 2, "0.125"), ("-12.5", 1, "-1.25"), ("0", 18, "0"), ("9" * 90 + ".5", 3, "9" * 87 + ".9995")]
+    df = spark.createDataFrame(moved, "v string, d int, want string")
+    assert df.where(~N.shift_point(F.col("v"), F.col("d")).eqNullSafe(F.col("want"))).collect() == []
 
 
-def test_unit_scale_overflow_is_null(spark):
-    df = spark.createDataFrame([("9" * 38, 18), ("9" * 39, 18), ("9" * 78, 60)], "v string, d int")
-    got = [r[0] for r in df.select(N.unit_scale(F.col("v"), F.col("d"))).collect()]
-    assert got == [Decimal("9" * 20 + "." + "9" * 18), None, Decimal("1e18")]
-    assert df.select(N.unit_scale_text(F.col("v"), F.col("d"))).collect()[2][0] == "9" * 18 + "." + "9" * 60
+def plain(number: Decimal) -> str:
+    text = f"{number:f}"
+    return text.rstrip("0").rstrip(".") if "." in text else text
 
 
-def test_exact_amount(spark):
+def test_exact_amount_of_any_length(spark):
     rng = random.Random(9)
-    unit = Decimal(1).scaleb(-18)
     rows = []
-    for _ in range(300):
-        value = Decimal(rng.randrange(10 ** rng.randint(1, 37))) * unit
-        price = Decimal(rng.randrange(10 ** rng.randint(1, 28))) * unit
-        want = (value * price).quantize(unit, ROUND_HALF_UP)
-        if want < 10**19:
-            rows.append((value, price, want))
-    df = spark.createDataFrame(rows, "v decimal(38,18), p decimal(38,18), want decimal(38,18)")
+    with localcontext() as context:
+        context.prec = 500
+        for _ in range(300):
+            value = Decimal(rng.randrange(10 ** rng.randint(1, 78))).scaleb(-rng.randint(0, 60))
+            price = Decimal(rng.randrange(10 ** rng.randint(1, 60))).scaleb(-rng.randint(0, 30))
+            rows.append((plain(value), plain(price), plain(value * price)))
+        rows += [("-2.5", "4", "-10"), ("-2", "0", "0"), ("x", "1", None), (None, "1", None)]
+    df = spark.createDataFrame(rows, "v string, p string, want string")
     assert df.where(~N.exact_amount(F.col("v"), F.col("p")).eqNullSafe(F.col("want"))).collect() == []
-    assert len(rows) > 200
+
+
+def test_add_text(spark):
+    rng = random.Random(3)
+    rows = []
+    with localcontext() as context:
+        context.prec = 500
+        for _ in range(100):
+            a, b = (Decimal(rng.randrange(10 ** rng.randint(1, 80))).scaleb(-rng.randint(0, 40)) for _ in "ab")
+            rows.append((plain(a), plain(b), plain(a + b)))
+    df = spark.createDataFrame(rows, "a string, b string, want string")
+    assert df.where(~N.add_text(F.col("a"), F.col("b")).eqNullSafe(F.col("want"))).collect() == []
 
 
 def test_plain_decimal(spark):
@@ -61,9 +70,25 @@ def test_plain_decimal(spark):
     assert df.where(N.plain_decimal(F.col("x")) != F.col("want")).collect() == []
     smallest = spark.sql("select cast('0.000000000000000001' as decimal(38,18)) x").select(N.plain_decimal(F.col("x")))
     assert smallest.collect()[0][0] == "0.000000000000000001"
+    texts = [("1e39", "1" + "0" * 39), ("1e-20", "0." + "0" * 19 + "1"), ("-1.50E+2", "-150"), ("007", "7"), (".5", "0.5"), ("5.", "5"), ("", None), ("abc", None), ("1e", None), ("-0.0", "0")]
+    df = spark.createDataFrame(texts, "x string, want string")
+    assert df.where(~N.plain_decimal(F.col("x")).eqNullSafe(F.col("want"))).collect() == []
 
 
-def test_sum_exact_falls_back_to_doubles(spark):
-    df = spark.sql("select cast('99999999999999999999' as decimal(38,18)) x from range(3)")
-    assert abs(df.select(N.sum_exact(F.col("x"))).collect()[0][0] - 3e20) < 1e6
-    assert spark.sql("select 0.1BD x from range(10)").select(N.sum_exact(F.col("x"))).collect()[0][0] == 1.0
+def test_sums_are_exact_at_any_size_and_in_any_order(spark):
+    rng = random.Random(5)
+    with localcontext() as context:
+        context.prec = 600
+        values = [Decimal(rng.randrange(-(10**78), 10**78)).scaleb(-rng.choice([0, 6, 18, 77, 200])) for _ in range(200)]
+        want = sum(values)
+        rows = [(plain(v),) for v in values] + [(None,)]
+    for parts in (1, 7):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "x string").repartition(parts)
+        assert df.select(N.sum_text(F.col("x"))).collect()[0][0] == plain(want)
+        assert df.select(N.sum_exact(df, "x")).collect()[0][0] == float(plain(want))
+    assert df.where("false").select(N.sum_text(F.col("x"))).collect()[0][0] is None
+    big = spark.sql("select cast('99999999999999999999' as decimal(38,18)) x from range(3)")
+    assert big.select(N.sum_exact(big, "x")).collect()[0][0] == float("299999999999999999997")
+    small = spark.sql("select 0.1BD x from range(10)")
+    assert small.select(N.sum_exact(small, "x")).collect()[0][0] == 1.0

@@ -105,6 +105,32 @@ def test_call_tree_flushes_large_trees(source, monkeypatch):
     assert sorted(map(tuple, calls.flatten_calls(source).collect()), key=str) == whole
 
 
+def nested(levels):
+    tree = "[]"
+    for _ in range(levels):
+        tree = '[{"from":"0xa","calls":' + tree + "}]"
+    return '{"number":"1","timestamp":"1","transactions":[{"base":{"hash":"0xT"},"trace":{"calls":' + tree + "}}]}"
+
+
+def test_malformed_documents_give_what_they_hold(spark):
+    documents = [
+        '{"number":"1","timestamp":"1","transactions":"oops"}',
+        '{"number":"2","timestamp":"1","transactions":[null,{"base":"x"},{"base":{"hash":"0xG"},"trace":{"calls":[{"from":"0xF"},7]}}]}',
+        '{"number":"3","timestamp":"1","transactions":[{"base":{"hash":"0xH"},"trace":"x"}]}',
+        '{"base":{"x"}',
+        "no json",
+        '{"number":"4","transactions":[]}',
+        None,
+        nested(20_000),
+    ]
+    envelope = parse.envelope(spark.createDataFrame([(x,) for x in documents], "info string"))
+    got = calls.flatten_calls(envelope)
+    counts = {r.calls_transaction_hash: r["count"] for r in got.groupBy("calls_transaction_hash").count().collect()}
+    assert counts == {"0xg": 2, "0xt": 20_000}
+    kept = calls.quarantine(envelope).groupBy("reason").count().collect()
+    assert {r.reason: r["count"] for r in kept} == {"transactions": 1, "undated": 2, "no object": 2}
+
+
 def test_exclude_senders(source):
     flat = calls.flatten_calls(source)
     assert calls.exclude_senders(flat, ["0xAA"]).count() == 4
