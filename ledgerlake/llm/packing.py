@@ -23,6 +23,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ WINDOW = 1024
 DEPTH = 3
 BUCKET = 50_000
 STEPS = 400
-CACHE = 1_500_000  # words whose ids a worker keeps
+CACHE = 500_000  # words whose ids a worker keeps
 
 # --- tokens ---
 
@@ -67,9 +68,9 @@ class Encoder:
                 continue
             split[k] = _WORD.findall(text)
             missing.update(split[k])
-        if len(self.known) > CACHE:
-            self.known.clear()
-        words = list(missing.difference(self.known))
+        if len(self.known) > CACHE:  # those that came first are the frequent ones
+            self.known = dict(islice(self.known.items(), CACHE // 2))
+        words = [w for w in missing if w not in self.known]
         for word, ids in zip(words, self._ids(words)):
             self.known[word] = ids
         for k, words in split.items():
