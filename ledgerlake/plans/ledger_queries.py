@@ -91,7 +91,7 @@ register(
 SENDERS = [f"0x{number:040X}" for number in (1, 10, 100)]
 register(
     "exclude_senders",
-    lambda spark, sf: C.exclude_senders(C.flatten_calls(_source(spark, sf)), SENDERS),
+    lambda spark, sf: C.exclude_senders(V.part_table(spark, sf, "calls"), SENDERS),
     f"WITH {B}, {_CALLS_SQL} {_CALLS_OUT} WHERE calls_from NOT IN ({', '.join(repr(s.lower()) for s in SENDERS)})",
 )
 _UNCLES_SQL = f"""un AS (
@@ -141,7 +141,7 @@ def amount_sql(source: str, whole: str = "u", cents: str = "pcent", places: str
 
 
 def _selected(spark: SparkSession, sf: str) -> DataFrame:
-    return transfers.select_transfer_logs(parse.parse_logs(_source(spark, sf)), V.token_dim(spark, sf))
+    return transfers.select_transfer_logs(V.part_table(spark, sf, "logs"), V.token_dim(spark, sf))
 
 
 def _decoded(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,8 +149,7 @@ def _decoded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _valid(spark: SparkSession, sf: str) -> DataFrame:
-    source = _source(spark, sf)
-    return transfers.valid_transfers(_decoded(spark, sf), parse.parse_receipts(source), parse.parse_traces(source))
+    return transfers.valid_transfers(_decoded(spark, sf), V.part_table(spark, sf, "receipt"), V.part_table(spark, sf, "trace"))
 
 
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,29 +238,26 @@ _LEDGER_OUT = f"""SELECT b AS block_number, from_address, to_address, {scaled_sq
 
 
 def _fees(spark: SparkSession, sf: str) -> DataFrame:
-    return native.block_fees(parse.parse_transactions(_source(spark, sf)))
+    return native.block_fees(V.part_table(spark, sf, "base"))
 
 
 def _block_rewards(spark: SparkSession, sf: str) -> DataFrame:
-    source = _source(spark, sf)
-    return native.block_rewards(parse.parse_blocks(source), parse.parse_uncles(source), _fees(spark, sf))
+    return native.block_rewards(V.part_table(spark, sf, "block"), V.part_table(spark, sf, "uncles"), _fees(spark, sf))
 
 
 def _movements(spark: SparkSession, sf: str) -> DataFrame:
-    source = _source(spark, sf)
-    return native.trace_movements(parse.parse_traces(source)).unionByName(
-        native.call_movements(C.flatten_calls(source))
+    return native.trace_movements(V.part_table(spark, sf, "trace")).unionByName(
+        native.call_movements(V.part_table(spark, sf, "calls"))
     )
 
 
 def _ledger(spark: SparkSession, sf: str) -> DataFrame:
-    source = _source(spark, sf)
     return native.native_ledger(
-        parse.parse_blocks(source),
-        parse.parse_transactions(source),
-        parse.parse_uncles(source),
-        parse.parse_traces(source),
-        C.flatten_calls(source),
+        V.part_table(spark, sf, "block"),
+        V.part_table(spark, sf, "base"),
+        V.part_table(spark, sf, "uncles"),
+        V.part_table(spark, sf, "trace"),
+        V.part_table(spark, sf, "calls"),
     )
 
 
@@ -272,7 +268,7 @@ register(
 )
 register(
     "uncle_rewards",
-    lambda spark, sf: native.uncle_rewards(parse.parse_uncles(_source(spark, sf))),
+    lambda spark, sf: native.uncle_rewards(V.part_table(spark, sf, "uncles")),
     f"WITH {B}, {_LEDGER_SQL} {_LEDGER_OUT} FROM lu",
 )
 register(

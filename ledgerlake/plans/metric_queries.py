@@ -35,8 +35,7 @@ def _first_seen(keys: list[str], sides: tuple[str, ...], day: str | None):
         ledger = V.transfers(spark, sf)
         if day is None:
             return entities.first_seen(ledger, keys, sides)
-        earlier = ledger.where(F.col("transaction_date") < F.lit(day).cast("date"))
-        return entities.first_seen(ledger, keys, sides, day, entities.first_seen(earlier, keys, sides))
+        return entities.first_seen(ledger, keys, sides, day, V.first_seen_table(spark, sf, tuple(keys), sides))
 
     return run
 
@@ -94,15 +93,16 @@ AGGREGATE_SQL = {
 }
 
 
-def _ledger(spark: SparkSession, sf: str, measure: str) -> DataFrame:
-    if measure == "new_addresses":
-        return entities.first_seen(V.transfers(spark, sf))
-    return V.transfers(spark, sf)
+def _ledger(spark: SparkSession, sf: str, measure: str, day: str | None) -> DataFrame:
+    """A daily run reads the kept first-seen table, a backfill makes it from the ledger."""
+    if measure != "new_addresses":
+        return V.transfers(spark, sf)
+    return entities.first_seen(V.transfers(spark, sf)) if day is None else V.first_seen_table(spark, sf, ("token_address",))
 
 
 def _rollup(measure: str, grain: str, day: str | None):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return metrics.rollup_metric(_ledger(spark, sf, measure), V.transfer_spine(spark, sf), measure, grain, day)
+        return metrics.rollup_metric(_ledger(spark, sf, measure, day), V.transfer_spine(spark, sf), measure, grain, day)
 
     return run
 
@@ -164,8 +164,10 @@ register("volume_all_grains", _grains, _grains_oracle())
 def _hourly(measure: str, day: str | None):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         ledger = V.events(spark, sf)
-        if measure == "new_addresses":
+        if measure == "new_addresses" and day is None:
             ledger = entities.first_seen(ledger)
+        elif measure == "new_addresses":
+            ledger = V.first_seen_table(spark, sf, ("token_address",), view="events")
         return metrics.hourly_metric(ledger, V.event_spine(spark, sf), measure, day)
 
     return run
@@ -204,14 +206,14 @@ NATIVE_SQL = _first_seen_sql([], entities.BOTH_SIDES)
 NATIVE_DAY = "1995-01-20"
 
 
-def _native_seen(spark: SparkSession, sf: str) -> DataFrame:
-    return entities.first_seen(V.transfers(spark, sf), [])
+def _native_seen(spark: SparkSession, sf: str, day: str | None = None) -> DataFrame:
+    return entities.first_seen(V.transfers(spark, sf), []) if day is None else V.first_seen_table(spark, sf, ())
 
 
 for _mode, _day in (("day", NATIVE_DAY), ("full", None)):
     register(
         f"native_new_addresses_{_mode}",
-        lambda spark, sf, day=_day: metrics.new_addresses(_native_seen(spark, sf), day=day),
+        lambda spark, sf, day=_day: metrics.new_addresses(_native_seen(spark, sf, day), day=day),
         f"""WITH {T}, {NATIVE_SQL} SELECT count(*) AS value_num, CAST(transaction_date AS VARCHAR) AS transaction_date
         FROM fs {'' if _day is None else f"WHERE transaction_date = DATE '{_day}'"} GROUP BY transaction_date""",
     )
@@ -266,13 +268,12 @@ for _name, _side in (("exchange_in", "to_address"), ("exchange_out", "from_addre
 
 
 def _total_native_day(spark: SparkSession, sf: str) -> DataFrame:
-    seen = _native_seen(spark, sf)
-    before = seen.where(F.col("transaction_date") < F.lit(NATIVE_DAY).cast("date"))
-    return totals.running_total_day(seen, totals.running_total(before), NATIVE_DAY)
+    return totals.running_total_day(_native_seen(spark, sf, NATIVE_DAY), V.total_table(spark, sf, False), NATIVE_DAY)
 
 
 _TOTAL_NATIVE = f"""WITH {T}, {NATIVE_SQL},
-  r AS (SELECT sum(count(*)) OVER (ORDER BY transaction_date) AS v, transaction_date FROM fs GROUP BY transaction_date)
+  n AS (SELECT transaction_date, count(*) AS c FROM fs GROUP BY transaction_date),
+  r AS (SELECT a.transaction_date, sum(b.c) AS v FROM n a JOIN n b ON b.transaction_date <= a.transaction_date GROUP BY 1)
   SELECT CAST(v AS BIGINT) AS value_num, CAST(transaction_date AS VARCHAR) AS transaction_date FROM r"""
 register("total_addresses_native_full", lambda spark, sf: totals.running_total(_native_seen(spark, sf)), _TOTAL_NATIVE)
 register(
@@ -284,12 +285,11 @@ TOTAL_DAY = "1995-06-30"
 
 def _total_token(day: str | None):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        seen, listed = entities.first_seen(V.transfers(spark, sf)), V.transfer_spine(spark, sf)
+        listed = V.transfer_spine(spark, sf)
         if day is None:
-            return totals.running_total_by_token(seen, listed)
-        before = F.col("transaction_date") < F.lit(day).cast("date")
-        prior = totals.running_total_by_token(seen.where(before), listed.where(before))
-        return totals.running_total_by_token_day(seen, listed, prior, day)
+            return totals.running_total_by_token(entities.first_seen(V.transfers(spark, sf)), listed)
+        seen = V.first_seen_table(spark, sf, ("token_address",))
+        return totals.running_total_by_token_day(seen, listed, V.total_table(spark, sf, True), day)
 
     return run
 
@@ -309,7 +309,7 @@ register("total_addresses_token_day", _total_token(TOTAL_DAY), f"{_TOTAL_TOKEN}
 def _activity(operator):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         ledger = V.transfers(spark, sf)
-        first_sent = entities.first_seen(ledger, sides=("from_address",))
+        first_sent = V.first_seen_table(spark, sf, ("token_address",), ("from_address",))
         return operator(first_sent, ledger, V.transfer_spine(spark, sf), DAY)
 
     return run

@@ -186,14 +186,20 @@ register(
 
 
 def _late_data(spark: SparkSession, sf: str) -> DataFrame:
-    """A table built before the returned lines had arrived, then its last days recomputed with them."""
+    """A table written before the returned lines had arrived, then its last days recomputed with them and replaced."""
     lines, parts = V.load(spark, sf, "lineitem"), V.load(spark, sf, "part")
     dated = lines.join(parts, lines.l_partkey == parts.p_partkey).select(
         F.col("p_brand").alias("token_address"), F.to_date("l_shipdate").alias("transaction_date"), "l_returnflag"
     )
-    volume = lambda rows: rows.groupBy("token_address", "transaction_date").agg(F.count("*").alias("value_num"))
-    early = volume(dated.where(F.col("l_returnflag") != "R"))
-    return windows.replace_window(early, volume(dated), windows.Windows().since("ledger", DAY))
+    by_month = F.date_format("transaction_date", "yyyy-MM")
+    trades = lambda rows: (
+        rows.groupBy("token_address", "transaction_date").agg(F.count("*").alias("value_num")).withColumn("month", by_month)
+    )
+    path = scratch_path(spark, "late")
+    sinks.write_partitions(trades(dated.where(F.col("l_returnflag") != "R")), path, ["month", "transaction_date"])
+    since = windows.Windows().since("ledger", DAY)
+    sinks.write_partitions(trades(readers.scan(dated, since=since)), path, ["month", "transaction_date"])
+    return spark.read.parquet(path).select("token_address", "transaction_date", "value_num")
 
 
 register(

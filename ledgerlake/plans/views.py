@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import calls, entities, parse, totals
 from ledgerlake.operators.parse import envelope
 from ledgerlake.operators.spine import spine_days
 from ledgerlake.operators.transfers import TRANSFER_TOPIC
@@ -54,8 +55,10 @@ def _first_last(spark: SparkSession, sf_dir: str, name: str, ts: str):
 
 
 def transfer_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token list, an input table of the warehouse: made once."""
     tokens = load(spark, sf_dir, "part").select(F.col("p_brand").alias("token_address")).distinct()
-    return spine_days(tokens, *_first_last(spark, sf_dir, "lineitem", "l_shipdate"))
+    listed = lambda: by_date(spine_days(tokens, *_first_last(spark, sf_dir, "lineitem", "l_shipdate")))
+    return _staged(spark, sf_dir, "transfer-list", listed)
 
 
 def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +103,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = load(spark, sf_dir, "events").select(F.col("event_type").alias("token_address")).distinct()
-    return spine_days(tokens, *_first_last(spark, sf_dir, "events", "ts"))
+    return _staged(spark, sf_dir, "event-list", lambda: by_date(spine_days(tokens, *_first_last(spark, sf_dir, "events", "ts"))))
 
 
 EVENTS_SQL = """e AS (
@@ -331,6 +334,46 @@ def source_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, "source", lambda: envelope(block_documents(spark, sf_dir)))
 
 
+PARSERS = {
+    "block": parse.parse_blocks,
+    "base": parse.parse_transactions,
+    "receipt": parse.parse_receipts,
+    "logs": parse.parse_logs,
+    "trace": parse.parse_traces,
+    "calls": calls.flatten_calls,
+    "uncles": parse.parse_uncles,
+}
+
+
+def part_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the parsed tables of the documents: parsed once, read by all that follows."""
+    return _staged(spark, sf_dir, f"part-{name}", lambda: PARSERS[name](source_table(spark, sf_dir)))
+
+
+def by_date(df: DataFrame) -> DataFrame:
+    """Rows of neighbouring dates in the same files, so that a range of dates skips the others."""
+    return df.repartitionByRange("transaction_date").sortWithinPartitions("transaction_date")
+
+
+def first_seen_table(
+    spark: SparkSession, sf_dir: str, keys: tuple[str, ...], sides: tuple[str, ...] = entities.BOTH_SIDES, view: str = "transfers"
+) -> DataFrame:
+    """The first-seen table that daily runs keep, as it stands after all of history."""
+    ledger = {"transfers": transfers, "events": events}[view]
+    name = "-".join(("seen", view, *keys, *sides))
+    return _staged(spark, sf_dir, name, lambda: by_date(entities.first_seen(ledger(spark, sf_dir), keys, sides)))
+
+
+def total_table(spark: SparkSession, sf_dir: str, per_token: bool) -> DataFrame:
+    """The running totals that daily runs keep."""
+    if per_token:
+        seen = first_seen_table(spark, sf_dir, ("token_address",))
+        build = lambda: by_date(totals.running_total_by_token(seen, transfer_spine(spark, sf_dir)))
+        return _staged(spark, sf_dir, "total-token", build)
+    seen = first_seen_table(spark, sf_dir, ())
+    return _staged(spark, sf_dir, "total-native", lambda: totals.running_total(seen))
+
+
 BLOCKS_SQL = """seed AS (
   SELECT o_orderkey AS k, o_custkey AS c, CAST(round(o_totalprice * 100) AS BIGINT) AS pc,
          4365000 + o_orderkey * 200 AS b,
