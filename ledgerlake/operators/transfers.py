@@ -7,27 +7,27 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import hour_key
 from ledgerlake.functions.numbers import exact_amount, hex_to_decimal, integer_text, unit_scale_text
-from ledgerlake.functions.text import split_json_list
 
 # Fixed value: first topic of a token Transfer event.
 TRANSFER_TOPIC = "0xddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
 ADDRESS_DIGITS = 40
 
 
+def topic_list() -> Column:
+    return F.from_json("logs_topics", "array<string>")
+
+
 def select_transfer_logs(logs: DataFrame, tokens: DataFrame, topic: str = TRANSFER_TOPIC) -> DataFrame:
     """Transfer events with both parties indexed, of tokens in the dimension."""
-    wanted = (
-        (F.col("logs_address") != "")
-        & (F.col("logs_topics_one") == topic)
-        & (F.size(F.split("logs_topics", ",")) > 2)
-    )
+    both_parties = F.size(topic_list()) >= 3  # the event and its two indexed parties
+    wanted = (F.col("logs_address") != "") & (F.col("logs_topics_one") == topic) & both_parties
     return logs.where(wanted).join(tokens.select(F.col("address").alias("logs_address")), "logs_address", "left_semi")
 
 
 def decode_transfers(logs: DataFrame) -> DataFrame:
     """Parties from topics 1 and 2, raw value (exact digits) from the data word."""
-    party = lambda n: F.concat(F.lit("0x"), F.right(F.col("_topics")[n], F.lit(ADDRESS_DIGITS)))
-    return logs.withColumn("_topics", split_json_list(F.col("logs_topics"))).select(
+    party = lambda n: F.concat(F.lit("0x"), F.right(F.get("_topics", F.lit(n)), F.lit(ADDRESS_DIGITS)))
+    return logs.withColumn("_topics", topic_list()).select(
         "block_number",
         "logs_address",
         party(1).alias("from_address"),
