@@ -59,6 +59,18 @@ def in_tasks(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Itera
     return df.mapInArrow(function, schema)
 
 
+# The model that a worker process holds, by name; a new one takes the place of the last, so memory is bounded by one.
+_HELD: dict[object, object] = {}
+
+
+def held(key: object, build: Callable[[], object]) -> object:
+    """Inside a task: the model of this name, built once per worker process."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def small_slices(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of at most so many rows and about so many bytes."""
     for batch in batches:

@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import in_tasks, small_slices
+from ledgerlake.llm.common import held, in_tasks, small_slices
 
 SAMPLE_DOCS = 64
 SAMPLE_DOC_CHARS = 1000
-SAMPLE_CHARS = 32_000
+SAMPLE_CHARS = 20_000
 SEGMENT = 256
 UNDECIDED = "und"
 
@@ -187,17 +187,6 @@ class Parser:
         return langs, scores
 
 
-_PARSERS: dict[int, Parser] = {}
-
-
-def _parser(labelled: list[tuple[str, str]], key: int) -> Parser:
-    """One parser per worker process; automata are built where they are used."""
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = Parser(labelled)
-    return _PARSERS[key]
-
-
 def identify(
     docs: DataFrame,
     labelled: list[tuple[str, str]],
@@ -210,7 +199,7 @@ def identify(
     shared = docs.sparkSession.sparkContext.broadcast(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = _parser(shared.value, key)
+        parser = held(("languages", key), lambda: Parser(shared.value))  # automata are built where they are used
         for part in small_slices(batches, rows=2048, size=2 << 20):
             langs, scores = parser.identify(part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(

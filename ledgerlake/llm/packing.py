@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import in_tasks, small_slices, staged
+from ledgerlake.llm.common import held, in_tasks, small_slices, staged
 
 WINDOW = 1024
 DEPTH = 3
@@ -85,16 +85,13 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in found]  # four bytes each, the lowest first
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, start, length, ids_crc32 and doc_tokens of every piece; ``vocabulary`` is a path on every machine."""
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_kind = narrow.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get(vocabulary) or _ENCODERS.setdefault(vocabulary, Encoder(vocabulary))
+        encoder = held(("encoder", vocabulary), lambda: Encoder(vocabulary))
         for part in small_slices(batches):
             owner, rows = [], []
             for k, ids in enumerate(encoder.encode([t or "" for t in part.column(1).to_pylist()])):
