@@ -1,11 +1,15 @@
 """Benchmark decontamination by templates, in DataFrame functions only.
 
 Numbers (with spelled ones), units and names become typed placeholders that keep
-their value beside them. Windows of ``WINDOW`` template tokens of documents are
-hash-joined with those of the benchmark, so a question whose numbers or names
-were changed still matches. Where windows hold placeholders, the values on both
+their value beside them. A word is a name by its own letters alone, whatever stands
+around it, so an item has the same template wherever it is copied to. Windows of
+``WINDOW`` template tokens of documents are hash-joined with those of the benchmark,
+so a question whose numbers or names were changed still matches. Beside them go
+windows in which only numbers are placeholders, so a copy in lower case or capitals
+matches too; an item's window counts if either kind matches.
+Where windows hold placeholders, the values on both
 sides of one alignment must stand for each other one to one; windows of an
-alignment that fails this test do not count.
+alignment that fails this test count only where they hold words alone.
 
 A document is contaminated by an item when at least ``MIN_WINDOWS`` different
 windows of the item match (13 tokens in a row give 6 windows of 8), or all
@@ -36,6 +40,8 @@ BROADCAST_WINDOWS = 1_000_000
 # Placeholder marks: three code points for private use.
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
 MARKS = "\ue000-\ue002"
+# Kinds of windows: all placeholders, or those of numbers only.
+TYPED, WORDED = 0, 1
 # Spelled numbers and units.
 SPELLED = "two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|twenty|thirty|forty|fifty|hundred|thousand|million"
 UNITS = (
@@ -45,19 +51,27 @@ UNITS = (
 )
 
 
-def marked_text(text: Column) -> Column:
+# Capitalised words, first in their sentence or not: what stands before a copied item must not matter.
+NAMES = r"(?<![\p{L}\p{N}])(?<!\p{L}['’])\p{Lu}\p{Ll}++(?!\p{Lu})"
+# Those inside a sentence: what stands before the blank does not end one.
+INNER_NAMES = r"(?<=[\p{Ll}\p{N},;]\s)\p{Lu}\p{Ll}++(?!\p{Lu})"
+
+
+def marked_text(text: Column, pattern: str = NAMES) -> Column:
     """Lower-case words and marked values, parted by white space; all else is taken out."""
     has_digit = text.rlike(r"\p{N}")
     apart = F.when(has_digit, F.regexp_replace(text, r"(?<=\p{N})(?=\p{L})", " ")).otherwise(text)
     digits = F.when(
         has_digit, F.regexp_replace(apart, r"\p{N}++(?:[.,:/]\p{N}++)*", f"{NUMBER}$0")
     ).otherwise(apart)
-    # A capital inside a sentence: what stands before the blank does not end one.
-    names = F.regexp_replace(digits, r"(?<=[\p{Ll}\p{N},;]\s)\p{Lu}\p{Ll}++(?!\p{Lu})", f"{NAME}$0")
-    numbers = F.regexp_replace(F.lower(names), rf"(?<![\p{{L}}\p{{N}}{MARKS}])(?:{SPELLED})(?![\p{{L}}\p{{N}}])", f"{NUMBER}$0")
+    names = F.regexp_replace(digits, pattern, f"{NAME}$0")
+    # "Two" is a number and no name.
+    numbers = F.regexp_replace(
+        F.lower(names), rf"(?<![\p{{L}}\p{{N}}{NUMBER}{UNIT}]){NAME}?((?:{SPELLED})(?![\p{{L}}\p{{N}}]))", f"{NUMBER}$1"
+    )
     units = F.when(
         numbers.contains(NUMBER),
-        F.regexp_replace(numbers, rf"(?<={NUMBER}[^\s]{{1,20}}\s)(?:{UNITS})(?![\p{{L}}\p{{N}}])", f"{UNIT}$0"),
+        F.regexp_replace(numbers, rf"(?<={NUMBER}[^\s]{{1,20}}\s){NAME}?((?:{UNITS})(?![\p{{L}}\p{{N}}]))", f"{UNIT}$1"),
     ).otherwise(numbers)
     return F.regexp_replace(units, rf"[^\p{{L}}\p{{N}}{MARKS}\s]++", "")
 
@@ -66,6 +80,11 @@ def as_tokens(marked: Column) -> Column:
     return F.array_remove(F.split(marked, r"\s+"), "")
 
 
+def of_kind(marked: Column, kind: int) -> Column:
+    """The marked text with the placeholders of this kind of windows."""
+    return F.regexp_replace(marked, f"[{NAME}{UNIT}]", "") if kind == WORDED else marked
+
+
 def without_values(marked: Column) -> Column:
     return F.regexp_replace(marked, rf"([{MARKS}])\S*", "$1")
 
@@ -94,17 +113,17 @@ def window_entry(width: int) -> Callable[[Column], Column]:
 
 
 def windows(keyed: DataFrame, keys: list[str], widths: list[int]) -> DataFrame:
-    """keys, place, hash and the marked values (``slots``) of every window of the rows' ``marked`` text."""
-    tokens = keyed.select(
-        *keys,
-        as_tokens(without_values(F.col("marked"))).alias("tokens"),
-        as_tokens(F.col("marked")).alias("values"),
-    )
+    """keys, kind, place, hash and the marked values (``slots``) of every window of the rows' ``marked`` text."""
     parts = []
-    for width in widths:
-        places = F.sequence(F.lit(1), F.size("tokens") - width + 1)
-        enough = tokens.filter(F.size("tokens") >= width)
-        parts.append(enough.select(*keys, F.inline(F.transform(places, window_entry(width)))))
+    for kind in (TYPED, WORDED):
+        marked = of_kind(F.col("marked"), kind)
+        tokens = keyed.select(
+            *keys, F.lit(kind).alias("kind"), as_tokens(without_values(marked)).alias("tokens"), as_tokens(marked).alias("values")
+        )
+        for width in widths:
+            places = F.sequence(F.lit(1), F.size("tokens") - width + 1)
+            enough = tokens.filter(F.size("tokens") >= width)
+            parts.append(enough.select(*keys, "kind", F.inline(F.transform(places, window_entry(width)))))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -112,11 +131,13 @@ def windows(keyed: DataFrame, keys: list[str], widths: list[int]) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[int]]:
-    """Windows of all items, staged (item, n_windows, place, hash, slots), and the widths that occur."""
+    """Windows of all items, staged (item, n_windows, kind, place, hash, slots, bare), and the widths that occur."""
+    text = text_or_empty(text_col)
+    inner = F.transform(as_tokens(marked_text(text, INNER_NAMES)), lambda v, k: F.when(v.rlike(f"^[{MARKS}]"), k + 1))
     items = (
-        benchmark.select(F.col(id_col).alias("item"), marked_text(text_or_empty(text_col)).alias("marked"))
+        benchmark.select(F.col(id_col).alias("item"), marked_text(text).alias("marked"), F.array_compact(inner).alias("inner"))
         .groupBy("marked")
-        .agg(F.min("item").alias("item"))
+        .agg(F.min("item").alias("item"), F.min("inner").alias("inner"))
         .withColumn("n_tokens", F.size(as_tokens(F.col("marked"))))
         .filter(F.col("n_tokens") >= MIN_TOKENS)
         .withColumn("width", F.least(F.lit(WINDOW), F.col("n_tokens")))
@@ -124,13 +145,16 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[Data
     )
     items = staged(items, "benchmark-items")
     widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most WINDOW values
-    parts = [windows(items.filter(F.col("width") == w), ["item", "n_windows", "width"], [w]) for w in widths]
+    parts = [windows(items.filter(F.col("width") == w), ["item", "n_windows", "width", "inner"], [w]) for w in widths]
     if not parts:
         return items, []
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return staged(out, "benchmark-windows"), widths
+    # Windows of words alone: no number, unit or name inside a sentence.
+    in_window = lambda k: (k >= F.col("place")) & (k < F.col("place") + F.col("width"))
+    bare = (F.col("kind") == WORDED) & ~F.exists("inner", in_window)
+    return staged(out.withColumn("bare", bare).drop("inner"), "benchmark-windows"), widths
 
 
 def contaminated(
@@ -154,10 +178,10 @@ def contaminated(
     hashes = found.select("hash").distinct()
     if found.count() <= BROADCAST_WINDOWS:
         hashes = F.broadcast(hashes)
-    template = as_tokens(without_values(F.col("marked")))
+    templates = [as_tokens(without_values(of_kind(F.col("marked"), kind))) for kind in (TYPED, WORDED)]
     met = (
         texts.select("id", "mark", marked_text(F.col("text")).alias("marked"))
-        .select("id", "mark", template.alias("tokens"))
+        .select("id", "mark", F.explode(F.array(*templates)).alias("tokens"))
         .select("id", "mark", F.explode(all_hashes(F.col("tokens"), widths)).alias("hash"))
         .join(hashes, "hash", "left_semi")
         .select("id", "mark")
@@ -170,14 +194,14 @@ def contaminated(
     suspects = texts.join(met, same, "left_semi").dropDuplicates(["id", "mark"])
     suspects = suspects.select("id", "mark", marked_text(F.col("text")).alias("marked"))
     theirs = windows(suspects, ["id", "mark"], widths).select(
-        "id", "mark", F.col("place").alias("doc_place"), "hash", F.col("slots").alias("doc_slots")
+        "id", "mark", "kind", F.col("place").alias("doc_place"), "hash", F.col("slots").alias("doc_slots")
     )
     # Windows that no item has are gone before slots are compared.
-    hits = theirs.join(found, "hash").withColumn("shift", F.col("doc_place") - F.col("place"))
+    hits = theirs.join(found, ["kind", "hash"]).withColumn("shift", F.col("doc_place") - F.col("place"))
     pairs = F.flatten(F.collect_set(F.arrays_zip(F.col("slots"), F.col("doc_slots"))))
-    aligned = hits.groupBy("id", "mark", "item", "n_windows", "shift").agg(
+    aligned = hits.groupBy("id", "mark", "item", "n_windows", "kind", "shift").agg(
         F.collect_set("place").alias("places"),
-        F.collect_set(F.when(F.size("slots") == 0, F.col("place"))).alias("plain_places"),
+        F.collect_set(F.when(F.col("bare"), F.col("place"))).alias("plain_places"),
         F.array_distinct(pairs).alias("pairs"),
     )
     n_left = F.size(F.array_distinct(F.col("pairs.slots")))

@@ -211,6 +211,27 @@ def test_leaks_with_changed_values(spark):
     assert all(item != 6 for _, item in found)  # the same item again is searched as its first
 
 
+def test_leaks_wherever_the_item_stands(spark):
+    """What stands before a copy, or its case, does not matter."""
+    boiling = "What is the boiling point of water at sea level?"
+    river = "Which river flows through Paris and then meets the Channel near Havre before it ends?"
+    rows = [
+        (1, f"Exercise 4\n{boiling}"),
+        (2, f"as the quiz asks, {boiling} {FILLER}"),
+        (3, f"{FILLER} {river.lower()} {FILLER}"),
+        (4, f"{FILLER}. {river}"),
+        (5, f"exercise 4, {river.replace('Paris', 'Rouen')}"),
+        (6, f"{FILLER} {river.upper()}"),
+        (7, f"Part 2\n{boiling.replace('water', 'mercury')}"),
+        (8, f"{FILLER}, Days pass on earth while sun and moon go round it"),
+        (9, "he counted 3 Days pass on earth while sun and moon go round it"),
+    ]
+    items = [(1, boiling), (2, river), (3, "Days pass on earth while sun and moon")]
+    _, _, found = leaks(spark, rows, items)
+    assert set(found) == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 2), (8, 3), (9, 3)}
+    assert found[5, 2][2] == 1
+
+
 def test_clean_rows_stay_whole(spark):
     rows = [(1, ITEM), (2, FILLER), (2, FILLER), (None, FILLER), (None, ITEM), (3, None)]
     docs, bench, _ = leaks(spark, rows)
