@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import in_tasks, small_slices, staged
+from ledgerlake.llm.common import in_tasks, small_slices, staged, text_or_empty
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -112,8 +112,9 @@ def set_key(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, hi and lo (the set's name; null without words), size and sig of every row."""
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    """id, mark (hash of the text), hi and lo (the set's name; null without words), size and sig of every row."""
+    mark = F.xxhash64(text_or_empty(text_col)).alias("mark")
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), mark)
     id_kind = narrow.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,15 +126,16 @@ def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
+                    part.column(2),
                     pa.array([k[0] for k in keys], pa.int64()),
                     pa.array([k[1] for k in keys], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([next(signed) if len(s) else None for s in sets], pa.list_(pa.int32())),
                 ],
-                ["id", "hi", "lo", "size", "sig"],
+                ["id", "mark", "hi", "lo", "size", "sig"],
             )
 
-    return in_tasks(narrow, run, f"id {id_kind}, hi long, lo long, size int, sig array<int>")
+    return in_tasks(narrow, run, f"id {id_kind}, mark long, hi long, lo long, size int, sig array<int>")
 
 
 # --- chosen paths ---
@@ -214,10 +216,10 @@ def maybe_similar(sigs: np.ndarray, share: float) -> np.ndarray:
     return agree >= share * sigs.shape[1]
 
 
-def between_blocks(similar: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """No pair of a row with itself; of two blocks only the pairs between them, the rest is other tasks' work."""
+def between_blocks(similar: np.ndarray, side: np.ndarray, one_block: bool) -> np.ndarray:
+    """No pair of a row with itself; of two blocks, one of which may be empty, only the pairs between them."""
     np.fill_diagonal(similar, False)
-    return similar & (side[:, None] != side[None, :]) if side.any() else similar
+    return similar if one_block else similar & (side[:, None] != side[None, :])
 
 
 def spanning(similar: np.ndarray) -> list[tuple[int, int]]:
@@ -238,7 +240,8 @@ def compare(pieces: DataFrame, similar_pairs: Callable[[list[dict]], np.ndarray]
 
     def work(rows: list[dict]) -> list[tuple]:
         rows = list({(r["hi"], r["lo"]): r for r in rows}.values())  # texts that repeat come more than once
-        similar = between_blocks(similar_pairs(rows), np.array([r["side"] for r in rows]))
+        one_block = rows[0]["i"] == rows[0]["j"]
+        similar = between_blocks(similar_pairs(rows), np.array([r["side"] for r in rows]), one_block)
         links, linked = similar.sum(axis=1), similar @ np.array([r["copies"] for r in rows])
         key = [(r["hi"], r["lo"]) for r in rows]
         out = [(*key[k], None, None, int(links[k]), int(linked[k])) for k in links.nonzero()[0]]
@@ -317,6 +320,12 @@ def similar_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, target: float = TARGET
 ) -> DataFrame:
     """One row per row: id, ``class_id``, ``n_links`` (other rows at the threshold or above), ``n_linked_texts``, ``kept``."""
+    classed = marked_classes(docs, id_col, text_col, threshold, target)
+    return classed.select(F.col("id").alias(id_col), "class_id", "n_links", "n_linked_texts", "kept")
+
+
+def marked_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
+    """The same with the id as ``id`` and ``mark``, the hash of the text: an id may repeat with another text."""
     signed = staged(sign(docs, id_col, text_col), "signatures")
     sets = staged(
         signed.filter("hi is not null")
@@ -384,18 +393,22 @@ def similar_classes(
         (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
         F.coalesce("links", F.lit(0)).alias("n_linked_texts"),
     )
-    with_words = signed.filter("hi is not null").select("id", "hi", "lo").join(staged(every, "set-classes"), ["hi", "lo"])
+    with_words = signed.filter("hi is not null").select("id", "mark", "hi", "lo").join(staged(every, "set-classes"), ["hi", "lo"])
     without = signed.filter("hi is null").select(
-        "id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_linked_texts")
+        "id", "mark", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_linked_texts")
     )
     return with_words.select(*without.columns).unionByName(without).select(
-        F.col("id").alias(id_col), "class_id", "n_links", "n_linked_texts", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
+        "id", "mark", "class_id", "n_links", "n_linked_texts", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
     )
 
 
 def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row with the least id of every class, with the columns of the input."""
-    gone = similar_classes(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("gone")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"))
-    stay = rows.join(staged(gone, "near-copies"), F.col("id").eqNullSafe(F.col("gone")), "left_anti")
+    gone = marked_classes(docs, id_col, text_col).filter(~F.col("kept"))
+    gone = gone.select(F.col("id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("mark")
+    )
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark"))
+    stay = rows.join(staged(gone, "near-copies"), same, "left_anti")
     return stay.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -162,6 +162,24 @@ def test_near_copies_repeated_rows_null_ids_and_empty_table(spark):
     assert jaccard_join.similar_classes(docs.filter("false")).count() == 0
 
 
+def test_links_of_few_long_copies_count_once(spark, monkeypatch):
+    """Groups of few sets in several blocks leave some blocks empty."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 100)  # two blocks for two sets
+    texts = [" ".join(f"g{g}w{k}" for k in range(100)) for g in range(40)]
+    rows = [(2 * g + k, text + k * " more") for g, text in enumerate(texts) for k in range(2)]
+    got = {r.doc_id: r.n_links for r in jaccard_join.similar_classes(frame(spark, rows, extra=False)).collect()}
+    assert got == {i: w[1] for i, w in brute_classes(rows).items()}
+
+
+def test_clean_text_under_the_id_of_a_near_copy_stays(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    docs = frame(spark, [(1, text), (5, text + " more"), (5, "another text of its own"), (None, text), (None, "and one more text")])
+    out = jaccard_join.keep_one_per_class(docs)
+    assert out.columns == docs.columns
+    kept = {(1, text), (5, "another text of its own"), (None, "and one more text")}
+    assert {(r.doc_id, r.text) for r in out.select("doc_id", "text").collect()} == kept
+
+
 def test_runs_reach_the_target():
     assert jaccard_join.runs_needed(target=0.9) < jaccard_join.runs_needed(target=0.999)
 
