@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import class_lm, decontaminate, exact_dedup, html_text, jaccard_join, language_id, licenses, packing, toxicity, warc_zip
+from ledgerlake.llm import (
+    class_lm,
+    decontaminate,
+    exact_dedup,
+    fingerprints,
+    html_text,
+    jaccard_join,
+    language_id,
+    licenses,
+    packing,
+    toxicity,
+    warc_zip,
+)
 from ledgerlake.llm.common import ascii_lower, fold, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +183,9 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = html_text.extract(table(spark, sf_dir, "pages"))
     return found.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@register
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
