@@ -19,6 +19,7 @@ from ledgerlake.llm import (
     licenses,
     packing,
     toxicity,
+    turn_trie,
     warc_zip,
 )
 from ledgerlake.llm.common import ascii_lower, fold, text_or_empty
@@ -189,3 +190,41 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations."""
+    return turn_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_turn_trie"] = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST,
+    substr(sha256(concat(strlen(role), ':', role, text)), 1, 32)) AS x FROM turns GROUP BY conv_id),
+heads AS (
+  SELECT conv_id, x, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+      lambda s, z: xor(s >> 1, 3988292384 * (s & 1)))), 4294967295) % 9 AS h FROM own),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(list_slice(b.x, 1, o.h), []), list_slice(o.x, o.h + 1, len(o.x))) AS x
+  FROM heads o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+starts AS (SELECT conv_id, x, unnest(range(0, len(x) + 1)) AS d FROM rebuilt),
+nodes AS (
+  SELECT d, list_slice(x, 1, d) AS p, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(x) = d), '') AS ends
+  FROM starts GROUP BY ALL),
+kids AS (SELECT d - 1 AS d, list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+own_values AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children, CASE WHEN n.d = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(n.p[n.d].text) END AS saved
+  FROM nodes n LEFT JOIN kids k ON n.d = k.d AND n.p = k.p),
+upwards AS (
+  SELECT a AS d, list_slice(p, 1, a) AS p, CAST(n_children = 0 AS BIGINT) AS leaf, saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own_values)),
+sums AS (SELECT d, p, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM upwards GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM own_values n JOIN sums s ON n.d = s.d AND n.p = s.p LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = list_slice(n.p, 1, n.d - 1)
+"""
