@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     class_lm,
+    collocations,
     decontaminate,
     exact_dedup,
     fingerprints,
@@ -228,3 +229,40 @@ SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_chil
   CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
 FROM own_values n JOIN sums s ON n.d = s.d AND n.p = s.p LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = list_slice(n.p, 1, n.d - 1)
 """
+
+
+@register
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = """
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3, 4, 5]) AS k)),
+counts AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND a >= 100),
+cuts AS (
+  SELECT *, array_to_string(w[1:cut], ' ') AS left_part, array_to_string(w[cut + 1:k], ' ') AS right_part
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, c.a, cut, x.a AS l, y.a AS r, t.n, CAST((1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = left_part JOIN counts y ON y.lang = c.lang AND y.phrase = right_part
+  JOIN totals t ON t.lang = c.lang),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+  SELECT lang, a, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - size + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM candidates))),
+around AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY ALL),
+kept AS (
+  SELECT w.* FROM worst w LEFT JOIN around o ON o.lang = w.lang AND o.phrase = w.phrase WHERE o.longer IS NULL OR 100 * o.longer < 100 * w.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
