@@ -250,17 +250,79 @@ def plain_decimal(col: Column) -> Column:
     return once(F.btrim(col.cast("string")), show)
 
 
-# Limbs that a sum has room for: whole parts of 108 digits (a 256-bit word has 78) and 270 decimals (a token has at
-# most 255). Each limb is added up on its own, so no total can leave a decimal's range.
-_SUM_DIGITS, _SUM_WHOLE, _SUM_PART = 18, 6, 15
+_SUM_DIGITS = 18
+_SHORT = 28  # digits of a whole number that is added up in one piece
+
+
+def number_limbs(col: Column) -> Column:
+    """A plain number as (place, part): ``part`` x 10^(18 place), added up, is the number. Zero has one part, null none."""
+    limb = "array<struct<place:int,part:decimal(28,0)>>"
+    none = F.array().cast(limb)
+    sign = F.when(col.startswith("-"), F.lit(Decimal(-1))).otherwise(F.lit(Decimal(1))).cast("decimal(1,0)")
+    size = _unsigned(col)
+    whole = F.substring_index(size, ".", 1)
+    point = F.instr(size, ".")
+    tail = F.when(point > 0, F.substring(size, point + 1, F.length(size))).otherwise("")
+
+    def part(digits: Column, place: Column) -> Column:
+        return F.struct(place.cast("int").alias("place"), (digits.cast("decimal(28,0)") * sign).cast("decimal(28,0)").alias("part"))
+
+    def stretches(digits: Column, count: Column, place: Callable[[Column], Column]) -> Column:
+        piece = lambda i: F.substring(digits, (i * _SUM_DIGITS + 1).cast("int"), F.lit(_SUM_DIGITS))
+        all_ = F.transform(F.sequence(F.lit(0), (count - 1).cast("int")), lambda i: part(piece(i), place(i)))
+        return F.filter(all_, lambda x: x["part"] != 0)
+
+    count = F.ceil(F.length(whole) / _SUM_DIGITS)
+    wide = stretches(F.lpad(whole, (count * _SUM_DIGITS).cast("int"), F.lit("0")), count, lambda i: count - 1 - i)
+    left = F.when(F.length(whole) <= _SHORT, F.array(part(whole, F.lit(0)))).otherwise(wide)
+    places = F.ceil(F.length(tail) / _SUM_DIGITS)
+    long = stretches(F.rpad(tail, (places * _SUM_DIGITS).cast("int"), F.lit("0")), places, lambda i: -1 - i)
+    short = F.array(part(F.rpad(tail, _SUM_DIGITS, "0"), F.lit(-1)))
+    right = F.when(tail == "", none).when(F.length(tail) <= _SUM_DIGITS, short).otherwise(long)
+    return F.when(col.isNotNull(), F.concat(left.cast(limb), right.cast(limb)))
+
+
+def limbs_text(limbs: Column) -> Column:
+    """Plain text of what parts by place (place, part), one of each place, add up to; null without any."""
+
+    def close(parts: Column) -> Column:
+        low = F.least(F.lit(0), F.array_min(F.transform(parts, lambda x: x["place"])))
+        high = F.greatest(F.lit(0), F.array_max(F.transform(parts, lambda x: x["place"])))
+        by_place = F.map_from_entries(parts)
+        part = lambda place: F.coalesce(F.try_element_at(by_place, place), F.lit(Decimal(0)).cast(WHOLE)).cast(WHOLE)
+
+        def text(bounds: Column) -> Column:
+            dense = F.transform(F.sequence(bounds["low"], bounds["high"]), part)
+            up = _carried(dense, _SUM_DIGITS)
+            negative = up.startswith("-")
+            down = lambda: _carried(F.transform(dense, lambda x: (-x).cast(WHOLE)), _SUM_DIGITS)
+            digits = F.when(negative, down()).otherwise(up)
+            return _signed(unit_scale_text(digits, -bounds["low"] * _SUM_DIGITS), negative)
+
+        return once(F.struct(low.alias("low"), high.alias("high")), text)
+
+    single = (F.size(limbs) == 1) & (F.get(limbs, F.lit(0))["place"] == 0)
+    return F.when(F.size(limbs) == 0, None).when(single, F.get(limbs, F.lit(0))["part"].cast("string")).otherwise(once(limbs, close))
+
+
+# Room of ``sum_text``, an aggregate with a fixed buffer: whole parts of 108 digits and 270 decimals.
+_SUM_WHOLE, _SUM_PART = 6, 15
 
 
 def sum_text(col: Column) -> Column:
-    """Exact sum of plain numbers in text form, as plain text, whatever their order and number; null without any."""
+    """Exact sum of plain numbers in text form, as plain text, whatever their order and number; null without any.
+
+    A single expression has to fix its width: numbers beyond 108 whole digits or
+    270 decimals fail. ``operators.sums.add_up`` takes any width.
+    """
     size = _unsigned(col)
-    whole = F.lpad(F.substring_index(size, ".", 1), _SUM_WHOLE * _SUM_DIGITS, "0")
     point = F.instr(size, ".")
-    part = F.rpad(F.when(point > 0, F.substring(size, point + 1, F.length(size))).otherwise(""), _SUM_PART * _SUM_DIGITS, "0")
+    before = F.substring_index(size, ".", 1)
+    after = F.when(point > 0, F.substring(size, point + 1, F.length(size))).otherwise("")
+    fits = (F.length(before) <= _SUM_WHOLE * _SUM_DIGITS) & (F.length(after) <= _SUM_PART * _SUM_DIGITS)
+    checked = F.when(~fits, F.raise_error(F.lit("sum_text: a number has more digits than the sum has room for"))).otherwise(before)
+    whole = F.lpad(checked, _SUM_WHOLE * _SUM_DIGITS, "0")
+    part = F.rpad(after, _SUM_PART * _SUM_DIGITS, "0")
     sign = F.when(col.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
     limb = lambda text, k: F.sum((F.substring(text, k * _SUM_DIGITS + 1, _SUM_DIGITS).cast("bigint") * sign).cast("decimal(28,0)"))
     limbs = [limb(part, k) for k in reversed(range(_SUM_PART))] + [limb(whole, k) for k in reversed(range(_SUM_WHOLE))]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.dates import as_date
 from ledgerlake.operators.metrics import DATE, TOKEN
 from ledgerlake.operators.spine import fill
+from ledgerlake.operators.totals import running_sum
 from ledgerlake.sources.readers import between_days, scan
 
 IDLE_DAYS = 60
@@ -95,3 +96,33 @@ def awakened_history(
         .agg(F.count("*").alias("value_num"))
     )
     return fill(spine.select(TOKEN, DATE), counts, [TOKEN, DATE]).select("value_num", TOKEN, DATE)
+
+
+def dormant_history(
+    transfers: DataFrame, spine: DataFrame, idle: int = IDLE_DAYS, sender: str = "from_address"
+) -> DataFrame:
+    """Dormant senders on every listed day, by a sweep over the days on which senders fall asleep and wake.
+
+    A sender falls asleep ``idle + 1`` days after a send that no other follows by
+    then, and wakes with its next one. One scan; what the running sum sees are a
+    token's days with a change, and its listed days.
+    """
+    keys = ["customer_address", TOKEN]
+    active = transfers.select(F.col(sender).alias("customer_address"), TOKEN, DATE).distinct()
+    following = F.lead(DATE).over(Window.partitionBy(*keys).orderBy(DATE))
+    asleep = F.date_add(DATE, idle + 1)
+    changes = (
+        active.select(TOKEN, asleep.alias("asleep"), following.alias("awake"))
+        .where(F.col("awake").isNull() | (F.col("awake") > F.col("asleep")))
+        .select(
+            TOKEN,
+            F.inline(
+                F.array(
+                    F.struct(F.col("asleep").alias(DATE), F.lit(1).cast("bigint").alias("change")),
+                    F.struct(F.col("awake").alias(DATE), F.lit(-1).cast("bigint").alias("change")),
+                )
+            ),
+        )
+        .where(F.col(DATE).isNotNull())
+    )
+    return running_sum(changes, spine, "change")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.numbers import sum_exact
+from ledgerlake.operators.sums import sum_by
 from ledgerlake.sources.readers import scan
 
 
@@ -25,9 +25,6 @@ def party_flow(
     if day is not None:
         ledger = scan(ledger, on=day)
     wanted = listed.select(F.col("address").alias(side))
-    return (
-        ledger.join(wanted, side, "left_semi")
-        .groupBy(side, "token_address", "transaction_date")
-        .agg(F.coalesce(sum_exact(ledger, value), F.lit(0.0)).alias("value_num"))
-        .select("value_num", F.col(side).alias("address"), "token_address", "transaction_date")
-    )
+    summed = sum_by(ledger.join(wanted, side, "left_semi"), [side, "token_address", "transaction_date"], value)
+    total = F.coalesce("total", F.lit(0.0)).alias("value_num")
+    return summed.select(total, F.col(side).alias("address"), "token_address", "transaction_date")

@@ -9,13 +9,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerlake.functions.dates import as_date, hour_key, hour_stamp, period, period_range
-from ledgerlake.functions.numbers import plain_decimal, sum_exact, sum_text
+from ledgerlake.functions.numbers import plain_decimal
 from ledgerlake.operators.spine import fill, spine_hours, spine_periods
+from ledgerlake.operators.sums import add_up, sum_by
 from ledgerlake.sources.readers import between_days, scan
 
 TOKEN = "token_address"
@@ -23,14 +24,13 @@ DATE = "transaction_date"
 MEASURES = ("volume", "amount", "trades", "new_addresses")
 
 
-def measure_column(ledger: DataFrame, measure: str, value: str = "value", amount: str = "amount") -> Column:
-    """``volume`` sums values, ``amount`` sums priced amounts (no price counts 0), the others count rows."""
-    if measure == "volume":
-        return F.coalesce(sum_exact(ledger, value), F.lit(0.0))
-    if measure == "amount":
-        return F.coalesce(sum_exact(ledger, amount), F.lit(0.0))
+def measured(ledger: DataFrame, keys: Sequence[str], measure: str, value: str = "value", amount: str = "amount") -> DataFrame:
+    """The keys and ``value_num``: ``volume`` sums values, ``amount`` priced amounts (no price counts 0), the others count rows."""
+    if measure in ("volume", "amount"):
+        summed = sum_by(ledger, keys, value if measure == "volume" else amount)
+        return summed.select(*keys, F.coalesce("total", F.lit(0.0)).alias("value_num"))
     if measure in ("trades", "new_addresses"):
-        return F.count("*")
+        return ledger.groupBy(*keys).agg(F.count("*").alias("value_num"))
     raise ValueError(f"measure must be one of {MEASURES}, not {measure!r}")
 
 
@@ -55,9 +55,7 @@ def rollup_metric(
         listed = (first, last) if grain == "month" else (as_date(day), as_date(day))
         spine = spine.where(between_days(spine, DATE, *listed))
     keys = [TOKEN, DATE]
-    totals = ledger.groupBy(TOKEN, period(F.col(DATE), grain).alias(DATE)).agg(
-        measure_column(ledger, measure, value, amount).alias("value_num")
-    )
+    totals = measured(ledger.withColumn(DATE, period(F.col(DATE), grain)), keys, measure, value, amount)
     return fill(spine_periods(spine, grain), totals, keys).select("value_num", *keys)
 
 
@@ -69,23 +67,23 @@ def rollup_grains(
     The daily totals are aggregated once (their shuffle is reused) and weeks and
     months are rolled up from them.
     """
+    keys = [TOKEN, DATE]
     column = {"volume": value, "amount": amount}.get(measure)
+    # Exact totals, so that days add up to weeks without rounding: decimals with room, else text.
+    kind = None if column is None else ledger.schema[column].dataType
     if column is None:
-        counted, rolled = F.count("*"), F.sum("total")
+        daily = ledger.groupBy(*keys).agg(F.count("*").alias("total"))
+    elif isinstance(kind, DecimalType) and kind.precision <= 18:
+        daily = ledger.groupBy(*keys).agg(F.sum(F.col(column).cast(f"decimal(18,{kind.scale})")).alias("total"))
     else:
-        # Exact totals, so that days add up to weeks without rounding: decimals with room, else text.
-        kind = ledger.schema[column].dataType
-        if isinstance(kind, DecimalType) and kind.precision <= 18:
-            counted = F.sum(F.col(column).cast(f"decimal(18,{kind.scale})"))
-            rolled = F.coalesce(F.sum("total").cast("double"), F.lit(0.0))
-        else:
-            ledger = ledger.withColumn(column, plain_decimal(F.col(column)))
-            counted = sum_text(F.col(column))
-            rolled = F.coalesce(sum_text(F.col("total")).cast("double"), F.lit(0.0))
-    daily = ledger.groupBy(TOKEN, DATE).agg(counted.alias("total"))
+        daily = add_up(ledger.withColumn(column, plain_decimal(F.col(column))), keys, column).select(*keys, "total")
     parts = []
     for grain in ("day", "week", "month"):
-        totals = daily.groupBy(TOKEN, period(F.col(DATE), grain).alias(DATE)).agg(rolled.alias("value_num"))
+        dated = daily.withColumn(DATE, period(F.col(DATE), grain))
+        if column is None:
+            totals = dated.groupBy(*keys).agg(F.sum("total").alias("value_num"))
+        else:
+            totals = sum_by(dated, keys, "total").select(*keys, F.coalesce("total", F.lit(0.0)).alias("value_num"))
         part = fill(spine_periods(spine, grain), totals, [TOKEN, DATE])
         parts.append(part.select("value_num", TOKEN, DATE, F.lit(grain).alias("grain")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -103,8 +101,8 @@ def avg_metric(
         ledger, spine = scan(ledger, on=day), scan(spine, on=day)
     if positive:
         ledger = ledger.where(F.col(column).cast("double") > 0)
-    mean = F.coalesce(sum_exact(ledger, column), F.lit(0.0)) / F.count("*")
-    totals = ledger.groupBy(TOKEN, DATE).agg(mean.alias("value_num"))
+    mean = F.coalesce("total", F.lit(0.0)) / F.col("n")
+    totals = sum_by(ledger, [TOKEN, DATE], column).select(TOKEN, DATE, mean.alias("value_num"))
     return fill(spine.select(TOKEN, DATE), totals, [TOKEN, DATE]).select("value_num", TOKEN, DATE)
 
 
@@ -130,7 +128,7 @@ def hourly_metric(
     if day is not None:
         hours = hours.where(F.col("dh") <= timed.agg(F.max("dh").alias("latest")).scalar())
     keys = [TOKEN, DATE, "dh"]
-    totals = timed.groupBy(*keys).agg(measure_column(ledger, measure, value, amount).alias("value_num"))
+    totals = measured(timed, keys, measure, value, amount)
     return fill(hours, totals, keys).select(
         "value_num",
         TOKEN,

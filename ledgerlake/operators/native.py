@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import hour_key
-from ledgerlake.functions.numbers import add_text, exact_amount, integer_text, plain_decimal, shift_point, sum_text, to_bigint, wei_to_units
+from ledgerlake.functions.numbers import add_text, exact_amount, integer_text, plain_decimal, shift_point, to_bigint, wei_to_units
+from ledgerlake.operators.sums import add_up
 
 # Block reward from each height on, and the sender of minted units.
 REWARD_STEPS = ((0, 5), (4_370_000, 3), (7_080_001, 2))
@@ -46,11 +47,14 @@ def block_fees(transactions: DataFrame) -> DataFrame:
     zero = F.lit("0")
     gas = F.coalesce(plain_decimal(F.col("base_gas_used")), zero)
     price = F.coalesce(plain_decimal(integer_text(F.col("base_gas_price"))), zero)
-    charged = transactions.select("block_number", exact_amount(gas, price).alias("fee"))
-    return (
-        charged.groupBy("block_number")
-        .agg(sum_text(F.col("fee")).alias("fee"))
-        .select("block_number", shift_point(F.col("fee"), F.lit(18)).alias("service_charge"))
+    # Each text is worked out once, as a column of its own; what fits is one decimal product.
+    parsed = transactions.select("block_number", F.explode(F.array(F.struct(gas.alias("gas"), price.alias("price")))).alias("x"))
+    gas, price = F.col("x.gas"), F.col("x.price")
+    short = gas.rlike("^[0-9]{1,19}$") & price.rlike("^[0-9]{1,19}$")
+    product = (gas.cast("decimal(19,0)") * price.cast("decimal(19,0)")).cast("string")
+    charged = parsed.select("block_number", F.when(short, product).otherwise(exact_amount(gas, price)).alias("fee"))
+    return add_up(charged, ["block_number"], "fee").select(
+        "block_number", shift_point(F.col("total"), F.lit(18)).alias("service_charge")
     )
 
 

@@ -52,3 +52,75 @@ def top_participants(
     )
     ranked = top_k(counts, [TOKEN], [F.desc("value_num"), F.asc("customer_address")], k, ["customer_address"])
     return ranked.select("value_num", "customer_address", TOKEN, F.lit(day).alias(DATE))
+
+
+# Stretches of days are cut at multiples of these numbers of days.
+SPANS = tuple(1 << level for level in range(6))
+
+
+def _pieces(start: Column, stop: Column) -> Column:
+    """The days start <= day < stop as aligned spans: at most two of each length but the longest."""
+    parts = []
+    for level, days in enumerate(SPANS):
+        first, last = F.ceil(start / days).cast("int"), F.floor(stop / days).cast("int")
+        span = lambda number: F.struct(F.lit(level).alias("level"), number.alias("number"))  # noqa: B023 (used here only)
+        if days == SPANS[-1]:
+            inner = F.transform(F.sequence(first, last - 1), span)
+            parts.append(F.when(first < last, inner).otherwise(F.slice(F.array(span(first)), 1, 0)))
+        else:
+            parts.append(F.filter(F.array(F.when((first < last) & (first.bitwiseAND(F.lit(1)) == 1), span(first))), lambda x: x.isNotNull()))
+            parts.append(F.filter(F.array(F.when((first < last) & (last.bitwiseAND(F.lit(1)) == 1), span(last - 1))), lambda x: x.isNotNull()))
+    return F.concat(*parts)
+
+
+def top_participants_history(
+    ledger: DataFrame,
+    days_back: int = 0,
+    k: int = TOP,
+    sides: Sequence[str] = BOTH_SIDES,
+    first: str | dt.date | None = None,
+    last: str | dt.date | None = None,
+) -> DataFrame:
+    """``top_participants`` of every day from ``first`` to ``last`` (else of the ledger's own days) in one plan.
+
+    A day's participations enter the trailing window on the day and leave it
+    ``days_back + 1`` days later, so an address has one running count, constant
+    between such days. Each constant stretch is cut into aligned spans of 1 to 32
+    days; of the addresses that cover a span only the best ``k`` can be among the
+    best of a day in it. What is left, at most ``k`` addresses a span, is laid out
+    day by day.
+    """
+    keys = ["customer_address", TOKEN]
+    ledger = ledger.where(F.col(DATE).isNotNull())
+    bounds = ledger.agg(F.min(DATE).alias("first"), F.max(DATE).alias("last"))
+    begin = F.lit(as_date(first)) if first is not None else bounds.select("first").scalar()
+    end = F.lit(as_date(last)) if last is not None else bounds.select("last").scalar()
+    if first is not None or last is not None:
+        reach = None if first is None else as_date(first) - dt.timedelta(days=days_back)
+        ledger = ledger.where(between_days(ledger, DATE, reach, None if last is None else as_date(last)))
+    number = F.unix_date(DATE)
+    daily = participants(ledger, sides, [TOKEN, DATE]).groupBy(*keys, number.alias("day")).agg(F.count("*").alias("n"))
+    events = daily.select(
+        *keys,
+        F.inline(
+            F.array(
+                F.struct(F.col("day").alias("start"), F.col("n").alias("change")),
+                F.struct((F.col("day") + days_back + 1).alias("start"), (-F.col("n")).alias("change")),
+            )
+        ),
+    )
+    order = Window.partitionBy(*keys).orderBy("start")
+    steps = events.select(
+        *keys,
+        F.greatest("start", F.unix_date(begin)).alias("start"),
+        F.least(F.lead("start").over(order), F.unix_date(end) + 1).alias("stop"),
+        F.sum("change").over(order).alias("value_num"),  # rows of one day count together
+    )
+    steps = steps.where((F.col("value_num") > 0) & (F.col("start") < F.col("stop")))
+    spans = steps.select("value_num", *keys, F.inline(_pieces(F.col("start"), F.col("stop"))))
+    best = [F.desc("value_num"), F.asc("customer_address")]
+    spans = top_k(spans, [TOKEN, "level", "number"], best, k, ["customer_address"])
+    days = F.element_at(F.array(*map(F.lit, SPANS)), F.col("level") + 1)
+    day = F.explode(F.sequence(F.col("number") * days, (F.col("number") + 1) * days - 1))
+    ranked = top_k(spans.select("value_num", *keys, day.alias("day")), [TOKEN, "day"], best, k)
+    return ranked.select("value_num", *keys, F.date_from_unix_date("day").alias(DATE))

@@ -38,16 +38,16 @@ def running_total_day(first_seen: DataFrame, prior: DataFrame, day: str | dt.dat
     return both.agg(F.sum("value_num").alias("value_num")).select("value_num", F.lit(day).alias(DATE))
 
 
-def running_total_by_token(first_seen: DataFrame, spine: DataFrame) -> DataFrame:
-    """Addresses per token seen up to each listed day, whether the days before were listed or not.
+def running_sum(changes: DataFrame, spine: DataFrame, change: str = "value_num") -> DataFrame:
+    """Sum of a token's changes up to each listed day, whether the days before were listed or not.
 
     The list takes part as rows of zero; one running sum over both, of which the
-    listed days are kept.
+    listed days are kept. Changes are added up per token and day before that.
     """
-    new = new_addresses(first_seen, [TOKEN]).withColumn("listed", F.lit(False))
     zero = F.lit(0).cast("bigint").alias("value_num")
     marks = spine.select(zero, TOKEN, DATE, F.lit(True).alias("listed"))
-    days = new.unionByName(marks).groupBy(TOKEN, DATE).agg(
+    moved = changes.select(F.col(change).alias("value_num"), TOKEN, DATE, F.lit(False).alias("listed"))
+    days = moved.unionByName(marks).groupBy(TOKEN, DATE).agg(
         F.sum("value_num").alias("value_num"), F.bool_or("listed").alias("listed")
     )
     upto = Window.partitionBy(TOKEN).orderBy(DATE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -55,6 +55,11 @@ def running_total_by_token(first_seen: DataFrame, spine: DataFrame) -> DataFrame
     return summed.where("listed").drop("listed")
 
 
+def running_total_by_token(first_seen: DataFrame, spine: DataFrame) -> DataFrame:
+    """Addresses per token seen up to each listed day."""
+    return running_sum(new_addresses(first_seen, [TOKEN]), spine)
+
+
 def running_total_by_token_day(
     first_seen: DataFrame, spine: DataFrame, prior: DataFrame, day: str | dt.date
 ) -> DataFrame:

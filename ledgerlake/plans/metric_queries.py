@@ -340,6 +340,20 @@ register(
     _AWAKENED,
 )
 
+register(
+    "dormant_full",
+    lambda spark, sf: activity.dormant_history(V.transfers(spark, sf), V.transfer_spine(spark, sf)),
+    f"""WITH {T}, {SP},
+    s AS (SELECT token_address, transaction_date AS d, lead(transaction_date) OVER (
+            PARTITION BY from_address, token_address ORDER BY transaction_date) AS following
+          FROM (SELECT DISTINCT from_address, token_address, transaction_date FROM t)),
+    i AS (SELECT token_address, d + 61 AS start, coalesce(following, DATE '9999-12-31') AS stop FROM s),
+    a AS (SELECT spine.token_address, transaction_date, count(*) AS v FROM spine
+          JOIN i ON i.token_address = spine.token_address AND start <= transaction_date AND transaction_date < stop GROUP BY ALL)
+    SELECT coalesce(v, 0) AS value_num, token_address, CAST(transaction_date AS VARCHAR) AS transaction_date
+    FROM spine LEFT JOIN a USING (token_address, transaction_date)""",
+)
+
 # ------------------------------------------------------------------- rankings
 
 
@@ -347,6 +361,7 @@ def _ranking(days_back: int, k: int):
     return lambda spark, sf: rankings.top_participants(V.transfers(spark, sf), DAY, days_back, k)
 
 
+FULL_TOP = 10
 for _name, _back, _k in (("day", 0, 100), ("week", 7, 100), ("month", 30, 100)):
     register(
         f"ranking_{_name}",
@@ -359,3 +374,17 @@ for _name, _back, _k in (("day", 0, 100), ("week", 7, 100), ("month", 30, 100)):
         SELECT value_num, customer_address, token_address, '{DAY}' AS transaction_date FROM c
         QUALIFY row_number() OVER (PARTITION BY token_address ORDER BY value_num DESC, customer_address) <= {_k}""",
     )
+    # A report of ten a day: over all of history a hundred would hold nearly every address of a window.
+    register(
+        f"ranking_{_name}_full",
+        lambda spark, sf, back=_back: rankings.top_participants_history(V.transfers(spark, sf), back, FULL_TOP),
+        f"""WITH {T},
+        p AS (SELECT from_address AS customer_address, token_address, transaction_date AS d FROM t
+              UNION ALL SELECT to_address, token_address, transaction_date FROM t),
+        m AS (SELECT max(d) AS latest FROM p),
+        n AS (SELECT customer_address, token_address, d, count(*) AS c FROM p GROUP BY ALL),
+        w AS (SELECT customer_address, token_address, d + CAST(u.i AS INT) AS d, c FROM n, unnest(range({_back + 1})) AS u(i)),
+        c AS (SELECT sum(c) AS value_num, customer_address, token_address, d FROM w, m WHERE d <= latest GROUP BY ALL)
+        SELECT CAST(value_num AS BIGINT) AS value_num, customer_address, token_address, CAST(d AS VARCHAR) AS transaction_date FROM c
+        QUALIFY row_number() OVER (PARTITION BY token_address, d ORDER BY value_num DESC, customer_address) <= {FULL_TOP}""",
+    )

@@ -192,3 +192,49 @@ def test_long_rankings_go_through_slices(spark):
     sliced = rankings.top_k(rows, ["token"], *args, spread=["who"])
     assert "_slice" in sliced._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(sliced.collect()) == sorted(rankings.top_k(rows, ["token"], *args).collect())
+
+
+def _made_moves(spark, n=400, seed=4):
+    import random
+
+    rng = random.Random(seed)
+    day = lambda: str(d("2019-01-01") + dt.timedelta(days=rng.choice((rng.randrange(200), rng.randrange(30)))))
+    return frame(spark, *[row(day(), f"s{rng.randrange(9)}", f"s{rng.randrange(12)}", rng.choice("TU")) for _ in range(n)])
+
+
+def test_dormant_history_equals_daily_runs(spark):
+    made = _made_moves(spark, 60).cache()
+    days = listed(spark, "2019-01-01", "2019-09-30")
+    first_sent = entities.first_seen(made, ["token_address"], ("from_address",)).cache()
+    full = table(activity.dormant_history(made, days), "token_address", "transaction_date")
+    assert len(full) == 2 * 273 and max(full.values()) > 2
+    for day in ("2019-01-01", "2019-03-10", "2019-04-02", "2019-06-30", "2019-09-30"):
+        daily = table(activity.dormant(first_sent, made, days, day), "token_address", "transaction_date")
+        assert {key: full[key] for key in daily} == daily
+    assert set(table(activity.dormant_history(made.where("false"), days), "token_address", "transaction_date").values()) == {0}
+
+
+@pytest.mark.parametrize("back", [0, 7, 30, 70])
+def test_ranking_history_equals_daily_runs(spark, back):
+    made = _made_moves(spark).cache()
+    names = ("customer_address", "token_address", "transaction_date")
+    full = table(rankings.top_participants_history(made, back, 3), *names)
+    some = table(rankings.top_participants_history(made, back, 3, first="2019-02-01", last="2019-03-15"), *names)
+    for k in range(0, 190, 9):
+        day = str(d("2019-01-03") + dt.timedelta(days=k))
+        daily = table(rankings.top_participants(made, day, back, 3), *names)
+        if day <= max(key[2] for key in full):
+            assert {key: v for key, v in full.items() if key[2] == day} == daily
+        if "2019-02-01" <= day <= "2019-03-15":
+            assert {key: v for key, v in some.items() if key[2] == day} == daily
+    assert rankings.top_participants_history(made.where("false"), back, 3).collect() == []
+
+
+def test_long_stretches_are_few_spans(spark):
+    """A constant count over n days becomes at most two spans of each length but the longest."""
+    cases = [(s, s + n) for s in (-70, 0, 13, 18_000) for n in (1, 2, 31, 32, 63, 64, 200, 1000)]
+    df = spark.createDataFrame(cases, "a int, b int").select("a", "b", rankings._pieces(F.col("a"), F.col("b")).alias("p"))
+    for r in df.collect():
+        covered = [x for level, number in r.p for x in range(number << level, (number + 1) << level)]
+        assert sorted(covered) == list(range(r.a, r.b))
+        assert len(r.p) <= 10 + (r.b - r.a) // 32

@@ -92,3 +92,33 @@ def test_sums_are_exact_at_any_size_and_in_any_order(spark):
     assert big.select(N.sum_exact(big, "x")).collect()[0][0] == float("299999999999999999997")
     small = spark.sql("select 0.1BD x from range(10)")
     assert small.select(N.sum_exact(small, "x")).collect()[0][0] == 1.0
+
+
+def test_sums_of_any_width(spark):
+    """By key, in both signs, of numbers from 10^-400 to a 96-byte word; rows without a number count as rows."""
+    import pytest
+
+    from ledgerlake.operators import sums
+
+    rng = random.Random(11)
+    word = int("f" * 192, 16)
+    rows = [("big", str(10**120)), ("big", "1"), ("word", str(word)), ("word", str(word)), ("far", "1" + "0" * 2000), ("far", "-0." + "0" * 399 + "7")]
+    rows += [("none", None), ("none", None), (None, "2.5"), ("zero", "0"), ("zero", "-3"), ("zero", "3"), ("mixed", None), ("mixed", "1.5")]
+    with localcontext() as context:
+        context.prec = 4000
+        for _ in range(200):
+            x = Decimal(rng.randrange(10 ** rng.randint(1, 150))).scaleb(-rng.randint(0, 160)) * rng.choice((1, -1))
+            rows.append((f"k{rng.randrange(12)}", plain(x)))
+        want = {}
+        for key, text in rows:
+            total, n = want.get(key, (None, 0))
+            want[key] = (total if text is None else (total or Decimal(0)) + Decimal(text), n + 1)
+        want = {key: (None if total is None else plain(total), n) for key, (total, n) in want.items()}
+        df = spark.createDataFrame(rows, "k string, x string").repartition(5)
+        got = {r.k: (r.total, r.n) for r in sums.add_up(df, ["k"], "x").collect()}
+        assert {key: (v if v[0] not in ("-0",) else ("0", v[1])) for key, v in want.items()} == got
+    doubles = {r.k: r.total for r in sums.sum_by(df, ["k"], "x").collect()}
+    assert doubles["big"] == 1e120 and doubles["none"] is None
+    assert sums.add_up(df.where("false"), ["k"], "x").collect() == []
+    with pytest.raises(Exception, match="room"):
+        df.select(N.sum_text(F.col("x"))).collect()
