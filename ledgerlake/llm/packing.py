@@ -54,13 +54,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         split, missing = {}, set()
         for k, text in enumerate(texts):
+            if self.added and self.added.search(text):  # those go to the tokenizer whole
+                continue
             if text.isascii():
                 if _ASCII_OTHER.search(text):
                     continue

@@ -19,7 +19,6 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 TOKENIZER = Tokenizer.from_file(VOCABULARY)
-TOKENIZER.encode_special_tokens = True
 
 
 def tokens(text):
@@ -34,6 +33,8 @@ def test_word_cache_gives_the_tokenizers_ids():
     alphabet = "abcAB 0123 \n\t.,!'_-éüñß²½   ªº\x1c\x85漢字🙂́"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 60))) for _ in range(800)]
     texts += ["it's we'll  I'D <|endoftext|> x", "", "a" * 5000, "  \n\n  ", "don't_do  that\n"]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext| > <endoftext>"]
+    assert tokens("a <|endoftext|> b") == [64, 220, 50256, 275, 0]
     encoder = packing.Encoder(VOCABULARY)
     for _ in range(2):
         for text, ids in zip(texts, encoder.encode(texts)):
