@@ -6,7 +6,7 @@ of a polynomial over them, and reads a word's hash off two sums; prefix sums ove
 the word hashes give the fingerprint of every phrase of k words the same way. A
 phrase has a fingerprint and an independent check value. Each task adds up equal
 fingerprints, Spark adds up the tasks, with the least and the largest check and a
-pointer to one text that holds the phrase.
+pointer to a text that holds the phrase (half of the text's hash).
 
 Phrases are counted length by length. One of k words can only be frequent if its
 first and its last k - 1 words are, so a pass sends only phrases whose parts pass
@@ -41,8 +41,8 @@ LONGEST = 5
 LEAST = 100  # occurrences of a frequent phrase
 TOP = 2000  # phrases a language
 FILTER_BITS = 1 << 27
-SLICE = 2 << 20  # bytes of text hashed at once
-HELD = 1_500_000  # fingerprints that a task adds up before it sends them
+SLICE = 1 << 20  # bytes of text hashed at once
+HELD = 1_000_000  # fingerprints that a task adds up before it sends them
 RANK_SLICES = 64
 
 _KIND = np.zeros(256, dtype=np.uint8)  # 0 in a word, 1 blank, 2 end of a piece
@@ -51,7 +51,10 @@ _KIND[[ord(c) for c in ".,;:!?\n\v\f\r"]] = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-COUNTED = "lang string, k int, fp long, n long, least long, most long, doc long"
+# A mark holds the upper half of a check value, and in its lower half that of a text's hash: the least mark of a phrase
+# points to a text, and the least and the most agree above unless phrases have collided.
+COUNTED = "lang string, fp long, n long, least long, most long"
+HALF = np.uint64(32)
 
 
 # --- hashing ---
@@ -148,7 +151,12 @@ class Slice:
         return _hashes()[0].grams(self.hashed[0], k) & self.mask
 
     def checks(self, k: int) -> np.ndarray:
-        return _hashes()[1].grams(self.hashed[1], k)
+        return _hashes()[1].grams(self.hashed[1], k) >> HALF
+
+    def marks(self, k: int, docs: np.ndarray) -> np.ndarray:
+        """A mark for each place; ``docs`` has a hash of every text."""
+        low = docs.view(np.uint64)[self.doc[: len(self.doc) - k + 1]] >> HALF
+        return ((self.checks(k) << HALF) | low[: max(0, len(self.start) - k + 1)]).view(np.int64)
 
     def phrase(self, place: int, k: int) -> bytes:
         return b" ".join(self.data[self.start[j] : self.end[j]].tobytes() for j in range(place, place + k))
@@ -163,9 +171,9 @@ def _passes(bitmap: np.ndarray, fp: np.ndarray) -> np.ndarray:
 
 
 def _added(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """Rows of equal fingerprints added up: fp, n, least and most check, least pointer."""
+    """Rows of equal fingerprints added up: fp, n, least and most mark."""
     order = np.argsort(columns[0], kind="stable")
-    fp, n, least, most, doc = (c[order] for c in columns)
+    fp, n, least, most = (c[order] for c in columns)
     first = np.flatnonzero(np.append(True, fp[1:] != fp[:-1])) if len(fp) else np.zeros(0, dtype=np.int64)
     if not len(first):
         return columns
@@ -174,16 +182,15 @@ def _added(columns: list[np.ndarray]) -> list[np.ndarray]:
         np.add.reduceat(n, first),
         np.minimum.reduceat(least, first),
         np.maximum.reduceat(most, first),
-        np.minimum.reduceat(doc, first),
     ]
 
 
 def _count(k: int, filter_: Broadcast | None, fp_mask: int):
-    """Rows of COUNTED for phrases of k words; for single words also a row of k = 0 with their number."""
+    """Rows of COUNTED for phrases of k words; for single words also a row without fingerprint, with their number."""
 
-    def rows(lang: str, size: int, columns: list[np.ndarray]) -> pa.RecordBatch:
-        arrays = [pa.repeat(lang, len(columns[0])), pa.array(np.full(len(columns[0]), size, dtype=np.int32))]
-        return pa.RecordBatch.from_arrays([*arrays, *(pa.array(c.view(np.int64)) for c in columns)], _names(COUNTED))
+    def rows(lang: str, columns: list[np.ndarray]) -> pa.RecordBatch:
+        arrays = [pa.repeat(lang, len(columns[0])), *(pa.array(c.view(np.int64)) for c in columns)]
+        return pa.RecordBatch.from_arrays(arrays, _names(COUNTED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[list[np.ndarray]]] = {}
@@ -198,14 +205,13 @@ def _count(k: int, filter_: Broadcast | None, fp_mask: int):
                 frequent = _passes(filter_.value, some.fingerprints(k - 1))
                 place &= frequent[: len(place)] & frequent[1 : len(place) + 1]
             place = np.flatnonzero(place)
-            fp, check = some.fingerprints(k)[place], some.checks(k)[place].view(np.int64)
-            doc = part.column(2).to_numpy()[some.doc[place]]
+            fp, mark = some.fingerprints(k)[place], some.marks(k, part.column(2).to_numpy())[place]
             langs, code = np.unique(np.array(part.column(0).to_pylist(), dtype=object).astype(str), return_inverse=True)
             of_place = code[some.doc[place]]
             for c, lang in enumerate(langs.tolist()):
                 own = of_place == c
                 one = np.ones(int(own.sum()), dtype=np.int64)
-                added = _added([fp[own], one, check[own], check[own], doc[own]])
+                added = _added([fp[own], one, mark[own], mark[own]])
                 held.setdefault(lang, []).append(added)
                 total += len(added[0])
                 if k == 1:
@@ -217,12 +223,14 @@ def _count(k: int, filter_: Broadcast | None, fp_mask: int):
                     total += len(held[lang][0][0])
                 if total > HELD // 2:
                     for lang, parts in held.items():
-                        yield rows(lang, k, parts[0])
+                        yield rows(lang, parts[0])
                     held, total = {}, 0
         for lang, parts in held.items():
-            yield rows(lang, k, _added([np.concatenate(x) for x in zip(*parts)]))
-        for lang, n in words.items():
-            yield rows(lang, 0, [np.array([x], dtype=np.int64) for x in (0, n, 0, 0, 0)])
+            yield rows(lang, _added([np.concatenate(x) for x in zip(*parts)]))
+        if words:
+            columns = [[*words], [None] * len(words), [*words.values()], [0] * len(words), [0] * len(words)]
+            kinds = [pa.string(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], _names(COUNTED))
 
     return run
 
@@ -252,22 +260,21 @@ def _spelled(k: int, filter_: Broadcast, fp_mask: int):
         for part in small_slices(batches, 4096, SLICE):
             some = Slice(part.column(1), fp_mask)
             place = some.whole(k)
-            fp, check = some.fingerprints(k).view(np.int64), some.checks(k).view(np.int64)
+            fp, mark = some.fingerprints(k).view(np.int64), some.marks(k, part.column(2).to_numpy())
             place = np.flatnonzero(place & _passes(filter_.value, fp.view(np.uint64)))
-            langs, docs = part.column(0).to_pylist(), part.column(2).to_pylist()
+            langs = part.column(0).to_pylist()
             seen: Counter = Counter()
             for p in place.tolist():
-                d = int(some.doc[p])
-                seen[langs[d], k, int(fp[p]), int(check[p]), docs[d], some.phrase(p, k)] += 1
+                seen[langs[some.doc[p]], int(fp[p]), int(mark[p]), some.phrase(p, k)] += 1
             if seen:
                 columns = [*zip(*seen), tuple(seen.values())]
-                kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], _names(SPELLED))
 
     return run
 
 
-SPELLED = "lang string, k int, fp long, check long, doc long, phrase binary, n long"
+SPELLED = "lang string, fp long, mark long, phrase binary, n long"
 
 
 # --- phrases ---
@@ -278,7 +285,8 @@ def _pointed(filter_: Broadcast):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_passes(filter_.value, batch.column(2).to_numpy().view(np.uint64))))
+            at = batch.column(2).to_numpy().view(np.uint64) >> HALF
+            yield batch.filter(pa.array(_passes(filter_.value, at)))
 
     return run
 
@@ -293,7 +301,7 @@ def _cut_out(fp_mask: int):
                 some = Slice(part.column(1).slice(row, 1), fp_mask)
                 lang, wanted = part.column(0)[row].as_py(), part.column(2)[row].as_py()
                 for k in sorted({w["k"] for w in wanted}):
-                    asked = {(w["fp"], w["check"]): w["n"] for w in wanted if w["k"] == k}
+                    asked = {(w["fp"], w["mark"] >> 32 & 0xFFFFFFFF): w["n"] for w in wanted if w["k"] == k}
                     fp, check = some.fingerprints(k).view(np.int64), some.checks(k).view(np.int64)
                     place = np.flatnonzero(some.whole(k) & np.isin(fp, np.array([f for f, _ in asked])))
                     for p in place.tolist():
@@ -328,22 +336,22 @@ def frequent_phrases(
     rows = rows.withColumn("doc", F.xxhash64("lang", "text"))  # the pointer: any row with this text will do
     levels, filter_, totals = [], None, None
     for k in range(1, LONGEST + 1):
-        counted = in_tasks(rows, _count(k, filter_, fp_mask), COUNTED).groupBy("lang", "k", "fp")
-        counted = counted.agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), F.min("doc").alias("doc"))
-        counted = staged(counted.filter((F.col("n") >= least) | (F.col("k") == 0)), f"phrases-{k}")
+        counted = in_tasks(rows, _count(k, filter_, fp_mask), COUNTED).groupBy("lang", "fp")
+        counted = counted.agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+        counted = staged(counted.filter((F.col("n") >= least) | F.col("fp").isNull()), f"phrases-{k}")
         if k == 1:
-            totals = counted.filter("k = 0").select("lang", "n")
-            counted = counted.filter("k = 1")
-        alike = counted.filter("least = most").select("lang", "k", "fp", F.col("least").alias("check"), "n", "doc")
-        mixed = counted.filter("least <> most").select("lang", "k", "fp")
+            totals = counted.filter("fp IS NULL").select("lang", "n")
+            counted = counted.filter("fp IS NOT NULL")
+        upper = lambda mark: F.shiftright(mark, 32)
+        same = upper(F.col("least")) == upper(F.col("most"))
+        alike = counted.filter(same).select("lang", F.lit(k).alias("k"), "fp", F.col("least").alias("mark"), "n")
+        mixed = counted.filter(~same).select("lang", "fp")
         suspects = _bitmap(mixed, "fp", bits)
         if suspects is not None:
             spelled = in_tasks(rows, _spelled(k, context.broadcast(suspects), fp_mask), SPELLED)
-            spelled = spelled.groupBy("lang", "k", "fp", "phrase").agg(
-                F.min("check").alias("check"), F.sum("n").alias("n"), F.min("doc").alias("doc")
-            )
-            apart = spelled.join(mixed, ["lang", "k", "fp"], "left_semi").filter(F.col("n") >= least)
-            alike = staged(alike.unionByName(apart.drop("phrase")), f"phrases-apart-{k}")
+            spelled = spelled.groupBy("lang", "fp", "phrase").agg(F.min("mark").alias("mark"), F.sum("n").alias("n"))
+            apart = spelled.join(mixed, ["lang", "fp"], "left_semi").filter(F.col("n") >= least).drop("phrase")
+            alike = staged(alike.unionByName(apart.withColumn("k", F.lit(k))), f"phrases-apart-{k}")
         levels.append(alike)
         bitmap = _bitmap(alike, "fp", bits)
         if bitmap is None:
@@ -352,14 +360,17 @@ def frequent_phrases(
     frequent = levels[0]
     for level in levels[1:]:
         frequent = frequent.unionByName(level)
-    pointers = _bitmap(frequent, "doc", bits)
+    frequent = frequent.withColumn("half", F.col("mark").bitwiseAND(F.lit((1 << 32) - 1)))
+    pointers = _bitmap(frequent, "half", bits)
     if pointers is None:
         return docs.sparkSession.createDataFrame([], PHRASES), totals
-    wanted = frequent.groupBy("lang", "doc").agg(F.collect_list(F.struct("k", "fp", "check", "n")).alias("wanted"))
+    wanted = frequent.groupBy("lang", "half").agg(F.collect_list(F.struct("k", "fp", "mark", "n")).alias("wanted"))
     texts = in_tasks(rows, _pointed(context.broadcast(pointers)), "lang string, text string, doc long")
-    texts = texts.groupBy("lang", "doc").agg(F.first("text").alias("text"))
-    held = texts.join(wanted, ["lang", "doc"]).select("lang", "text", "wanted")
-    return staged(in_tasks(held, _cut_out(fp_mask), PHRASES), "phrases"), totals
+    texts = texts.groupBy("lang", "doc").agg(F.first("text").alias("text"))  # copies are one text
+    texts = texts.withColumn("half", F.shiftrightunsigned("doc", 32))
+    held = texts.join(wanted, ["lang", "half"]).select("lang", "text", "wanted")
+    # Two texts may share half a hash; a phrase that both hold is cut out twice.
+    return staged(in_tasks(held, _cut_out(fp_mask), PHRASES).distinct(), "phrases"), totals
 
 
 def _words(phrase: Column) -> Column:
