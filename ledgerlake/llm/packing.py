@@ -44,10 +44,30 @@ CACHE = 500_000  # words whose ids a worker keeps
 _WORD = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _ASCII_OTHER = re.compile("[\x1c-\x1f]")
 _OTHER = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbeɐ-\U0010ffff]")
+# A byte-level vocabulary writes these bytes as the characters of their number, the others from 256 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+
+
+class _Words(dict):
+    """Ids of words as bytes, worked out when first asked for."""
+
+    def __init__(self, tokenizer):
+        other = iter(range(256, 512))
+        self.shown = {b: b if b in _SHOWN else next(other) for b in range(256)}
+        self.model = tokenizer.model
+
+    def __missing__(self, word: str) -> bytes:
+        spelled = word.encode().decode("latin-1").translate(self.shown)
+        ids = self[word] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return ids
 
 
 class Encoder:
-    """Token ids as little-endian 32-bit bytes; the ids of a word are looked up once."""
+    """Token ids as little-endian 32-bit bytes; the ids of a word are looked up once.
+
+    Texts with an added token, or characters that the pattern may see
+    differently, go to the tokenizer whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
@@ -56,36 +76,22 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.known: dict[str, bytes] = {}
+        self.known = _Words(self.tokenizer)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        split, missing = {}, set()
-        for k, text in enumerate(texts):
-            if self.added and self.added.search(text):  # those go to the tokenizer whole
-                continue
-            if text.isascii():
-                if _ASCII_OTHER.search(text):
-                    continue
-            elif _OTHER.search(text):
-                continue
-            split[k] = _WORD.findall(text)
-            missing.update(split[k])
         if len(self.known) > CACHE:  # those that came first are the frequent ones
-            self.known = dict(islice(self.known.items(), CACHE // 2))
-        words = [w for w in missing if w not in self.known]
-        for word, ids in zip(words, self._ids(words)):
-            self.known[word] = ids
-        for k, words in split.items():
-            out[k] = b"".join(map(self.known.__getitem__, words))
-        rest = [k for k, ids in enumerate(out) if ids is None]
-        for k, ids in zip(rest, self._ids([texts[k] for k in rest])):
-            out[k] = ids
-        return out
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]  # four bytes each, the lowest first
+            kept = list(islice(self.known.items(), CACHE // 2))
+            self.known.clear()
+            self.known.update(kept)
+        ids_of = self.known.__getitem__
+        return [self._whole(t) if self._odd(t) else b"".join(map(ids_of, _WORD.findall(t))) for t in texts]
+
+    def _odd(self, text: str) -> bool:
+        other = _ASCII_OTHER if text.isascii() else _OTHER
+        return bool(other.search(text) or (self.added and self.added.search(text)))
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()  # four bytes each, the lowest first
 
 
 def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
