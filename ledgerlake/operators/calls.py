@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -134,8 +134,27 @@ def _tree_walker(kept: list[str], fields: list[str]):
     return nodes
 
 
+# What of a document is parsed for its call trees; ``unread`` holds a document that the JSON reader gave up on.
+TREES = (
+    S.transactions_of(base=S.texts(["transactionIndex", "hash"]), trace=S.texts(["calls"])).add("unread", StringType()),
+    {**S.JSON_OPTIONS, "columnNameOfCorruptRecord": "unread"},
+)
+
+
+def call_trees(block: Column) -> Column:
+    """The call trees of a parsed document as (index, hash, tree, document): the tree's text, or the whole document."""
+    item = "struct<index: string, hash: string, tree: string, document: string>"
+    nothing = F.lit(None).cast("string")
+    usual = F.transform(
+        block["transactions"],
+        lambda tx: F.struct(tx["base"]["transactionIndex"], tx["base"]["hash"], tx["trace"]["calls"], nothing).cast(item),
+    )
+    whole = F.array(F.struct(nothing, nothing, nothing, block["unread"]).cast(item))
+    return F.when(block["unread"].isNotNull(), whole).otherwise(usual)
+
+
 def flatten_calls(source: DataFrame) -> DataFrame:
-    """Every internal call below every transaction's trace.
+    """Every internal call below every transaction's trace, from the envelope table or the nested one.
 
     The level of nesting is open, so the tree text is walked in one Arrow pass
     inside the tasks (an explicit stack); parsing the block, cleaning and typing
@@ -144,20 +163,12 @@ def flatten_calls(source: DataFrame) -> DataFrame:
     ``calls_id`` is the transaction hash plus the node's path, so a retried task
     gives the same ids; a root's parent is itself.
     """
-    shape = S.transactions_of(base=S.texts(["transactionIndex", "hash"]), trace=S.texts(["calls"]))
-    options = {**S.JSON_OPTIONS, "columnNameOfCorruptRecord": "unread"}
-    parsed = source.select(*EVENT, F.from_json("info", shape.add("unread", StringType()), options).alias("block"))
-    item = "struct<index: string, hash: string, tree: string, document: string>"
-    nothing = F.lit(None).cast("string")
-    usual = F.transform(
-        "block.transactions",
-        lambda tx: F.struct(tx["base"]["transactionIndex"], tx["base"]["hash"], tx["trace"]["calls"], nothing).cast(item),
-    )
-    whole = F.array(F.struct(nothing, nothing, nothing, F.col("block.unread")).cast(item))
-    trees = (
-        parsed.select(*EVENT, F.inline(F.when(F.col("block.unread").isNotNull(), whole).otherwise(usual)))
-        .where(F.col("tree").isNotNull() | F.col("document").isNotNull())
-    )
+    if "trees" in source.columns:
+        items = source.select(*EVENT, F.inline("trees"))
+    else:
+        parsed = source.select(*EVENT, F.from_json("info", *TREES).alias("block"))
+        items = parsed.select(*EVENT, F.inline(call_trees(F.col("block"))))
+    trees = items.where(F.col("tree").isNotNull() | F.col("document").isNotNull())
     kept, fields = list(EVENT), list(S.CALL_FIELDS)
     out = StructType(
         [trees.schema[name] for name in kept] + [StructField(name, StringType()) for name in (*_NODE, *fields)]

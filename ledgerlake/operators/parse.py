@@ -1,8 +1,10 @@
 """Raw block documents to flat tables.
 
-Every parser takes the envelope table (``info`` holds one block document) and
-works row by row: no shuffle, one pass. Rows carry the block's ``dh``,
-``date_time`` and ``transaction_date``; drop ``dh`` for a backfill table.
+Every parser takes the envelope table (``info`` holds one block document), or the
+nested table that ``documents.parse_documents`` made of it, and works row by row:
+no shuffle, one pass. From the nested table a parser reads its own columns only.
+Rows carry the block's ``dh``, ``date_time`` and ``transaction_date``; drop ``dh``
+for a backfill table.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from ledgerlake import schemas as S
 from ledgerlake.functions.dates import epoch_to_ts, hour_key
@@ -20,12 +22,16 @@ from ledgerlake.functions.text import clean, clean_lower
 
 TIMES = ("dh", "date_time", "transaction_date")
 EVENT = ("block_number", *TIMES)
+# Partitions of documents that were imported folder by folder.
+IMPORT_KEYS = ("dir", "transaction_date")
 
 
 def envelope(df: DataFrame, info: str = "info", keep: tuple[str, ...] = ()) -> DataFrame:
     """Block number and UTC time of each document; other columns named in ``keep`` pass through.
 
-    A missing or non-numeric timestamp gives null times.
+    A missing or non-numeric timestamp gives null times. An import table keyed by
+    its arrival folder keeps ``dir`` and is written by ``dir`` and date
+    (``sinks.write_partitions(df, path, IMPORT_KEYS)``).
     """
     header = F.from_json(info, S.texts(["number", "timestamp"]), S.JSON_OPTIONS)
     return (
@@ -46,14 +52,33 @@ def _fields(parent: str, fields: Mapping[str, str]) -> list[Column]:
     return [clean_lower(F.col(f"{parent}.{field}")).alias(column) for field, column in fields.items()]
 
 
+NESTED = "block"
+
+
+def _header(source: DataFrame, shape: StructType) -> Column:
+    """The parsed document; fields beyond ``shape`` may be there and cost nothing unless named."""
+    return F.col(NESTED) if NESTED in source.columns else F.from_json("info", shape, S.JSON_OPTIONS)
+
+
 def _each_transaction(source: DataFrame, shape: StructType) -> DataFrame:
     """One row per transaction; blocks without transactions give none."""
+    if NESTED in source.columns:
+        # Each field as a list of its own, so that the scan reads the wanted ones only.
+        parts = shape["transactions"].dataType.elementType
+        paths = {f"{part.name}_{field.name}": (part.name, field.name) for part in parts for field in part.dataType}
+        lists = source.select(*EVENT, *[F.col(f"{NESTED}.transactions.{p}.{f}").alias(name) for name, (p, f) in paths.items()])
+        rows = lists.select(*EVENT, F.explode(F.arrays_zip(*paths)).alias("at"))
+        rebuilt = [
+            F.struct(*[F.col(f"at.{name}").alias(f) for name, (p, f) in paths.items() if p == part.name]).alias(part.name)
+            for part in parts
+        ]
+        return rows.select(*EVENT, F.struct(*rebuilt).alias("tx"))
     parsed = F.from_json("info", shape, S.JSON_OPTIONS).getField("transactions")
     return source.select(*EVENT, F.explode(parsed).alias("tx"))
 
 
 def parse_blocks(source: DataFrame) -> DataFrame:
-    header = F.from_json("info", S.texts(S.BLOCK_FIELDS), S.JSON_OPTIONS)
+    header = _header(source, S.texts(S.BLOCK_FIELDS))
     return source.select(*EVENT, header.alias("block")).select(
         *_fields("block", S.BLOCK_FIELDS), "block_number", *TIMES
     )
@@ -89,8 +114,7 @@ def parse_receipts(source: DataFrame) -> DataFrame:
 
 def parse_logs(source: DataFrame) -> DataFrame:
     """Log events of all receipts; topics as lower-case JSON text plus the first topic."""
-    log = S.texts([*S.LOG_FIELDS, "blockNumber"]).add(StructField("topics", ArrayType(StringType())))
-    shape = S.transactions_of(receipt=S.doc(logs=ArrayType(log)))
+    shape = S.transactions_of(receipt=S.doc(logs=ArrayType(S.log())))
     topics = F.transform("log.topics", lambda t: F.lower(t))
     some = F.size("log.topics") > 0
     return (
@@ -124,7 +148,7 @@ def parse_uncles(source: DataFrame) -> DataFrame:
     """Uncles with a hash; their own time is UTC."""
     shape = S.doc(uncles=ArrayType(S.texts([*S.UNCLE_FIELDS, "time"])))
     return (
-        source.select(*EVENT, F.explode(F.from_json("info", shape, S.JSON_OPTIONS).getField("uncles")).alias("uncle"))
+        source.select(*EVENT, F.explode(_header(source, shape).getField("uncles")).alias("uncle"))
         .select(
             "block_number",
             *_fields("uncle", S.UNCLE_FIELDS),

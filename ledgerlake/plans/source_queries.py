@@ -56,9 +56,32 @@ register(
       AND transaction_date >= DATE '{RAW_SINCE}'""",
 )
 
+def _import_by_dir(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of import folders, kept by folder and date; one folder is imported anew with half of its documents."""
+    path = scratch_path(spark, "import")
+    documents = V.block_documents(spark, sf, "concat('node-', k % 3) as dir", "k")
+    rows = parse.envelope(documents, keep=("dir", "k"))
+    sinks.write_partitions(rows, path, parse.IMPORT_KEYS)
+    sinks.write_partitions(rows.where("dir = 'node-1' AND k % 2 = 0").withColumn("k", -F.col("k")), path, parse.IMPORT_KEYS)
+    # A date as a folder name is read as a date again; documents without one stand in the default folder.
+    return spark.read.parquet(path).select("block_number", "k", "dh", "date_time", "dir", "transaction_date")
+
+
+register(
+    "import_by_dir",
+    _import_by_dir,
+    f"""WITH {V.BLOCKS_SQL}, r AS (SELECT *, k % 3 AS m FROM jt),
+    again AS (SELECT DISTINCT transaction_date AS d FROM r WHERE m = 1 AND k % 2 = 0),
+    kept AS (SELECT b, k, dh, date_time, m, transaction_date FROM r
+             WHERE m <> 1 OR NOT EXISTS (SELECT 1 FROM again WHERE d IS NOT DISTINCT FROM transaction_date)
+             UNION ALL SELECT b, -k, dh, date_time, m, transaction_date FROM r WHERE m = 1 AND k % 2 = 0)
+    SELECT b AS block_number, k, dh, CAST(date_time AS VARCHAR) AS date_time, concat('node-', m) AS dir,
+      CAST(transaction_date AS VARCHAR) AS transaction_date FROM kept""",
+)
+
 # ----------------------------------------------------------------- dimensions
 
-CSV_SCHEMA = "id string, address string, decimals int, symbol string, total_supply double, date_time string"
+CSV_SCHEMA = "id string, address string, decimals int, symbol string, total_supply string, date_time string"
 
 
 def _raw_tokens(spark: SparkSession, sf: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import calls, entities, parse, totals
+from ledgerlake.operators.documents import parse_documents
 from ledgerlake.operators.parse import envelope
 from ledgerlake.operators.spine import spine_days
 from ledgerlake.operators.transfers import TRANSFER_TOPIC
@@ -345,9 +346,14 @@ PARSERS = {
 }
 
 
+def document_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as one nested table: the raw text is read and parsed here alone."""
+    return _staged(spark, sf_dir, "documents", lambda: parse_documents(source_table(spark, sf_dir)))
+
+
 def part_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the parsed tables of the documents: parsed once, read by all that follows."""
-    return _staged(spark, sf_dir, f"part-{name}", lambda: PARSERS[name](source_table(spark, sf_dir)))
+    """One of the parsed tables of the documents, read by all that follows."""
+    return _staged(spark, sf_dir, f"part-{name}", lambda: PARSERS[name](document_table(spark, sf_dir)))
 
 
 def by_date(df: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import as_date
 from ledgerlake.operators import activity, calls, entities, flows, metrics, native, parse, rankings, totals, transfers
+from ledgerlake.operators.documents import parse_documents
 from ledgerlake.sources.readers import between_days, read_raw, scan
 from ledgerlake.sources.sinks import write_partitions
 from ledgerlake.sources.windows import Windows, backfill
@@ -30,6 +31,8 @@ PARSERS = {
     "calls": calls.flatten_calls,
     "uncles": parse.parse_uncles,
 }
+RANKINGS = (("day", 0), ("week", 7), ("month", 30))
+DOCUMENT = "document"  # the nested table that the parts are read from
 Day = str | dt.date | None
 
 
@@ -50,10 +53,11 @@ class Warehouse:
             return self.spark.read.parquet(f"{self.root}/{table}")
         except AnalysisException as error:
             layer, name = table.split("/")
-            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA" or name not in PARSERS:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA" or name not in {**PARSERS, DOCUMENT: None}:
                 raise
             # Written, but no block had such a part yet: no file to take the columns from.
-            none = PARSERS[name](parse.envelope(self.spark.createDataFrame([], "info string")))
+            none = parse_documents(parse.envelope(self.spark.createDataFrame([], "info string")))
+            none = none if name == DOCUMENT else PARSERS[name](none)
             return none.drop("dh") if layer == "ods" else none
 
     def known(self, table: str, like: DataFrame) -> DataFrame:
@@ -89,9 +93,12 @@ class Warehouse:
             self.write(backfill(self.read(f"stage/{table}"), month, day).drop("dh"), f"ods/{table}")
 
     def parse_stage(self, day: Day = None) -> None:
-        source = scan(self.read("stage/source"), since=self.since("parse", day))
+        """The documents parsed once, then each part from the nested table's own columns."""
+        since = self.since("parse", day)
+        self.write(parse_documents(scan(self.read("stage/source"), since=since)), f"stage/{DOCUMENT}")
+        documents = scan(self.read(f"stage/{DOCUMENT}"), since=since)
         for table, parser in PARSERS.items():
-            self.write(parser(source), f"stage/{table}")
+            self.write(parser(documents), f"stage/{table}")
 
     def promote_ods(self, day: Day = None) -> None:
         for table in ("source", *PARSERS):
@@ -146,6 +153,11 @@ class Warehouse:
         self._totals(seen, seen_native, listed, day)
         if day is not None:
             self._activity(moves, listed, day)
+            return
+        self.write(activity.dormant_history(moves, listed), "dw/dormant")
+        self.write(activity.awakened_history(moves, listed), "dw/awakened")
+        for name, days_back in RANKINGS:
+            self.write(rankings.top_participants_history(moves, days_back), f"dw/ranking_{name}")
 
     def _totals(self, seen: DataFrame, seen_native: DataFrame, listed: DataFrame, day: Day) -> None:
         if day is None:
@@ -162,7 +174,7 @@ class Warehouse:
         first_sent = self.read("dwd/token_from_address")
         self.write(activity.dormant(first_sent, moves, listed, day), "dw/dormant")
         self.write(activity.awakened(first_sent, moves, listed, day), "dw/awakened")
-        for name, days_back in (("day", 0), ("week", 7), ("month", 30)):
+        for name, days_back in RANKINGS:
             self.write(rankings.top_participants(moves, day, days_back), f"dw/ranking_{name}")
 
     def run_ledgers(self, day: Day = None) -> None:

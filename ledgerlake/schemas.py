@@ -107,3 +107,15 @@ def doc(**fields: StructType | ArrayType) -> StructType:
 def transactions_of(**parts: StructType) -> StructType:
     """``{transactions: [{part: struct, ...}]}``"""
     return doc(transactions=ArrayType(doc(**parts)))
+
+
+def log() -> StructType:
+    return texts([*LOG_FIELDS, "blockNumber"]).add(StructField("topics", ArrayType(StringType())))
+
+
+def whole_block() -> StructType:
+    """All fields that any parser reads, without the call trees."""
+    receipt = texts([*RECEIPT_FIELDS, "blockNumber", "status"]).add(StructField("logs", ArrayType(log())))
+    parts = transactions_of(base=texts(BASE_FIELDS), receipt=receipt, trace=texts(TRACE_FIELDS))
+    uncles = StructField("uncles", ArrayType(texts([*UNCLE_FIELDS, "time"])))
+    return StructType([*texts(BLOCK_FIELDS).fields, uncles, *parts.fields])

@@ -154,3 +154,25 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, source, zone):
         assert shown(scan(again, on="2019-01-01", column="date_time")) == shown(again.where("transaction_date = date'2019-01-01'"))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_nested_table_gives_what_the_text_gives(spark, source, tmp_path):
+    """One parse for all parts, malformed and very deep documents included; each part reads its own columns."""
+    from ledgerlake.operators import documents
+    from ledgerlake.plans.warehouse import PARSERS
+
+    odd = ["", "{}", "[1]", "no json", '{"number": "9", "timestamp": "1546300800", "transactions": 5, "uncles": {}}',
+           '{"number": "8", "timestamp": "1546300800", "transactions": [null, 7, {"base": [], "receipt": {"logs": "x"}, "trace": {"calls": 3}}]}',
+           '{"number": "7", "timestamp": "1546300800", "transactions": [{"base": {"hash": "0xD"}, "trace": {"calls": %s}}], "miner": "0xDEEP"}' % (
+               '[{"calls":' * 3000 + "[]" + "}]" * 3000)]
+    rows = source.select("info").unionByName(spark.createDataFrame([(x,) for x in odd], "info string"))
+    whole = parse.envelope(rows)
+    documents.parse_documents(whole).write.parquet(f"{tmp_path}/nested")
+    nested = spark.read.parquet(f"{tmp_path}/nested")
+    for name, parser in PARSERS.items():
+        assert sorted(map(str, parser(nested).collect())) == sorted(map(str, parser(whole).collect())), name
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = parse.parse_receipts(nested)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scanned = plan[plan.index("ReadSchema"):]
+    assert "cumulativeGasUsed" in scanned and "logs:" not in scanned and "trees" not in scanned and "extraData" not in scanned
