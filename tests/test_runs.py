@@ -61,6 +61,68 @@ def test_stream_appends_each_block_once(spark, tmp_path):
     assert run() == sorted(int(n) for n in numbers)
 
 
+def test_merging_stream_loses_no_row(spark, tmp_path):
+    """Late, repeated, far-future and undated documents; a batch that runs twice changes nothing."""
+    inbox, target, side = tmp_path / "in", f"{tmp_path}/out", f"{tmp_path}/side"
+    inbox.mkdir()
+    lines = [d for _, d in documents()]
+    old = document(900, dt.date(2018, 6, 1), 3, 1, 2)
+    ahead = document(901, dt.date(2090, 1, 1), 3, 1, 2)
+    undated = json.dumps({"number": "902", "hash": "0xB902"})
+    nameless = json.dumps({"number": "903", "timestamp": "1546300800"})
+
+    def run(name, some):
+        (inbox / name).write_text("\n".join(some) + "\n")
+        stream = raw.raw_stream(spark, str(inbox))
+        raw.merge_available(stream, target, side, f"{tmp_path}/cp").awaitTermination()
+        return sorted(r.block_number for r in spark.read.parquet(target).collect())
+
+    numbers = sorted(int(json.loads(d)["number"]) for d in lines)
+    assert run("a.log", [*lines[:6], ahead]) == sorted([*numbers[:6], 901])
+    assert run("b.log", [*lines[4:], lines[0], old, undated, nameless, nameless]) == sorted([*numbers, 900, 901, 903])
+    assert run("c.log", [old, nameless, ahead]) == sorted([*numbers, 900, 901, 903])
+    reasons = {(r.block_number, r.reason) for r in spark.read.parquet(side).collect()}
+    assert {(900, "late"), (901, "ahead"), (902, "undated")} <= reasons
+    assert {n for n, _ in reasons} <= {900, 901, 902}
+    batch = raw._hashed(spark.createDataFrame([(d,) for d in [*lines, old]], "info string"))
+    before = sorted(map(str, spark.read.parquet(target).collect()))
+    raw.merge_batch(batch, 7, target, side, 2, 1)
+    raw.merge_batch(batch, 7, target, side, 2, 1)
+    assert sorted(map(str, spark.read.parquet(target).collect())) == before
+
+
+def test_manifest_reads_new_files_only(spark, tmp_path):
+    import os
+
+    from ledgerlake.sources import manifest
+
+    root, noted, seen = tmp_path / "raw", f"{tmp_path}/manifest", []
+    (root / "local_date=2019-01-01" / "n").mkdir(parents=True)
+
+    def load(lines):
+        seen.append(sorted((r.info, os.path.basename(r.file)) for r in lines.collect()))
+
+    def put(name, text):
+        (root / "local_date=2019-01-01" / "n" / name).write_text(text)
+
+    assert manifest.load_new_files(spark, str(root), noted, load) == 0
+    put("a.log", "1\n2\n")
+    put("b.log", "3\n")
+    put("c.txt", "not a log\n")
+    assert manifest.load_new_files(spark, str(root), noted, load) == 2
+    assert manifest.load_new_files(spark, str(root), noted, load) == 0
+    put("d.log", "4\n")
+    assert manifest.load_new_files(spark, str(root), noted, load, files_per_read=1) == 1
+    put("b.log", "3\n5\n")
+    os.utime(root / "local_date=2019-01-01" / "n" / "b.log", (2e9, 2e9))
+    assert manifest.load_new_files(spark, str(root), noted, load) == 1
+    assert seen == [[("1", "a.log"), ("2", "a.log"), ("3", "b.log")], [("4", "d.log")], [("3", "b.log"), ("5", "b.log")]]
+    with pytest.raises(ZeroDivisionError):  # a load that fails is not noted
+        put("e.log", "6\n")
+        manifest.load_new_files(spark, str(root), noted, lambda lines: 1 / 0)
+    assert manifest.load_new_files(spark, str(root), noted, load) == 1
+
+
 def dimensions(spark, root):
     token = spark.createDataFrame([("tok", address(999), 1, "TOK")], "id string, address string, decimals int, token_symbol string")
     price = spark.createDataFrame([(i, Decimal(p), d) for d in DAYS[:2] for i, p in (("tok", 2), ("ethereum", 100))],
