@@ -15,12 +15,21 @@ from ledgerlake.sources.readers import between_days, scan
 def running_total(first_seen: DataFrame) -> DataFrame:
     """Addresses seen up to each day that has new ones.
 
-    First-seen rows are counted per day before the window, so the window's
-    single task holds one row per day of history.
+    First-seen rows are counted per day, days are summed up within their year,
+    and each year starts from the total of the years before it: no task sees
+    more than one year's days.
     """
-    daily = new_addresses(first_seen)
-    order = Window.orderBy(DATE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.select(F.sum("value_num").over(order).alias("value_num"), DATE)
+    year = F.year(DATE).alias("_year")
+    daily = new_addresses(first_seen.where(F.col(DATE).isNotNull())).select("value_num", DATE, year)
+    # A year's total goes to every later year; there are as many rows as pairs of years.
+    totals = daily.groupBy("_year").agg(F.sum("value_num").alias("total"))
+    last = F.year(first_seen.agg(F.max(DATE).alias("last")).scalar())
+    later = F.when(F.col("_year") < last, F.sequence(F.col("_year") + 1, last))
+    before = totals.select(F.explode(later).alias("_year"), "total").groupBy("_year").agg(F.sum("total").alias("before"))
+    order = Window.partitionBy("_year").orderBy(DATE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = daily.select("_year", DATE, F.sum("value_num").over(order).alias("within"))
+    total = F.col("within") + F.coalesce("before", F.lit(0))
+    return within.join(before, "_year", "left").select(total.alias("value_num"), DATE)
 
 
 def running_total_day(first_seen: DataFrame, prior: DataFrame, day: str | dt.date) -> DataFrame:

@@ -238,3 +238,15 @@ def test_long_stretches_are_few_spans(spark):
         covered = [x for level, number in r.p for x in range(number << level, (number + 1) << level)]
         assert sorted(covered) == list(range(r.a, r.b))
         assert len(r.p) <= 10 + (r.b - r.a) // 32
+
+
+def test_running_total_needs_no_single_task(spark):
+    """Over gaps of years, and without a shuffle to one partition."""
+    days = ["2015-12-31", "2016-01-01", "2016-01-01", "2016-05-05", "2019-02-02", "2019-02-03", "2023-01-01"]
+    seen = spark.createDataFrame([(f"a{k}", d(x)) for k, x in enumerate(days)], "customer_address string, transaction_date date")
+    got = {str(r.transaction_date): r.value_num for r in totals.running_total(seen).collect()}
+    assert got == {x: sum(y <= x for y in days) for x in days}
+    assert totals.running_total(seen.where("false")).collect() == []
+    plan = totals.running_total(seen)._jdf.queryExecution().toString()
+    main = plan[plan.index("== Physical Plan =="):].split("Subquery")[0]
+    assert "SinglePartition" not in main
