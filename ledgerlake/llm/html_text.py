@@ -3,7 +3,9 @@
 A page is cut into blocks of text at its block-level tags. A block has features:
 its words and the share of them inside links, the same of the blocks before and
 after it, and what the nearest telling tag around it says (a part of the page
-that is an article, one that is not, or nothing). A decision tree decides which
+that is an article, one that is not, or nothing). A tag speaks by its name and by
+the words of its class, id and role; where they disagree the article wins, words
+like "no-sidebar" or "with-sidebar" say nothing, nor do names on the page's body. A decision tree decides which
 blocks are main text. The tree is grown once, on the driver, from the small
 labelled table of this module: invented pages whose main blocks are numbered.
 
@@ -29,8 +31,11 @@ from ledgerlake.llm.common import in_tasks, small_slices
 
 # --- blocks ---
 
-# Elements whose content is never text, and elements that part blocks.
-SILENT = ("script", "style", "noscript", "template", "svg", "iframe", "head", "title", "object", "canvas", "select", "textarea")
+# Elements whose content is never text: up to their end tag or that of the page, or only where they have an end tag.
+# A head needs no care of its own: what it holds is silent, and it ends wherever text begins.
+SILENT = ("script", "style", "noscript", "iframe", "title", "textarea")
+CLOSED = ("template", "svg", "object", "canvas", "select")
+# Elements that part blocks.
 PARTING = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th"
@@ -47,9 +52,15 @@ _AWAY_NAME = re.compile(
     r"sidebar|signup|skip|social|sponsor\w*|subscribe|tags?|toc|toolbar|widget)(?:$|[\s_-])"
 )
 _HOME_NAME = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|prose|story)(?:$|[\s_-])")
+# Names that tell what a page has or lacks elsewhere, and those of an article's own heading.
+_NO_NAME = re.compile(r"(?:no|not|with|without|has|hide|hides|show|shows|is)[_-]\S*|\S*[_-](?:open|closed|hidden|visible|left|right)")
+_HEADING_NAME = re.compile(r"(?:article|content|entry|main|post|story)[_-]+header|header[_-]+(?:article|content|entry|main|post|story)")
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(?P<silent>" + "|".join(SILENT) + r")\b[^>]*>.*?(?:</(?P=silent)\s*>|$)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|<[!?/][^>]*(?:>|$)",
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)"
+    r"|<(?P<silent>" + "|".join(SILENT) + r")\b[^>]*>.*?(?:</(?P=silent)\s*>|$)"
+    r"|<(?P<closed>" + "|".join(CLOSED) + r")\b[^>]*>.*?</(?P=closed)\s*>"
+    # A quotation mark opens a value only behind an equals sign.
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>=]|=(?:\s*\"[^\"]*\"|\s*'[^']*')?)*)(?:>|$)|<[!?/][^>]*(?:>|$)",
     re.S | re.I,
 )
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -71,15 +82,20 @@ class Block:
 def part_of(name: str, rest: str, around: int) -> int | None:
     """What a tag says about its content; None if it says nothing."""
     named = " ".join(a or b or c for a, b, c in _NAMED.findall(rest)).lower() if "=" in rest else ""
-    if named and _AWAY_NAME.search(named):
+    if name == "body":
+        named = ""
+    words = [w for w in named.split() if not _NO_NAME.fullmatch(w)]
+    headings = [w for w in words if _HEADING_NAME.fullmatch(w)]
+    words = [w for w in words if w not in headings]
+    away = any(map(_AWAY_NAME.search, words))
+    home = any(_HOME_NAME.search(w) and not _AWAY_NAME.search(w) for w in words)
+    if name in HOME or (home and name not in AWAY):
+        return 1
+    if away:
         return -1
-    if name == "header" and around == 1:
+    if around == 1 and (name == "header" or (headings and name not in AWAY)):
         return None  # the heading of an article
-    if name in AWAY:
-        return -1
-    if name in HOME or (named and _HOME_NAME.search(named)):
-        return 1
-    return None
+    return -1 if name in AWAY else None
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -185,6 +201,17 @@ LABELLED = (
         f"<div>Page 3</div><div>{_L}</div><div>Only the gulls.</div><div>{_L}</div><div>Back to top</div>",
         {5, 6, 7},
     ),
+    # A head without its end, names that say nothing about their element, an article's heading of its own.
+    (
+        f"<html><head><title>Nets</title><meta name=a content=b><body class='nav-open no-sidebar'><div class='content no-sidebar'><p>{_S}</p><p>{_L}</p></div>"
+        f"<div class=sidebar><p>{_L}</p></div></body>",
+        {0, 1},
+    ),
+    (
+        f"<main class='with-sidebar'><div class='post-header'><h1>Kettles</h1></div><p>{_L}</p><div class='post-comments'><p>{_S}</p></div></main>"
+        f"<div class='widget'><p>{_S}</p></div>",
+        {0, 1},
+    ),
     (
         f"<p>Menu</p><p>Search</p><p>{_S} See <a href=/s>ships</a>.</p><p>It was late.</p><p>{_L}</p><p>Share</p><p>Print</p>",
         {2, 3, 4},

@@ -241,6 +241,30 @@ def test_given_pages_give_their_articles(spark, sf_dir):
         assert r.text == want and r.n_chars == len(want)
 
 
+SENTENCE = "Rain fell on the harbour all morning and the boats stayed in."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<html><head><title>t</title><meta a=b><body><nav>x y</nav><article><p>{SENTENCE}</p></article>", SENTENCE),
+        (f"<head><script>x</script>{SENTENCE} {SENTENCE}", f"{SENTENCE} {SENTENCE}"),
+        (f"<div class='content no-sidebar'><p>{SENTENCE}</p></div>", SENTENCE),
+        (f"<main class='with-sidebar'><p>{SENTENCE}</p></main><div class='sidebar'><p>{SENTENCE}</p></div>", SENTENCE),
+        (f"<body class='has-footer nav-open menu'><div class=content><p>{SENTENCE}</p></div></body>", SENTENCE),
+        (f"<article><div class='post-header'><h1>A day</h1></div><p>{SENTENCE}</p></article>", f"A day\n\n{SENTENCE}"),
+        (f"<article><p>{SENTENCE}</p><div class='post-comments'><p>{SENTENCE}</p></div></article>", SENTENCE),
+        (f"<div class='content-sidebar'><p>{SENTENCE}</p></div>", ""),
+        (f"<article><p>{SENTENCE} <a title=Bob's href=/x>Boats</a> it isn't all.</p></article>", f"{SENTENCE} Boats it isn't all."),
+        (f"<article><p title=\"a > b\" alt='c > d'>{SENTENCE}</p></article>", SENTENCE),
+        (f"<article><select><option>one</select><p>{SENTENCE}</p><svg><text>drawn</text></svg></article>", SENTENCE),
+        (f"<article><svg><p>{SENTENCE}</p></article>", SENTENCE),
+    ],
+)
+def test_articles_behind_odd_markup(page, want):
+    assert html_text.main_text(page, TREE) == want
+
+
 # --- licences ---
 
 
