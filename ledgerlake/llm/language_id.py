@@ -5,12 +5,15 @@ parsed greedily into the longest phrases that occur in a language's labelled
 text; the fewer phrases it takes, weighted by the bits that one phrase costs,
 the closer the language. The language with the fewest bits wins.
 
-Training sample (a documented bound): per language the first ``SAMPLE_DOCS``
-labelled texts in the order of a hash of their content, of each at most
-``SAMPLE_DOC_CHARS`` characters, ``SAMPLE_CHARS`` characters in all. Texts to be
-labelled are parsed whole, in segments of ``SEGMENT`` characters; a phrase ends
+Training sample (a documented bound): per language ``SAMPLE_DOCS`` whole labelled
+texts in the order of a hash of their content, those of up to ``SHORT`` characters
+first; together they make an automaton of ``SAMPLE_SYMBOLS`` symbols at most. Texts
+to be labelled are parsed whole, in segments of ``SEGMENT`` symbols; a phrase ends
 where its segment ends.
 
+No script is left out: the letters that are most frequent in some language are one
+symbol each, every other letter is spelled as the four digits of its code.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 equal costs go to the first language in alphabetical order; without any labelled
 row everything is ``und``; repeated rows get equal results.
@@ -29,22 +32,28 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import held, in_tasks, small_slices
 
 SAMPLE_DOCS = 64
-SAMPLE_DOC_CHARS = 1000
-SAMPLE_CHARS = 20_000
+SHORT = 2000
+SAMPLE_SYMBOLS = 32_000
 SEGMENT = 256
 UNDECIDED = "und"
 
-PAD, GAP, RARE = 0, 1, 2
+# Symbols: the end of a segment, anything but letters, sixteen digits, single letters.
+PAD, GAP, DIGIT = 0, 1, 2
+LETTER = DIGIT + 16
 SYMBOLS = 64
 
 
 def sample(labelled: DataFrame, text_col: str, lang_col: str) -> list[tuple[str, str]]:
-    """A bounded sample of labelled texts: (language, text), at most SAMPLE_CHARS per language."""
-    order = Window.partitionBy("lang").orderBy("mark", "text")
+    """A bounded sample of labelled texts: (language, text), SAMPLE_DOCS texts a language.
+
+    Of a text longer than a language's automaton can hold no more than fills it is fetched.
+    """
+    order = Window.partitionBy("lang").orderBy("long", "mark", "text")
     rows = (
         labelled.select(
             F.col(lang_col).cast("string").alias("lang"),
-            F.substring(F.col(text_col), 1, SAMPLE_DOC_CHARS).alias("text"),
+            F.substring(F.col(text_col), 1, SAMPLE_SYMBOLS).alias("text"),
+            (F.char_length(F.col(text_col)) > SHORT).alias("long"),
             F.xxhash64(text_col).alias("mark"),
         )
         .filter("lang is not null and text is not null and text != ''")
@@ -108,24 +117,26 @@ class Parser:
 
     def __init__(self, labelled: list[tuple[str, str]]):
         taken: dict[str, list[np.ndarray]] = {}
-        size: Counter = Counter()
-        letters: Counter = Counter()
+        share: Counter = Counter()  # of a letter in the language that uses it most
         for lang, text in labelled:
-            codes = letter_codes(f" {text}")[: SAMPLE_CHARS - size[lang]]
+            codes = letter_codes(f" {text}")
             if codes.any():
                 taken.setdefault(lang, []).append(codes)
-                size[lang] += len(codes)
-                letters.update(codes[codes > 0].tolist())
-        self.symbol_of = np.full(0x10000, RARE, dtype=np.uint8)
+        for parts in taken.values():
+            letters = Counter(np.concatenate([c[c > 0] for c in parts]).tolist())
+            total = sum(letters.values())
+            for code, n in letters.items():
+                share[code] = max(share[code], n / total)
+        self.symbol_of = np.zeros(0x10000, dtype=np.uint8)
         self.symbol_of[0] = GAP
-        ranked = sorted(letters, key=lambda c: (-letters[c], c))
-        for place, code in enumerate(ranked[: SYMBOLS - 3]):
-            self.symbol_of[code] = place + 3
+        ranked = sorted(share, key=lambda c: (-share[c], c))
+        for place, code in enumerate(ranked[: SYMBOLS - LETTER]):
+            self.symbol_of[code] = place + LETTER
         self.langs = sorted(taken)
         self.tables, self.bits = [], []
         for lang in self.langs:
-            text = self.symbols_of_codes(np.concatenate(taken[lang]))
-            step = automaton([s for s in text.tolist() if s != RARE])
+            text = self.symbols_of_codes(np.concatenate(taken[lang]))[:SAMPLE_SYMBOLS]
+            step = automaton(text.tolist())
             known = step > 0
             fresh = np.broadcast_to(step[0], step.shape)
             target = np.where(known, step, fresh)
@@ -138,12 +149,22 @@ class Parser:
             self.bits.append(np.log2(max(2, len(text))))
 
     def symbols_of_codes(self, codes: np.ndarray) -> np.ndarray:
-        """Symbols, with runs of gaps made one."""
-        symbols = self.symbol_of[codes]
-        gap = symbols == GAP
+        """Symbols, with runs of gaps made one; a letter without a symbol becomes its four digits."""
+        gap = codes == 0
         gap[1:] &= gap[:-1]
         gap[:1] = False
-        return symbols[~gap]
+        codes = codes[~gap]
+        symbols = self.symbol_of[codes]
+        spelled = symbols == 0
+        if not spelled.any():
+            return symbols
+        width = np.where(spelled, 4, 1)
+        first = np.cumsum(width) - width
+        out = np.empty(int(width.sum()), dtype=np.uint8)
+        out[first[~spelled]] = symbols[~spelled]
+        for k in range(4):
+            out[first[spelled] + k] = DIGIT + (codes[spelled] >> (12 - 4 * k) & 15)
+        return out
 
     def costs(self, texts: list[np.ndarray]) -> np.ndarray:
         """Bits per symbol: one row per text, one column per language."""

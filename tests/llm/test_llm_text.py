@@ -66,6 +66,32 @@ def test_language_edge_cases(spark):
     assert kept.columns == docs.columns and kept.count() == 4
 
 
+def test_scripts_beside_each_other():
+    """Letters beyond the common ones are spelled out, not thrown together."""
+    labelled = [
+        ("zh", "我们学习历史和科学，世界经济正在发展。学生在学校学习语言和文化，老师讲课。" * 3),
+        ("ja", "私たちは歴史を学びます。世界の経済は発展しています。学生は学校で言葉と文化を勉強します。" * 3),
+        ("el", "η γάτα κάθισε στο χαλί και ο σκύλος έτρεξε"),
+        ("ru", "кошка сидела на ковре а собака бежала через холм"),
+        *LABELLED,
+    ]
+    parser = language_id.Parser(labelled)
+    texts = ["我们学习历史", "世界经济", "学生は言葉", "собака бежала", "der hund und die katze", "σκύλος"]
+    langs, scores = parser.identify(texts)
+    assert langs == ["zh", "zh", "ja", "ru", "de", "el"] and min(scores) > 0.2
+    every = np.arange(0x20, 0xD7FF)
+    letters = every[language_id._LETTERS[every]]
+    spelled = [parser.symbols_of_codes(np.array([c])).tobytes() for c in letters]
+    assert len(set(spelled)) == len(letters)
+
+
+def test_training_texts_stay_whole(spark):
+    rows = [(k, "wort " * n) for k, n in enumerate((10, 50, 399, 3000))]
+    labelled = spark.createDataFrame(rows, DOCS).withColumn("lang", F.lit("de"))
+    taken = [len(t) for _, t in language_id.sample(labelled, "text", "lang")]
+    assert sorted(taken[:3]) == [50, 250, 1995] and taken[3] == 15_000
+
+
 def test_language_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     got = queries.op7_language_id(spark, sf_dir).filter("held_out").join(docs, "doc_id")
