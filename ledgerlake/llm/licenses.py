@@ -1,11 +1,15 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance down the directory tree.
 
-DataFrame functions only. Every sentence of every file is compared with every
-sentence of the templates; words weigh by their inverse document frequency over
-all files. A sentence whose cosine to a template reaches ``THRESHOLD`` gives its
-file that licence (the closest one counts). A file that is nothing but licence
-text (``FILE_SHARE`` of its words) is a licence file and licenses its directory.
-A file without a licence of its own takes that of the nearest directory above.
+DataFrame functions only. Templates are short notices and whole licence texts, cut
+into sentences. Every sentence of every file is compared with every sentence of the
+templates; words weigh by their inverse document frequency over all files. Lines are
+compared as they stand, and sentences also over line breaks (a blank or bare comment
+line ends one), so wrapped text and comment blocks match. A sentence whose cosine to
+a template reaches ``THRESHOLD`` gives its file that licence (the closest one
+counts). A file that is nothing but licence text (``FILE_SHARE`` of its words) is a
+licence file: of several licences that which explains most of its words is its own,
+and licenses its directory. A file without a licence of its own takes that of the
+nearest directory above.
 
 Candidates: by the Cauchy-Schwarz inequality a sentence can only reach the
 threshold if it holds one of the template's heaviest words, those without which
@@ -25,10 +29,10 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import staged, text_or_empty
+from ledgerlake.llm.common import matching, staged, text_or_empty
 
 THRESHOLD = 0.7
 FILE_SHARE = 0.8
@@ -72,8 +76,84 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 
+# Whole texts of licences, and the notices that files under longer ones carry.
+_AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE'
+    " WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR"
+    " COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR"
+    " OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_TERMS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+    " following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following"
+    " disclaimer.\n\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following"
+    " disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+    " derived from this software without specific prior written permission.\n\n"
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,'
+    " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+    " DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,"
+    " SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;"
+    " LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN"
+    " CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS"
+    " SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+BODIES = {
+    "MIT": (
+        "MIT License\n\n"
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+        ' documentation files (the "Software"), to deal in the Software without restriction, including without limitation the'
+        " rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit"
+        " persons to whom the Software is furnished to do so, subject to the following conditions:\n\n"
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the"
+        f" Software.\n\n{_AS_IS}"
+    ),
+    "BSD-2-Clause": f"BSD 2-Clause License\n\n{_BSD_TERMS}{_BSD_END}",
+    "BSD-3-Clause": f"BSD 3-Clause License\n\n{_BSD_TERMS}{_BSD_NAMES}{_BSD_END}",
+    "ISC": (
+        "ISC License\n\n"
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"
+        " provided that the above copyright notice and this permission notice appear in all copies.\n\n"
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL'
+        " IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,"
+        " INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN"
+        " ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF"
+        " THIS SOFTWARE."
+    ),
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with'
+        " the License. You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0\n\n"
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an"
+        ' "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the'
+        " specific language governing permissions and limitations under the License."
+    ),
+    "GPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public"
+        " License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later"
+        " version.\n\n"
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied"
+        " warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.\n\n"
+        "You should have received a copy of the GNU General Public License along with this program. If not, see"
+        " <https://www.gnu.org/licenses/>."
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
+        " distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+}
+
 _WORD = r"[^a-z0-9.]+"  # what parts words; a full stop stays inside version numbers
-_SENTENCE = r"\n|(?<=[.!?:;])\s"
+_SENTENCE = r"\n|(?<=[.!?:;])\s"  # in a line
+_JOINED = r"(?<=[.!?])\s+|\n[^A-Za-z0-9\n]*\n"  # over lines
+SENTENCES = {
+    name: [x for x in (*TEMPLATES.get(name, ()), *re.split(_JOINED, BODIES.get(name, "")))] for name in sorted({*TEMPLATES, *BODIES})
+}
 
 
 def plain_words(sentence: str) -> list[str]:
@@ -87,25 +167,31 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(spaced, _WORD), "")
 
 
+def template_sentences() -> list[tuple[str, list[str]]]:
+    """(licence, words) of every sentence of the templates; shorter ones than two words tell nothing."""
+    rows = [(name, plain_words(x)) for name, sentences in SENTENCES.items() for x in sentences]
+    return [(name, words) for name, words in rows if len(words) > 1]
+
+
 def vocabulary() -> list[str]:
-    return sorted({w for sentences in TEMPLATES.values() for s in sentences for w in plain_words(s)})
+    return sorted({w for _, words in template_sentences() for w in words})
 
 
-def frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
-    """Number of files, and for each template word in how many it occurs."""
+def known_words(files: DataFrame) -> DataFrame:
+    """Per file its number of words and which template words it has; staged, the only pass over all texts."""
     known = F.array(*[F.lit(w) for w in vocabulary()])
-    words = F.array_intersect(words_of(F.col("text")), known)
+    words = files.select("file", F.explode(F.array(words_of(F.col("text")))).alias("words"))
+    return staged(words.select("file", F.array_intersect("words", known).alias("known")), "licence-known")
+
+
+def frequencies(found: DataFrame) -> tuple[int, dict[str, int]]:
+    """Number of files, and for each template word in how many it occurs."""
     # The count of files travels as the word that no text has.
-    rows = files.select(F.explode(F.concat(words, F.array(F.lit("")))).alias("word"))
+    rows = found.select(F.explode(F.concat("known", F.array(F.lit("")))).alias("word"))
     counted = {r.word: r.n for r in rows.groupBy("word").agg(F.count("*").alias("n")).collect()}
     return counted.pop("", 0), counted
 
 
-def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
 def anchors(weights: list[dict[str, float]]) -> list[str]:
     """Of every template the heaviest words, until those left can no longer carry the threshold."""
     found = set()
@@ -123,54 +209,77 @@ def anchors(weights: list[dict[str, float]]) -> list[str]:
 def own_licenses(files: DataFrame) -> DataFrame:
     """(file, license, similarity, share): files with a sentence close to a template.
 
-    ``files`` has file (a key), text; ``share`` is the part of the file's words in such sentences.
+    ``files`` has file (a key: path and mark), text; ``share`` is the part of the file's words in such sentences.
     """
-    total, counted = frequencies(files)
+    spark = files.sparkSession
+    found = known_words(files)
+    total, counted = frequencies(found)
     idf = {w: math.log((total + 1) / (counted.get(w, 0) + 1)) + 1 for w in vocabulary()}
     unseen = math.log(total + 1) + 1
     rows, weights = [], []
-    for license_id, sentences in TEMPLATES.items():
-        for sentence in sentences:
-            weight = {w: n * idf[w] for w, n in Counter(plain_words(sentence)).items()}
-            norm = math.sqrt(sum(w * w for w in weight.values()))
-            weights.append(weight)
-            rows += [(w, license_id, len(weights), idf[w], weight[w] / norm) for w in weight]
-    spark = files.sparkSession
-    gate = anchors(weights)
-    templates = F.broadcast(literal_table(spark, rows, ["word", "license", "template", "idf", "share"]))
-    idfs = F.create_map(*[F.lit(x) for w in idf for x in (w, idf[w])])
-
-    pattern = "(?<![a-z0-9])(?:" + "|".join(re.escape(w) for w in gate) + ")(?![a-z0-9])"
-    gated = files.filter(F.lower("text").rlike(pattern))
-    sentences = gated.select(
-        "file", F.size(words_of(F.col("text"))).alias("file_words"), F.posexplode(F.split("text", _SENTENCE)).alias("place", "sentence")
-    ).select("file", "file_words", "place", words_of(F.col("sentence")).alias("words"))
-    sentences = sentences.filter(F.arrays_overlap("words", F.array(*[F.lit(w) for w in gate])))
+    for license_id, words in template_sentences():
+        weight = {w: n * idf[w] for w, n in Counter(words).items()}
+        norm = math.sqrt(sum(w * w for w in weight.values()))
+        weights.append(weight)
+        rows += [(w, license_id, len(weights), weight[w] / norm) for w in weight]
+    gate = F.array(*[F.lit(w) for w in anchors(weights)])
+    templates = F.broadcast(spark.createDataFrame(rows, "word string, license string, template int, share double"))
+    idfs = F.broadcast(spark.createDataFrame([*idf.items()], "word string, idf double"))
+
+    keys = found.filter(F.arrays_overlap("known", gate)).select("file.path", "file.mark").distinct()
+    flat = files.select("file.path", "file.mark", "text")
+    gated = matching(flat, staged(keys, "licence-gated"), ["path", "mark"])
+    gated = gated.select(F.struct("path", "mark").alias("file"), "text", F.size(words_of(F.col("text"))).alias("file_words"))
+    # Lines as they stand, and sentences over lines; the share of a file is taken over the latter alone.
+    joined = F.transform(F.split("text", _JOINED), lambda x: F.struct(F.lit(True).alias("joined"), x.alias("sentence")))
+    single = F.transform(
+        F.array_except(F.split("text", _SENTENCE), F.split("text", _JOINED)),
+        lambda x: F.struct(F.lit(False).alias("joined"), x.alias("sentence")),
+    )
+    sentences = gated.select("file", "file_words", F.posexplode(F.concat(joined, single)).alias("place", "s"))
+    sentences = sentences.select("file", "file_words", "place", "s.joined", words_of(F.col("s.sentence")).alias("words"))
+    sentences = sentences.filter(F.arrays_overlap("words", gate))
+    unit = ["file", "file_words", "place", "joined", "n_words"]
     counted_words = (
-        sentences.select("file", "file_words", "place", F.size("words").alias("n_words"), F.explode("words").alias("word"))
-        .groupBy("file", "file_words", "place", "n_words", "word")
+        sentences.select(*unit[:-1], F.size("words").alias("n_words"), F.explode("words").alias("word"))
+        .groupBy(*unit, "word")
         .agg(F.count("*").alias("n"))
-        .withColumn("weight", F.col("n") * F.coalesce(F.try_element_at(idfs, F.col("word")), F.lit(unseen)))
+        .join(idfs, "word", "left")
+        .withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(unseen)))
     )
-    counted_words = staged(counted_words, "licence-words")
+    counted_words = staged(counted_words.drop("idf"), "licence-words")
     norms = counted_words.groupBy("file", "place").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     dots = (
         counted_words.join(templates, "word")
-        .groupBy("file", "file_words", "place", "n_words", "license", "template")
+        .groupBy(*unit, "license", "template")
         .agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
     )
     near = (
         dots.join(norms, ["file", "place"])
         .withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6))
         .filter(F.col("similarity") >= THRESHOLD)
+        .groupBy(*unit, "license")
+        .agg(F.max("similarity").alias("similarity"))
     )
-    order = sorted(TEMPLATES, reverse=True)  # of equal similarities the alphabetically first is the greatest
+    near = staged(near, "licence-sentences")
+    order = sorted(SENTENCES, reverse=True)  # of equal similarities the alphabetically first is the greatest
     rank = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("license"))
-    best = near.groupBy("file", "file_words", "place", "n_words").agg(
-        F.max(F.struct("similarity", rank.alias("rank"), "license")).alias("best")
+    best = F.max(F.struct("similarity", rank.alias("rank"), "license")).alias("best")
+    by_file = near.groupBy("file", "file_words").agg(best)
+    explained = near.filter("joined").groupBy("file", "file_words", "license").agg(
+        F.sum(F.col("similarity") * F.col("n_words")).alias("explained"), F.max("similarity").alias("similarity")
     )
-    return best.groupBy("file", "file_words").agg(F.max("best").alias("best"), F.sum("n_words").alias("matched")).select(
-        "file", "best.license", "best.similarity", (F.col("matched") / F.col("file_words")).alias("share")
+    most = F.max(F.struct("explained", rank.alias("rank"), "license", "similarity")).alias("most")
+    covered = near.filter("joined").groupBy("file", "place").agg(F.max("n_words").alias("n_words"))
+    covered = covered.groupBy("file").agg(F.sum("n_words").alias("matched"))
+    whole = explained.groupBy("file").agg(most).join(covered, "file")
+    judged = by_file.join(whole, "file", "left").withColumn("share", F.coalesce(F.col("matched") / F.col("file_words"), F.lit(0.0)))
+    is_licence = F.col("share") >= FILE_SHARE
+    return judged.select(
+        "file",
+        F.when(is_licence, F.col("most.license")).otherwise(F.col("best.license")).alias("license"),
+        F.when(is_licence, F.col("most.similarity")).otherwise(F.col("best.similarity")).alias("similarity"),
+        "share",
     )
 
 

@@ -320,6 +320,36 @@ def test_license_scan_and_inheritance(spark):
     assert licenses.scan(files.filter("false"), "path", "text").count() == 0
 
 
+def test_wrapped_licence_files_license_their_directories(spark):
+    import textwrap
+
+    wrap = lambda text, mark="", width=72: "\n".join(
+        f"{mark}{line}".rstrip() for part in text.split("\n\n") for line in [*textwrap.wrap(part, width), ""]
+    )
+    named = lambda text: text.replace("\n\n", "\n\nCopyright (c) 2021, The Harbour Post\n\n", 1)
+    rows = [(f"{k}/LICENSE", wrap(named(licenses.BODIES[k]))) for k in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0")]
+    rows += [(f"{k}/src/x.py", "no licence in here") for k in licenses.BODIES]
+    rows += [
+        ("c/x.c", "/*\n" + wrap(licenses.BODIES["Apache-2.0"], " * ", 60) + " */\n" + "int main() { return 0; }\n" * 200),
+        ("c/y.py", "first line\n" + wrap(licenses.BODIES["GPL-3.0"], "# ") + "import os\n" * 300),
+        ("c/z.txt", "nothing of the kind"),
+    ]
+    # Other texts, so that common words weigh little.
+    rows += [(f"other/{k}", f"{FILLER_WORDS[k % 7]} the use of any software is with the author and to copy it is free {k}") for k in range(60)]
+    files = spark.createDataFrame(rows, "path string, text string")
+    got = {r.path: (r.license, r.origin, r.from_dir) for r in licenses.scan(files, "path", "text").collect()}
+    for k in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0"):
+        assert got[f"{k}/LICENSE"] == (k, "own", None)
+        assert got[f"{k}/src/x.py"] == (k, "inherited", k)
+    assert got["GPL-3.0/src/x.py"] == (None, "none", None)
+    assert got["c/x.c"][:2] == ("Apache-2.0", "own") and got["c/y.py"][:2] == ("GPL-3.0", "own")
+    assert got["c/z.txt"] == (None, "none", None)
+    assert {v[0] for k, v in got.items() if k.startswith("other/")} == {None}
+
+
+FILLER_WORDS = "harbour boats rain kettle nets shed gulls".split()
+
+
 def test_licenses_match_brute_force_cosine(spark, sf_dir):
     """Every sentence against every template, without anchors."""
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
@@ -333,11 +363,11 @@ def test_licenses_match_brute_force_cosine(spark, sf_dir):
         norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
         return {w: x / norm for w, x in v.items()}
 
-    templates = [(k, vector(licenses.plain_words(s))) for k, texts in licenses.TEMPLATES.items() for s in texts]
+    templates = [(k, vector(row)) for k, row in licenses.template_sentences()]
     want = {}
     for i, text in docs.items():
         best = (0.0, "")
-        for sentence in re.split(r"\n|(?<=[.!?:;])\s", text):
+        for sentence in re.split(r"\n|(?<=[.!?:;])\s", text) + re.split(r"(?<=[.!?])\s+|\n[^A-Za-z0-9\n]*\n", text):
             v = vector(licenses.plain_words(sentence))
             for name, t in templates:
                 cosine = round(sum(x * t.get(w, 0.0) for w, x in v.items()), 6)
