@@ -69,26 +69,68 @@ def rollup_grains(
     """
     keys = [TOKEN, DATE]
     column = {"volume": value, "amount": amount}.get(measure)
-    # Exact totals, so that days add up to weeks without rounding: decimals with room, else text.
-    kind = None if column is None else ledger.schema[column].dataType
-    if column is None:
-        daily = ledger.groupBy(*keys).agg(F.count("*").alias("total"))
-    elif isinstance(kind, DecimalType) and kind.precision <= 18:
-        daily = ledger.groupBy(*keys).agg(F.sum(F.col(column).cast(f"decimal(18,{kind.scale})")).alias("total"))
-    else:
-        daily = add_up(ledger.withColumn(column, plain_decimal(F.col(column))), keys, column).select(*keys, "total")
+    daily = _daily(ledger, column)
     parts = []
     for grain in ("day", "week", "month"):
-        dated = daily.withColumn(DATE, period(F.col(DATE), grain))
-        if column is None:
-            totals = dated.groupBy(*keys).agg(F.sum("total").alias("value_num"))
-        else:
-            totals = sum_by(dated, keys, "total").select(*keys, F.coalesce("total", F.lit(0.0)).alias("value_num"))
-        part = fill(spine_periods(spine, grain), totals, [TOKEN, DATE])
-        parts.append(part.select("value_num", TOKEN, DATE, F.lit(grain).alias("grain")))
+        totals = _rolled(daily.withColumn(DATE, period(F.col(DATE), grain)), keys, column)
+        part = fill(spine_periods(spine, grain), totals, keys)
+        parts.append(part.select("value_num", *keys, F.lit(grain).alias("grain")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _daily(ledger: DataFrame, column: str | None) -> DataFrame:
+    """Exact ``total`` per token and day, so that days add up without rounding: rows counted, decimals with room, else text."""
+    keys = [TOKEN, DATE]
+    if column is None:
+        return ledger.groupBy(*keys).agg(F.count("*").alias("total"))
+    kind = ledger.schema[column].dataType
+    if isinstance(kind, DecimalType) and kind.precision <= 18:
+        return ledger.groupBy(*keys).agg(F.sum(F.col(column).cast(f"decimal(18,{kind.scale})")).alias("total"))
+    return add_up(ledger.withColumn(column, plain_decimal(F.col(column))), keys, column).select(*keys, "total")
+
+
+def _rolled(days: DataFrame, keys: Sequence[str], column: str | None) -> DataFrame:
+    """Daily totals added up to ``value_num`` per keys."""
+    if column is None:
+        return days.groupBy(*keys).agg(F.sum("total").alias("value_num"))
+    return sum_by(days, keys, "total").select(*keys, F.coalesce("total", F.lit(0.0)).alias("value_num"))
+
+
+def rollup_range(
+    ledger: DataFrame,
+    spine: DataFrame,
+    measure: str,
+    grain: str,
+    first: str | dt.date,
+    last: str | dt.date,
+    value: str = "value",
+    amount: str = "amount",
+) -> DataFrame:
+    """What the incremental runs of all days ``first``..``last`` give, in one plan; ``run_date`` tells them apart.
+
+    The range and what its first period needs are read once and cut to a row per
+    token and day. A day's total then counts for the run days from that day to
+    the end of its week (seven at most); a month's total for all run days in it.
+    """
+    first, last = as_date(first), as_date(last)
+    begin, end = period_range(first, grain)[0], period_range(last, grain)[1] if grain == "month" else last
+    column = {"volume": value, "amount": amount}.get(measure)
+    daily = _daily(ledger.where(between_days(ledger, DATE, begin, end)), column)
+    run_days = lambda low, high: F.sequence(F.greatest(low, F.lit(first)), F.least(high, F.lit(last)))
+    keys = [TOKEN, DATE, "run_date"]
+    if grain == "month":
+        listed = spine_periods(spine.where(between_days(spine, DATE, begin, end)), grain)
+        totals = _rolled(daily.withColumn(DATE, period(F.col(DATE), grain)), [TOKEN, DATE], column)
+        filled = fill(listed, totals, [TOKEN, DATE])
+        return filled.select("value_num", TOKEN, DATE, F.explode(run_days(F.col(DATE), F.last_day(DATE))).alias("run_date"))
+    stop = F.col(DATE) if grain == "day" else F.date_add(period(F.col(DATE), "week"), 6)
+    counted = daily.where((stop >= F.lit(first)) & (F.col(DATE) <= F.lit(last)))
+    counted = counted.select(TOKEN, period(F.col(DATE), grain).alias(DATE), F.explode(run_days(F.col(DATE), stop)).alias("run_date"), "total")
+    listed = spine.where(between_days(spine, DATE, first, last))
+    listed = listed.select(TOKEN, period(F.col(DATE), grain).alias(DATE), F.col(DATE).alias("run_date"))
+    return fill(listed, _rolled(counted, keys, column), keys).select("value_num", *keys)
+
+
 def avg_metric(
     ledger: DataFrame,
     spine: DataFrame,

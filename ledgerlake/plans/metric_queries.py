@@ -158,6 +158,31 @@ def _grains_oracle() -> str:
 
 register("volume_all_grains", _grains, _grains_oracle())
 
+# A range of days at once, over the turn of a month: the incremental runs of each of its days.
+RANGE = ("2001-06-20", "2001-07-10")
+
+
+def _range_oracle(measure: str, grain: str) -> str:
+    stop = "last_day(run_date)" if grain == "month" else "run_date"
+    listed = f"s.transaction_date BETWEEN p AND {stop}" if grain == "month" else "s.transaction_date = run_date"
+    return f"""WITH {T}, {SP},
+    r AS (SELECT run_date, CAST(date_trunc('{grain}', run_date) AS DATE) AS p
+          FROM (SELECT CAST(unnest(generate_series(DATE '{RANGE[0]}', DATE '{RANGE[1]}', INTERVAL 1 DAY)) AS DATE) AS run_date)),
+    l AS (SELECT DISTINCT token_address, p, run_date FROM r JOIN spine s ON {listed}),
+    a AS (SELECT token_address, run_date, {AGGREGATE_SQL[measure]} AS v FROM r JOIN t ON t.transaction_date BETWEEN p AND {stop} GROUP BY ALL)
+    SELECT coalesce(v, 0) AS value_num, token_address, CAST(p AS VARCHAR) AS transaction_date, CAST(run_date AS VARCHAR) AS run_date
+    FROM l LEFT JOIN a USING (token_address, run_date)"""
+
+
+for _measure, _grain in (("volume", "day"), ("volume", "week"), ("trades", "week"), ("amount", "month")):
+    register(
+        f"{_measure}_{_grain}_range",
+        lambda spark, sf, measure=_measure, grain=_grain: metrics.rollup_range(
+            V.transfers(spark, sf), V.transfer_spine(spark, sf), measure, grain, *RANGE
+        ),
+        _range_oracle(_measure, _grain),
+    )
+
 # ---------------------------------------------------------------------- hours
 
 

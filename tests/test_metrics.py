@@ -250,3 +250,18 @@ def test_running_total_needs_no_single_task(spark):
     plan = totals.running_total(seen)._jdf.queryExecution().toString()
     main = plan[plan.index("== Physical Plan =="):].split("Subquery")[0]
     assert "SinglePartition" not in main
+
+
+@pytest.mark.parametrize("grain", ["day", "week", "month"])
+@pytest.mark.parametrize("measure", ["volume", "trades"])
+def test_a_range_equals_its_daily_runs(spark, grain, measure):
+    made = _made_moves(spark, 150).withColumn("value", F.concat(F.col("value").cast("int"), F.lit("." + "0" * 30 + "1"))).cache()  # text of any width
+    days = listed(spark, "2019-01-01", "2019-06-30").where("not (token_address = 'U' and transaction_date = '2019-02-03')")
+    got = metrics.rollup_range(made, days, measure, grain, "2019-01-25", "2019-02-12")
+    full = {(str(r.run_date), r.token_address, str(r.transaction_date)): r.value_num for r in got.collect()}
+    want = {}
+    for k in range(19):
+        day = str(d("2019-01-25") + dt.timedelta(days=k))
+        for r in metrics.rollup_metric(made, days, measure, grain, day).collect():
+            want[day, r.token_address, str(r.transaction_date)] = r.value_num
+    assert full == want
