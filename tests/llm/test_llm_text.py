@@ -125,22 +125,17 @@ def test_model_is_a_distribution(spark, monkeypatch):
     docs = spark.createDataFrame(rows, DOCS)
     model = class_lm.train(docs)
     np.testing.assert_allclose((10**model.transition).sum(axis=1), 1)
-    vocabulary = {r.word: r.n for r in model.vocabulary.collect()}
-    units = class_lm.Units(model.frequent)
-    mass = np.where(10**model.unknown < 1, 10**model.unknown, 0)
-    for word, n in vocabulary.items():
-        if word:
-            cls = model.member[units[word.encode()]]
-            mass[cls] += n * 10 ** model.known[cls]
-    used = {model.member[units[w.encode()]] for w in vocabulary if w}
-    np.testing.assert_allclose([mass[c] for c in used], 1)
+    vocabulary = {r.word: (r.n, r["class"]) for r in model.vocabulary.collect()}
+    mass = Counter({model.unknown_class: 10**model.unknown})
+    for n, cls in vocabulary.values():
+        mass[cls] += n * 10 ** model.known[cls]
+    np.testing.assert_allclose([*mass.values()], 1)
 
     def by_hand(text):
         before, total = class_lm.END_CLASS, 0.0
         for word in class_lm.words(text):
-            cls = model.member[units[word]]
-            n = vocabulary.get(word.decode())
-            total += model.transition[before, cls] + (math.log10(n) + model.known[cls] if n else model.unknown[cls])
+            n, cls = vocabulary.get(word.decode(), (0, model.unknown_class))
+            total += model.transition[before, cls] + (math.log10(n) + model.known[cls] if n else model.unknown)
             before = cls
         return total + model.transition[before, class_lm.END_CLASS]
 
@@ -160,6 +155,33 @@ def test_model_of_nothing(spark):
     assert class_lm.score(docs.filter("false"), model).count() == 0
 
 
+def test_every_word_gets_a_learned_class(spark, monkeypatch):
+    """Words far below the frequent ones go to the class whose places they take; rounds raise the likelihood."""
+    monkeypatch.setattr(class_lm, "FREQUENT", 12)
+    monkeypatch.setattr(class_lm, "UNITS", 13)
+    monkeypatch.setattr(class_lm, "FLUSH", 50)  # tasks hand on often
+    rng = random.Random(3)
+    nouns, verbs = [f"n{k}" for k in range(6)], [f"v{k}" for k in range(6)]
+    rare = {f"rn{k}": nouns for k in range(40)} | {f"rv{k}": verbs for k in range(40)}
+    rows, pending = [], [w for w in rare for _ in range(4)]
+    rng.shuffle(pending)
+    for i in range(400):
+        text = [rng.choice(kind) for _ in range(8) for kind in (nouns, verbs)]
+        if i < len(pending):  # a rare noun or verb in place of a frequent one
+            places = [k for k, w in enumerate(text) if w in rare[pending[i]]]
+            text[rng.choice(places[1:-1])] = pending[i]
+        rows.append((i, " ".join(text)))
+    rows.append((999, "alone"))
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    cls = {r.word: (r.n, r["class"]) for r in class_lm.train(docs).vocabulary.collect()}
+    counts = Counter(w for _, t in rows for w in t.split())
+    assert {w: n for w, (n, _) in cls.items()} == counts
+    noun_classes, verb_classes = ({cls[w][1] for w in kind} for kind in (nouns, verbs))
+    assert not noun_classes & verb_classes
+    assert {cls[w][1] for w in rare if w in cls and w[1] == "n"} <= noun_classes
+    assert {cls[w][1] for w in rare if w in cls and w[1] == "v"} <= verb_classes
+
+
 def test_exchange_separates_two_alternating_classes():
     bigrams = np.zeros((class_lm.UNITS, class_lm.UNITS))
     rng = np.random.default_rng(0)
