@@ -6,8 +6,8 @@ text. Texts are equal when they are identical after lower-casing A-Z.
 
 Defined results: a null text counts as empty; of equal texts the largest id
 stays; rows that repeat both id and text all carry the id that stays and count
-as kept; a null id never beats another id and stays only if its whole group has
-none; an empty table gives no rows. Other columns, whatever their names, do not
+as kept (``drop_exact_copies`` keeps one of them); a null id never beats another
+id and stays only if its whole group has none; an empty table gives no rows. Other columns, whatever their names, do not
 matter: only the id, the text and ``carry`` are read.
 """
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ascii_lower, staged, text_or_empty
+from ledgerlake.llm.common import ascii_lower, settle, staged, text_or_empty
 
 PREFIX_CHARS = 256
 
@@ -34,6 +34,13 @@ def exact_dedup(
     ``digest_col`` names a column that already holds a digest of the normalised
     whole text; without it the whole text is hashed here, for surviving rows only.
     """
+    return _grouped(docs, id_col, text_col, carry, digest_col, prefix_chars).drop("content")
+
+
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...], digest_col: str | None, prefix_chars: int
+) -> DataFrame:
+    """The same with ``content``, which rows of a group share."""
     text = ascii_lower(text_or_empty(text_col))
     # The prefix is cut before it is lower-cased, so that only its few characters are touched.
     prefix = F.xxhash64(ascii_lower(F.substring(text_or_empty(text_col), 1, prefix_chars)))
@@ -73,10 +80,25 @@ def exact_dedup(
         keep_id.alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.col(f"row.{id_col}").eqNullSafe(keep_id).alias("kept"),
+        "content",
     )
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of the input."""
-    marked = exact_dedup(docs, id_col, text_col, carry=tuple(docs.columns))
-    return marked.filter("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    """One row of each group of equal texts, with the columns of the input.
+
+    It is the one with the largest id; of several rows with that id the one with the least hash of its text, and of
+    rows that repeat id and text one. Groups are found with ids and hashes alone; the rows themselves are not shuffled
+    but for those in question.
+    """
+    narrow = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_or_empty(text_col)).alias("mark")
+    )
+    marked = _grouped(narrow, "id", "text", ("mark",), None, PREFIX_CHARS).filter("group_size > 1")
+    marked = staged(marked.select("row.id", "row.mark", "kept", "content"), "copies")
+    first = marked.filter("kept").groupBy("content").agg(F.min("mark").alias("first_mark"), F.count("*").alias("n"))
+    lasting = marked.filter("kept").join(first, "content")
+    gone = marked.filter(~F.col("kept")).select("id", "mark")
+    gone = gone.unionByName(lasting.filter("mark <> first_mark").select("id", "mark")).distinct()
+    repeated = lasting.filter("n > 1 AND mark = first_mark").select("id", "mark").distinct()
+    return settle(docs, id_col, text_col, staged(gone, "copies-gone"), staged(repeated, "copies-repeated"))

@@ -27,7 +27,8 @@ words have one shingle, all their words.
 Defined results: a null text counts as empty; texts without words have no
 shingles, are linked to nothing and form classes of their own, one per row id;
 the class id is the least id of the class; rows that repeat id and text are
-separate rows with the same class; an empty table gives no rows.
+separate rows with the same class (``keep_one_per_class`` keeps one of them); an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import in_tasks, small_slices, staged, text_or_empty
+from ledgerlake.llm.common import in_tasks, settle, small_slices, staged, text_or_empty
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -325,7 +326,8 @@ def similar_classes(
 
 
 def marked_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
-    """The same with the id as ``id`` and ``mark``, the hash of the text: an id may repeat with another text."""
+    """The same with the id as ``id``, ``mark``, the hash of the text (an id may repeat with another text), and
+    ``class_hi`` and ``class_lo``, the name of a set of the class (null without words)."""
     signed = staged(sign(docs, id_col, text_col), "signatures")
     sets = staged(
         signed.filter("hi is not null")
@@ -383,7 +385,7 @@ def marked_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float
     named = labels.join(ids, ["hi", "lo"])
     class_ids = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
     linked = named.join(class_ids, "label").join(counts, ["hi", "lo"], "left").select(
-        "hi", "lo", "class_id", "links", "linked"
+        "hi", "lo", "label", "class_id", "links", "linked"
     )
     linked = staged(linked, "linked-sets")
     every = sets.select("hi", "lo", "first_id", "copies").join(linked, ["hi", "lo"], "left").select(
@@ -392,23 +394,33 @@ def marked_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float
         F.coalesce("class_id", "first_id").alias("class_id"),
         (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
         F.coalesce("links", F.lit(0)).alias("n_linked_texts"),
+        F.coalesce("label.hi", "hi").alias("class_hi"),
+        F.coalesce("label.lo", "lo").alias("class_lo"),
     )
     with_words = signed.filter("hi is not null").select("id", "mark", "hi", "lo").join(staged(every, "set-classes"), ["hi", "lo"])
     without = signed.filter("hi is null").select(
-        "id", "mark", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_linked_texts")
+        "id", "mark", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_linked_texts"),
+        F.lit(None).cast("long").alias("class_hi"), F.lit(None).cast("long").alias("class_lo"),
     )
     return with_words.select(*without.columns).unionByName(without).select(
-        "id", "mark", "class_id", "n_links", "n_linked_texts", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
+        "*", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
     )
 
 
 def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row with the least id of every class, with the columns of the input."""
-    gone = marked_classes(docs, id_col, text_col).filter(~F.col("kept"))
-    gone = gone.select(F.col("id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("mark")
-    )
-    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark"))
-    stay = rows.join(staged(gone, "near-copies"), same, "left_anti")
-    return stay.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    """One row of every class, with the columns of the input.
+
+    It is the one with the least id (a null id comes last); of several rows with that id the one with the least hash of
+    its text, and of rows that repeat id and text one. Texts without words stay. Only rows of classes with several
+    members are looked at, and of the rows themselves only those in question are shuffled.
+    """
+    classed = marked_classes(docs, id_col, text_col).filter("class_hi IS NOT NULL AND (n_links > 0 OR n_linked_texts > 0)")
+    classed = staged(classed.select("class_hi", "class_lo", "id", "mark"), "class-members")
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark")
+    firsts = classed.groupBy("class_hi", "class_lo").agg(F.min(order).alias("first"))
+    members = classed.groupBy("class_hi", "class_lo", "id", "mark").agg(F.count("*").alias("n"))
+    judged = staged(members.join(firsts, ["class_hi", "class_lo"]), "class-judged")
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark"))
+    gone = judged.filter(~stays).select("id", "mark").distinct()
+    repeated = judged.filter(stays & (F.col("n") > 1)).select("id", "mark").distinct()
+    return settle(docs, id_col, text_col, staged(gone, "near-copies"), staged(repeated, "near-repeated"))
