@@ -4,6 +4,13 @@ Each stage is a function of (session, documents, folder of the given tables) and
 works on all that its predecessor kept. Between stages the documents are written
 as Parquet to the shared folder and read back, so a lost executor costs one
 stage at most.
+
+Defined results: a null text, and one without a letter, goes in the first stage, so
+the later ones see neither; a null id is an id like others but stays behind any of
+them where copies are dropped; of equal or similar texts one row stays (the largest
+id of equal ones, the least of similar ones, then the least hash of the text), also
+where rows repeat id and text; other columns pass through all stages but the last,
+whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -12,7 +19,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import decontaminate, exact_dedup, jaccard_join, language_id, packing
-from ledgerlake.llm.common import staged
+from ledgerlake.llm.common import mark, only_last
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -58,6 +65,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    begun = mark()
+    for name, stage in STAGES[:-1]:  # a stage's own tables, and its input, go once its output is written
+        docs = only_last(stage(spark, docs, sf_dir), f"stage-{name}", begun)
     return STAGES[-1][1](spark, docs, sf_dir)
