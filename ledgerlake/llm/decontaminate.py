@@ -13,9 +13,9 @@ alignment that fails this test count only where they hold words alone.
 
 A document is contaminated by an item when at least ``MIN_WINDOWS`` different
 windows of the item match (13 tokens in a row give 6 windows of 8), or all
-windows of an item that has fewer. Items between ``MIN_TOKENS`` and ``WINDOW``
-tokens match as a whole; shorter ones cannot be told from prose and are not
-searched.
+windows of an item that has fewer. Items of less than ``WINDOW`` tokens match as a
+whole; those of less than ``TYPED_TOKENS`` only word by word, in any case and with
+their own numbers and names, as their templates could not be told from prose.
 
 Defined results: null texts and items count as empty and never match; items with
 equal templates and values are searched as one, under their smallest id; rows that repeat
@@ -29,10 +29,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import staged, text_or_empty
+from ledgerlake.llm.common import matching, settle, staged, text_or_empty
 
 WINDOW = 8
-MIN_TOKENS = 5
+TYPED_TOKENS = 5
 MIN_WINDOWS = 6
 # Benchmark windows (8 bytes each) up to which they are broadcast; beyond, the join shuffles.
 BROADCAST_WINDOWS = 1_000_000
@@ -40,10 +40,13 @@ BROADCAST_WINDOWS = 1_000_000
 # Placeholder marks: three code points for private use.
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
 MARKS = "\ue000-\ue002"
-# Kinds of windows: all placeholders, or those of numbers only.
-TYPED, WORDED = 0, 1
+# Kinds of windows: all placeholders, those of numbers only, or none.
+TYPED, WORDED, PLAIN = 0, 1, 2
+# Bytes of text that one task of the second step looks at.
+TASK_BYTES = 1 << 20
 # Spelled numbers and units.
 SPELLED = "two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|twenty|thirty|forty|fifty|hundred|thousand|million"
+FIRST_LETTERS = "".join(sorted({w[0] for w in SPELLED.split("|")}))
 UNITS = (
     "mm|cm|m|km|inch|inches|feet|foot|miles|mile|meters|metres|meter|metre|g|kg|mg|grams|gram|pounds|pound|tons|ton|"
     "l|ml|liters|litres|liter|litre|s|ms|sec|seconds|second|min|minutes|minute|h|hours|hour|days|day|weeks|week|"
@@ -52,7 +55,7 @@ UNITS = (
 
 
 # Capitalised words, first in their sentence or not: what stands before a copied item must not matter.
-NAMES = r"(?<![\p{L}\p{N}])(?<!\p{L}['’])\p{Lu}\p{Ll}++(?!\p{Lu})"
+NAMES = r"\p{Lu}(?<![\p{L}\p{N}]\p{Lu})(?<!\p{L}['’]\p{Lu})\p{Ll}++(?!\p{Lu})"
 # Those inside a sentence: what stands before the blank does not end one.
 INNER_NAMES = r"(?<=[\p{Ll}\p{N},;]\s)\p{Lu}\p{Ll}++(?!\p{Lu})"
 
@@ -66,8 +69,11 @@ def marked_text(text: Column, pattern: str = NAMES) -> Column:
     ).otherwise(apart)
     names = F.regexp_replace(digits, pattern, f"{NAME}$0")
     # "Two" is a number and no name.
+    # What stands before the word is looked at only where its first letter fits.
     numbers = F.regexp_replace(
-        F.lower(names), rf"(?<![\p{{L}}\p{{N}}{NUMBER}{UNIT}]){NAME}?((?:{SPELLED})(?![\p{{L}}\p{{N}}]))", f"{NUMBER}$1"
+        F.lower(names),
+        rf"{NAME}?(?=[{FIRST_LETTERS}])(?<![\p{{L}}\p{{N}}{NUMBER}{UNIT}]{NAME}?)((?:{SPELLED})(?![\p{{L}}\p{{N}}]))",
+        f"{NUMBER}$1",
     )
     units = F.when(
         numbers.contains(NUMBER),
@@ -80,58 +86,81 @@ def as_tokens(marked: Column) -> Column:
     return F.array_remove(F.split(marked, r"\s+"), "")
 
 
+def valued(token: Column, kind: int) -> Column:
+    """A marked token as windows of this kind see it, with its value."""
+    if kind == TYPED:
+        return token
+    gone = NAME + UNIT if kind == WORDED else NUMBER + NAME + UNIT
+    return F.translate(token, gone, "")
+
+
+def templated(token: Column, kind: int) -> Column:
+    """The same without its value: from a mark on, only the mark is left. Most tokens have no mark and stay as they are."""
+    marked = F.contains(token, F.lit(NUMBER)) | F.contains(token, F.lit(NAME)) | F.contains(token, F.lit(UNIT))
+    return F.when(marked, F.regexp_replace(valued(token, kind), rf"([{MARKS}]).*", "$1")).otherwise(token)
+
+
 def of_kind(marked: Column, kind: int) -> Column:
     """The marked text with the placeholders of this kind of windows."""
-    return F.regexp_replace(marked, f"[{NAME}{UNIT}]", "") if kind == WORDED else marked
+    gone = {TYPED: "", WORDED: NAME + UNIT, PLAIN: MARKS}[kind]
+    return F.regexp_replace(marked, f"[{gone}]", "") if gone else marked
 
 
 def without_values(marked: Column) -> Column:
     return F.regexp_replace(marked, rf"([{MARKS}])\S*", "$1")
 
 
-def window_hashes(tokens: Column, width: int) -> Column:
-    places = F.sequence(F.lit(1), F.size(tokens) - width + 1)
-    hashes = F.transform(places, lambda i: F.xxhash64(F.slice(tokens, i, width)))
-    return F.when(F.size(tokens) >= width, hashes).otherwise(F.array().cast("array<bigint>"))
+def window_hash(tokens: Column, place: Column, width: int) -> Column:
+    return F.xxhash64(F.slice(tokens, place, width))
 
 
 def all_hashes(tokens: Column, widths: list[int]) -> Column:
-    hashes = [window_hashes(tokens, w) for w in widths]
-    return hashes[0] if len(hashes) == 1 else F.concat(*hashes)
+    """Hashes of the windows of every width."""
 
+    def of_width(width: int) -> Column:
+        places = F.sequence(F.lit(1), F.size(tokens) - width + 1)
+        hashes = F.transform(places, lambda i: window_hash(tokens, i, width))
+        return F.when(F.size(tokens) >= width, hashes).otherwise(F.array().cast("array<bigint>"))
 
-def window_entry(width: int) -> Callable[[Column], Column]:
-    """place, hash and slots of the window that begins at a place; only placeholders have slots."""
+    return F.concat(*map(of_width, widths))
 
-    def entry(place: Column) -> Column:
-        slots = F.filter(F.slice("values", place, width), lambda v: v.rlike(f"^[{MARKS}]"))
-        return F.struct(
-            place.alias("place"), F.xxhash64(F.slice("tokens", place, width)).alias("hash"), slots.alias("slots")
-        )
 
-    return entry
+def kinds_of(width: int) -> tuple[int, ...]:
+    return (TYPED, WORDED) if width >= TYPED_TOKENS else (PLAIN,)
 
 
 def windows(keyed: DataFrame, keys: list[str], widths: list[int]) -> DataFrame:
-    """keys, kind, place, hash and the marked values (``slots``) of every window of the rows' ``marked`` text."""
+    """keys, kind, width, place and hash of every window of the rows' ``marked`` text."""
+    used = [kind for kind in (TYPED, WORDED, PLAIN) if any(kind in kinds_of(w) for w in widths)]
+    # Taken apart twice, so that tokens and templates are columns and not made anew for every window.
+    tokens = keyed.select(*keys, F.explode(F.array(as_tokens(F.col("marked")))).alias("values"))
+    entry = lambda kind: F.struct(F.lit(kind).alias("kind"), F.transform("values", lambda t: templated(t, kind)).alias("tokens"))
+    tokens = tokens.select(*keys, F.inline(F.array(*[entry(kind) for kind in used])))
     parts = []
-    for kind in (TYPED, WORDED):
-        marked = of_kind(F.col("marked"), kind)
-        tokens = keyed.select(
-            *keys, F.lit(kind).alias("kind"), as_tokens(without_values(marked)).alias("tokens"), as_tokens(marked).alias("values")
+    for width in widths:
+        places = F.sequence(F.lit(1), F.size("tokens") - width + 1)
+        window = lambda i: F.struct(  # noqa: B023 (used here only)
+            F.lit(width).alias("width"), i.alias("place"), window_hash(F.col("tokens"), i, width).alias("hash")
         )
-        for width in widths:
-            places = F.sequence(F.lit(1), F.size("tokens") - width + 1)
-            enough = tokens.filter(F.size("tokens") >= width)
-            parts.append(enough.select(*keys, "kind", F.inline(F.transform(places, window_entry(width)))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        fits = F.col("kind").isin(*kinds_of(width)) & (F.size("tokens") >= width)
+        parts.append(F.when(fits, F.transform(places, window)).otherwise(F.array().cast("array<struct<width:int,place:int,hash:bigint>>")))
+    return tokens.select(*keys, "kind", F.inline(F.concat(*parts)))
+
+
+def marked_slots(values: Column, place: Column, width: Column) -> Column:
+    """The marked values of a window; only placeholders have slots."""
+    return F.filter(F.slice(values, place, width), lambda v: v.rlike(f"^[{MARKS}]"))
+
+
+def with_values(keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, kind and the marked values of the rows' ``marked`` text."""
+    tokens = keyed.select(*keys, F.explode(F.array(as_tokens(F.col("marked")))).alias("all"))
+    entry = lambda k: F.struct(F.lit(k).alias("kind"), F.transform("all", lambda t: valued(t, k)).alias("values"))
+    return tokens.select(*keys, F.inline(F.array(*map(entry, (TYPED, WORDED, PLAIN)))))
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[int]]:
-    """Windows of all items, staged (item, n_windows, kind, place, hash, slots, bare), and the widths that occur."""
+    """Windows of all items, staged (item, n_windows, kind, width, place, hash, slots, bare), and the widths that occur."""
     text = text_or_empty(text_col)
     inner = F.transform(as_tokens(marked_text(text, INNER_NAMES)), lambda v, k: F.when(v.rlike(f"^[{MARKS}]"), k + 1))
     items = (
@@ -139,22 +168,25 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[Data
         .groupBy("marked")
         .agg(F.min("item").alias("item"), F.min("inner").alias("inner"))
         .withColumn("n_tokens", F.size(as_tokens(F.col("marked"))))
-        .filter(F.col("n_tokens") >= MIN_TOKENS)
+        .filter(F.col("n_tokens") > 0)
         .withColumn("width", F.least(F.lit(WINDOW), F.col("n_tokens")))
         .withColumn("n_windows", F.col("n_tokens") - F.col("width") + 1)
     )
     items = staged(items, "benchmark-items")
     widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most WINDOW values
-    parts = [windows(items.filter(F.col("width") == w), ["item", "n_windows", "width", "inner"], [w]) for w in widths]
+    keys = ["item", "marked", "n_windows", "inner"]
+    parts = [windows(items.filter(F.col("width") == w), keys, [w]) for w in widths]
     if not parts:
         return items, []
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
+    valued = with_values(items, ["marked"])
+    out = out.join(valued, ["marked", "kind"]).withColumn("slots", marked_slots(F.col("values"), F.col("place"), F.col("width")))
     # Windows of words alone: no number, unit or name inside a sentence.
     in_window = lambda k: (k >= F.col("place")) & (k < F.col("place") + F.col("width"))
-    bare = (F.col("kind") == WORDED) & ~F.exists("inner", in_window)
-    return staged(out.withColumn("bare", bare).drop("inner"), "benchmark-windows"), widths
+    bare = (F.col("kind") == PLAIN) | ((F.col("kind") == WORDED) & ~F.exists("inner", in_window))
+    return staged(out.withColumn("bare", bare).drop("inner", "marked", "values"), "benchmark-windows"), widths
 
 
 def contaminated(
@@ -174,30 +206,36 @@ def contaminated(
         counts = [F.lit(0).cast("long").alias(c) for c in ("matched", "n_windows", "changed")]
         return empty.select(F.col("id").alias(id_col), "mark", item_id_col, *counts)
 
-    # Step 1: which documents share any window. Only ids and hashes take part.
+    # Step 1: which documents share a window. Only ids and hashes take part.
+    keys = ["id", "mark"]
     hashes = found.select("hash").distinct()
     if found.count() <= BROADCAST_WINDOWS:
         hashes = F.broadcast(hashes)
-    templates = [as_tokens(without_values(of_kind(F.col("marked"), kind))) for kind in (TYPED, WORDED)]
+    used = sorted({kind for width in widths for kind in kinds_of(width)})
+    templates = [as_tokens(without_values(of_kind(F.col("marked"), kind))) for kind in used]
     met = (
-        texts.select("id", "mark", marked_text(F.col("text")).alias("marked"))
-        .select("id", "mark", F.explode(F.array(*templates)).alias("tokens"))
-        .select("id", "mark", F.explode(all_hashes(F.col("tokens"), widths)).alias("hash"))
+        texts.select(*keys, marked_text(F.col("text")).alias("marked"))
+        .select(*keys, F.explode(F.array(*templates)).alias("tokens"))
+        .select(*keys, F.explode(all_hashes(F.col("tokens"), widths)).alias("hash"))
         .join(hashes, "hash", "left_semi")
-        .select("id", "mark")
+        .select(*keys)
         .distinct()
     )
-    met = staged(met, "window-hits").select(F.col("id").alias("met_id"), F.col("mark").alias("met_mark"))
-
-    # Step 2: places and values, for those documents alone.
-    same = F.col("id").eqNullSafe(F.col("met_id")) & (F.col("mark") == F.col("met_mark"))
-    suspects = texts.join(met, same, "left_semi").dropDuplicates(["id", "mark"])
-    suspects = suspects.select("id", "mark", marked_text(F.col("text")).alias("marked"))
-    theirs = windows(suspects, ["id", "mark"], widths).select(
-        "id", "mark", "kind", F.col("place").alias("doc_place"), "hash", F.col("slots").alias("doc_slots")
-    )
+    met = staged(met, "window-hits")
+
+    # Step 2: places and values, for those documents alone, spread by the size of their texts.
+    held = staged(matching(texts, met, keys).groupBy(*keys).agg(F.first("text").alias("text")), "window-texts")
+    size = held.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES + 1)
+    held = staged(held.repartition(tasks, *keys).select(*keys, marked_text(F.col("text")).alias("marked")), "window-marked")
     # Windows that no item has are gone before slots are compared.
-    hits = theirs.join(found, ["kind", "hash"]).withColumn("shift", F.col("doc_place") - F.col("place"))
+    spread = held.repartition(tasks, *keys)
+    theirs = windows(spread, keys, widths).withColumnRenamed("place", "doc_place")
+    hits = theirs.join(found, ["kind", "width", "hash"]).withColumn("shift", F.col("doc_place") - F.col("place"))
+    valued = with_values(spread, keys).select(F.col("id").alias("of_id"), F.col("mark").alias("of_mark"), F.col("kind").alias("of_kind"), "values")
+    own = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("mark") == F.col("of_mark")) & (F.col("kind") == F.col("of_kind"))
+    hits = hits.join(valued, own).drop("of_id", "of_mark", "of_kind")
+    hits = hits.withColumn("doc_slots", marked_slots(F.col("values"), F.col("doc_place"), F.col("width"))).drop("values")
     pairs = F.flatten(F.collect_set(F.arrays_zip(F.col("slots"), F.col("doc_slots"))))
     aligned = hits.groupBy("id", "mark", "item", "n_windows", "kind", "shift").agg(
         F.collect_set("place").alias("places"),
@@ -233,11 +271,5 @@ def contaminated(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of clean documents, with the columns of the input."""
     hits = contaminated(docs, benchmark, id_col, text_col, "item_id", "text")
-    gone = staged(hits.select(F.col(id_col).alias("gone_id"), "mark").distinct(), "contaminated")
-    gone = gone.select("gone_id", F.col("mark").alias("gone_mark"))
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("mark")
-    )
-    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark"))
-    clean = rows.join(gone, same, "left_anti")
-    return clean.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    gone = staged(hits.select(F.col(id_col).alias("id"), "mark").distinct(), "contaminated")
+    return settle(docs, id_col, text_col, gone)

@@ -223,8 +223,8 @@ def test_leaks_with_changed_values(spark):
         (12, f"{FILLER}. {renamed}"),
     ]
     _, _, found = leaks(spark, rows)
-    assert set(found) >= {(1, 1), (2, 1), (7, 2), (8, 5), (11, 2)}
-    assert not {i for i, _ in found} & {3, 4, 5, 6, 9, 10}
+    assert set(found) >= {(1, 1), (2, 1), (7, 2), (8, 5), (9, 4), (11, 2)}
+    assert not {i for i, _ in found} & {3, 4, 5, 6, 10}
     assert found[1, 1][2] == 0 and found[2, 1][2] == 3
     assert all(item != 6 for _, item in found)  # the same item again is searched as its first
 
@@ -250,6 +250,43 @@ def test_leaks_wherever_the_item_stands(spark):
     assert found[5, 2][2] == 1
 
 
+def test_short_items_match_word_by_word(spark):
+    items = [(1, "capital of France"), (2, "Yes"), (3, "in 1815"), (4, "3 kg of iron"), (5, "one two"), (6, "!!!")]
+    rows = [
+        (1, f"{FILLER}. Name the Capital of France, if you can"),
+        (2, f"{FILLER} the capital of Spain is far away"),
+        (3, f"{FILLER}: YES! he said in 1815, then he left"),
+        (4, "yesterday in 1816 he left with 3 kg of tin"),
+        (5, "3 kg of iron"),
+        (6, "he bought 3kg of iron. One, two."),
+        (7, "capital capital of france france"),
+        (8, "capital of of France"),
+    ]
+    _, _, found = leaks(spark, rows, items)
+    assert set(found) == {(1, 1), (3, 2), (3, 3), (5, 4), (6, 4), (6, 5), (7, 1)}
+
+
+def test_windows_of_placeholders_alone(spark):
+    """A row of numbers is found where its values stand for each other one to one."""
+    items = [(1, "12 14 16 18 20 22 24 26"), (2, ITEM)]
+    rows = [(1, "row 3 5 7 9 11 13 15 17 end"), (2, "1 1 2 2 3 3 4 4"), (3, ITEM), (4, FILLER)]
+    _, _, found = leaks(spark, rows, items)
+    assert set(found) == {(1, 1), (3, 2)}
+
+
+def test_repeats_and_similar_texts_under_one_id_go(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, text), (1, text), (1, text + " more"), (2, "Other"), (2, "other"), (3, None), (3, None), (4, "alone"), (4, "two alone")]
+    docs = frame(spark, rows)
+    out = exact_dedup.drop_exact_copies(docs)
+    kept = sorted((r.doc_id, str(r.text)) for r in out.collect())
+    assert out.columns == docs.columns and kept[:3] == [(1, text), (1, text + " more"), (2, kept[2][1])]
+    assert kept[3:] == [(3, "None"), (4, "alone"), (4, "two alone")]
+    left = [(r.doc_id, r.text) for r in jaccard_join.keep_one_per_class(docs).collect()]
+    assert len([1 for i, _ in left if i == 1]) == 1 and len([1 for i, _ in left if i == 2]) == 1
+    assert sorted(str(x) for x in left if x[0] > 2) == ["(3, None)", "(3, None)", "(4, 'alone')", "(4, 'two alone')"]
+
+
 def test_clean_rows_stay_whole(spark):
     rows = [(1, ITEM), (2, FILLER), (2, FILLER), (None, FILLER), (None, ITEM), (3, None)]
     docs, bench, _ = leaks(spark, rows)
