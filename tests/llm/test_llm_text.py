@@ -147,6 +147,24 @@ def test_model_is_a_distribution(spark, monkeypatch):
         assert math.isclose(r.score, by_hand(texts[r.doc_id]), rel_tol=1e-9)
 
 
+def test_transitions_count_every_word(spark, monkeypatch):
+    """Words beyond the hot ones take part in the transitions, also side by side and in rows that repeat."""
+    monkeypatch.setattr(class_lm, "HOT", 3)
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(40)], k=rng.randrange(25)))) for i in range(60)]
+    rows += [rows[0], rows[1], (None, rows[2][1]), (7, None)]
+    model = class_lm.train(spark.createDataFrame(rows, DOCS).repartition(3))
+    cls = {r.word.encode(): r["class"] for r in model.vocabulary.collect()}
+    assert len(cls) == 40 and len(model.hot) == 3
+    table = np.zeros((class_lm.SIDES, class_lm.SIDES))
+    for _, text in rows:
+        path = [class_lm.END_CLASS, *(cls[w] for w in class_lm.words(text)), class_lm.END_CLASS]
+        np.add.at(table, (path[:-1], path[1:]), 1)
+    size = table.sum(axis=0)
+    share = (size + 1) / (size.sum() + class_lm.SIDES)
+    np.testing.assert_allclose(10**model.transition, (table + share) / (table.sum(axis=1, keepdims=True) + 1))
+
+
 def test_model_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], DOCS)
     model = class_lm.train(docs.filter("false"))
