@@ -14,8 +14,10 @@ nearest directory above.
 Candidates: by the Cauchy-Schwarz inequality a sentence can only reach the
 threshold if it holds one of the template's heaviest words, those without which
 the shared weight stays too small. These anchors decide, without loss, which
-files are split into sentences. Templates and anchors are fixed texts of this
-module; their number does not grow with the data.
+files are split into sentences. By the same inequality a sentence is out, before any
+shuffle, if its known words hold too little of its own weight or of any template's.
+Templates and anchors are fixed texts of this module; their number does not grow with
+the data.
 
 Defined results: null texts and paths count as empty; without any licence
 ``license`` is null and ``origin`` is none; equal cosines go to the first
@@ -32,7 +34,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import matching, staged, text_or_empty
+from ledgerlake.llm.common import flag_possible, staged, text_or_empty
 
 THRESHOLD = 0.7
 FILE_SHARE = 0.8
@@ -181,7 +183,8 @@ def known_words(files: DataFrame) -> DataFrame:
     """Per file its number of words and which template words it has; staged, the only pass over all texts."""
     known = F.array(*[F.lit(w) for w in vocabulary()])
     words = files.select("file", F.explode(F.array(words_of(F.col("text")))).alias("words"))
-    return staged(words.select("file", F.array_intersect("words", known).alias("known")), "licence-known")
+    found = words.select("file", F.size("words").alias("file_words"), F.array_intersect("words", known).alias("known"))
+    return staged(found, "licence-known")
 
 
 def frequencies(found: DataFrame) -> tuple[int, dict[str, int]]:
@@ -206,6 +209,34 @@ def anchors(weights: list[dict[str, float]]) -> list[str]:
     return sorted(found)
 
 
+def possible(words: Column, idf: dict[str, float], unseen: float, rows: list[tuple[str, str, int, float]]) -> Column:
+    """False only for sentences that cannot reach the threshold with any template.
+
+    The cosine is at most the root of the part of the sentence's squared weight that its known words hold, times the
+    root of a template's squared shares of these words; unknown words count as if they all differed.
+    """
+    most: dict[str, float] = {}  # the largest squared share of a word in any template
+    for word, _, _, share in rows:
+        most[word] = max(most.get(word, 0.0), share * share)
+    names = sorted(most)
+    table = lambda values: F.create_map(*[F.lit(x) for w in names for x in (w, float(values[w]))])
+    shares, squares = table(most), table({w: idf[w] ** 2 for w in names})
+    least = (THRESHOLD - 1e-6) ** 2
+    known = F.array_intersect(words, F.array(*[F.lit(w) for w in names]))
+    zero = F.lit(0.0)
+    shared = F.aggregate(known, zero, lambda sum_, w: sum_ + F.element_at(shares, w))
+
+    def weigh(sums: Column, w: Column) -> Column:
+        n = F.size(F.filter(words, lambda x: x == w)).cast("double")
+        return F.struct((sums["weight"] + n * n * F.element_at(squares, w)).alias("weight"), (sums["n"] + n).alias("n"))
+
+    def within(sums: Column) -> Column:
+        others = (F.size(words) - sums["n"]) * F.lit(unseen**2)
+        return sums["weight"] * F.least(F.lit(1.0), shared) >= F.lit(least) * (sums["weight"] + others)
+
+    return (shared >= least) & F.aggregate(known, F.struct(zero.alias("weight"), zero.alias("n")), weigh, within)
+
+
 def own_licenses(files: DataFrame) -> DataFrame:
     """(file, license, similarity, share): files with a sentence close to a template.
 
@@ -228,18 +259,20 @@ def own_licenses(files: DataFrame) -> DataFrame:
 
     keys = found.filter(F.arrays_overlap("known", gate)).select("file.path", "file.mark").distinct()
     flat = files.select("file.path", "file.mark", "text")
-    gated = matching(flat, staged(keys, "licence-gated"), ["path", "mark"])
-    gated = gated.select(F.struct("path", "mark").alias("file"), "text", F.size(words_of(F.col("text"))).alias("file_words"))
+    # A file that the filter lets through without an anchor has no sentence with one either.
+    gated = flag_possible(flat, staged(keys, "licence-gated"), ["path", "mark"], "_maybe").filter("_maybe")
+    gated = gated.select(F.struct("path", "mark").alias("file"), "text", F.explode(F.array(F.split("text", _JOINED))).alias("over"))
     # Lines as they stand, and sentences over lines; the share of a file is taken over the latter alone.
-    joined = F.transform(F.split("text", _JOINED), lambda x: F.struct(F.lit(True).alias("joined"), x.alias("sentence")))
+    joined = F.transform("over", lambda x: F.struct(F.lit(True).alias("joined"), x.alias("sentence")))
     single = F.transform(
-        F.array_except(F.split("text", _SENTENCE), F.split("text", _JOINED)),
+        F.array_except(F.split("text", _SENTENCE), "over"),
         lambda x: F.struct(F.lit(False).alias("joined"), x.alias("sentence")),
     )
-    sentences = gated.select("file", "file_words", F.posexplode(F.concat(joined, single)).alias("place", "s"))
-    sentences = sentences.select("file", "file_words", "place", "s.joined", words_of(F.col("s.sentence")).alias("words"))
-    sentences = sentences.filter(F.arrays_overlap("words", gate))
-    unit = ["file", "file_words", "place", "joined", "n_words"]
+    sentences = gated.select("file", F.posexplode(F.concat(joined, single)).alias("place", "s"))
+    sentences = sentences.select("file", "place", "s.joined", F.explode(F.array(words_of(F.col("s.sentence")))).alias("words"))
+    near_enough = possible(F.col("words"), idf, unseen, rows)
+    sentences = staged(sentences.filter(F.arrays_overlap("words", gate) & near_enough), "licence-possible")
+    unit = ["file", "place", "joined", "n_words"]
     counted_words = (
         sentences.select(*unit[:-1], F.size("words").alias("n_words"), F.explode("words").alias("word"))
         .groupBy(*unit, "word")
@@ -265,15 +298,16 @@ def own_licenses(files: DataFrame) -> DataFrame:
     order = sorted(SENTENCES, reverse=True)  # of equal similarities the alphabetically first is the greatest
     rank = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("license"))
     best = F.max(F.struct("similarity", rank.alias("rank"), "license")).alias("best")
-    by_file = near.groupBy("file", "file_words").agg(best)
-    explained = near.filter("joined").groupBy("file", "file_words", "license").agg(
+    by_file = near.groupBy("file").agg(best)
+    explained = near.filter("joined").groupBy("file", "license").agg(
         F.sum(F.col("similarity") * F.col("n_words")).alias("explained"), F.max("similarity").alias("similarity")
     )
     most = F.max(F.struct("explained", rank.alias("rank"), "license", "similarity")).alias("most")
     covered = near.filter("joined").groupBy("file", "place").agg(F.max("n_words").alias("n_words"))
     covered = covered.groupBy("file").agg(F.sum("n_words").alias("matched"))
     whole = explained.groupBy("file").agg(most).join(covered, "file")
-    judged = by_file.join(whole, "file", "left").withColumn("share", F.coalesce(F.col("matched") / F.col("file_words"), F.lit(0.0)))
+    judged = staged(by_file.join(whole, "file", "left"), "licence-judged").join(found.select("file", "file_words"), "file")
+    judged = judged.withColumn("share", F.coalesce(F.col("matched") / F.col("file_words"), F.lit(0.0)))
     is_licence = F.col("share") >= FILE_SHARE
     return judged.select(
         "file",

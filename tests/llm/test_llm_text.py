@@ -417,3 +417,36 @@ def test_licenses_match_brute_force_cosine(spark, sf_dir):
             want[i] = best[1]
     got = {r.doc_id: r.license for r in queries.op8_licenses(spark, sf_dir).filter("origin = 'own'").collect()}
     assert got == want
+
+
+def test_only_sentences_near_a_template_are_shuffled(spark, monkeypatch):
+    """The bound lets every sentence through that reaches the threshold, and keeps prose with licence words out."""
+    rng = random.Random(4)
+    idf = {w: 1 + rng.random() * 6 for w in licenses.vocabulary()}
+    unseen = 9.0
+    vector = lambda words: {w: n * idf.get(w, unseen) for w, n in Counter(words).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    templates = [(name, vector(words)) for name, words in licenses.template_sentences()]
+    rows = [(w, name, k, x / norm(t)) for k, (name, t) in enumerate(templates) for w, x in t.items()]
+    sentences = []
+    for _, words in licenses.template_sentences():
+        for _ in range(12):
+            kept = [w for w in words if rng.random() < 0.8] or words
+            sentences.append(kept + rng.choices([*idf, "harbour", "boats", "x1", "x2"], k=rng.randrange(6)))
+    sentences += [rng.choices([*idf], k=8) for _ in range(100)] + [[], ["harbour"] * 5]
+    frame = spark.createDataFrame([(k, s) for k, s in enumerate(sentences)], "k int, words array<string>")
+    passed = {r.k for r in frame.filter(licenses.possible(F.col("words"), idf, unseen, rows)).collect()}
+    for k, s in enumerate(sentences):
+        v = vector(s)
+        cosines = [sum(x * t.get(w, 0.0) for w, x in v.items()) / norm(v) / norm(t) for _, t in templates] if s else [0.0]
+        assert k in passed or round(max(cosines), 6) < licenses.THRESHOLD
+    assert len(sentences) - 1 not in passed and len(sentences) - 2 not in passed
+
+    tables = {}
+    kept_staged = licenses.staged
+    monkeypatch.setattr(licenses, "staged", lambda df, name: tables.setdefault(name, kept_staged(df, name)))
+    prose = "the author of this file may use the license free of charge in any copy that rain and boats left"
+    rows = [(f"p/{k}", f"{FILLER_WORDS[k % 7]} {prose} {k}") for k in range(50)] + [("q/x", "Released under the MIT License.")]
+    got = licenses.scan(spark.createDataFrame(rows, "path string, text string"), "path", "text").filter("license is not null").collect()
+    assert [(r.path, r.license) for r in got] == [("q/x", "MIT")]
+    assert {r.path for r in tables["licence-words"].select("file.path").collect()} == {"q/x"}
