@@ -114,15 +114,23 @@ def window_hash(tokens: Column, place: Column, width: int) -> Column:
     return F.xxhash64(F.slice(tokens, place, width))
 
 
-def all_hashes(tokens: Column, widths: list[int]) -> Column:
-    """Hashes of the windows of every width."""
+def window_hashes(rows: DataFrame, keys: list[str], widths: list[int]) -> DataFrame:
+    """keys and hash of the windows of every width of the rows' ``tokens``, as ``window_hash`` has them.
+
+    Windows are rows and no elements of an array, so that Spark compiles the step.
+    """
+    shortest = min(widths)
+    places = F.sequence(F.lit(0), F.size("tokens") - shortest)
+    at = rows.filter(F.size("tokens") >= shortest).select(*keys, "tokens", F.explode(places).alias("place"))
 
     def of_width(width: int) -> Column:
-        places = F.sequence(F.lit(1), F.size(tokens) - width + 1)
-        hashes = F.transform(places, lambda i: window_hash(tokens, i, width))
-        return F.when(F.size(tokens) >= width, hashes).otherwise(F.array().cast("array<bigint>"))
+        hashed = F.xxhash64(*[F.get("tokens", F.col("place") + k) for k in range(width)])
+        return F.when(F.col("place") + width <= F.size("tokens"), hashed)
 
-    return F.concat(*map(of_width, widths))
+    hashes = [of_width(width) for width in widths]
+    if len(hashes) == 1:
+        return at.select(*keys, hashes[0].alias("hash"))
+    return at.select(*keys, F.explode(F.array(*hashes)).alias("hash")).filter("hash is not null")
 
 
 def kinds_of(width: int) -> tuple[int, ...]:
@@ -213,14 +221,8 @@ def contaminated(
         hashes = F.broadcast(hashes)
     used = sorted({kind for width in widths for kind in kinds_of(width)})
     templates = [as_tokens(without_values(of_kind(F.col("marked"), kind))) for kind in used]
-    met = (
-        texts.select(*keys, marked_text(F.col("text")).alias("marked"))
-        .select(*keys, F.explode(F.array(*templates)).alias("tokens"))
-        .select(*keys, F.explode(all_hashes(F.col("tokens"), widths)).alias("hash"))
-        .join(hashes, "hash", "left_semi")
-        .select(*keys)
-        .distinct()
-    )
+    tokens = texts.select(*keys, marked_text(F.col("text")).alias("marked")).select(*keys, F.explode(F.array(*templates)).alias("tokens"))
+    met = window_hashes(tokens, keys, widths).join(hashes, "hash", "left_semi").select(*keys).distinct()
     met = staged(met, "window-hits")
 
     # Step 2: places and values, for those documents alone, spread by the size of their texts.

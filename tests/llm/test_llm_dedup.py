@@ -333,3 +333,17 @@ def test_digest_of_query(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     assert len(rows) == len(texts)
     assert all(r.text_sha256 == hashlib.sha256(lower(texts[r.doc_id]).encode()).hexdigest() for r in rows)
+
+
+def test_window_rows_hash_like_slices(spark):
+    """Windows made as rows have the hashes of the items' windows, for every width and up to the last token."""
+    from pyspark.sql import functions as F
+
+    words = [[], ["a"], list("abc"), [f"w{k % 5}" for k in range(20)], ["\ue000", "of", "\ue001"]]
+    rows = spark.createDataFrame(list(enumerate(words)), "k int, tokens array<string>")
+    for widths in ([8], [3], [1, 2, 3, 8]):
+        got = sorted(tuple(r) for r in decontaminate.window_hashes(rows, ["k"], widths).collect())
+        cut = [(k, t[i : i + w]) for k, t in enumerate(words) for w in widths for i in range(len(t) - w + 1)]
+        frame = spark.createDataFrame(cut, "k int, tokens array<string>")
+        want = frame.select("k", decontaminate.window_hash(F.col("tokens"), F.lit(1), F.size("tokens")))
+        assert got == sorted(tuple(r) for r in want.collect())
