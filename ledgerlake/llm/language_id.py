@@ -137,15 +137,17 @@ class Parser:
         for lang in self.langs:
             text = self.symbols_of_codes(np.concatenate(taken[lang]))[:SAMPLE_SYMBOLS]
             step = automaton(text.tolist())
-            known = step > 0
-            fresh = np.broadcast_to(step[0], step.shape)
-            target = np.where(known, step, fresh)
+            # The table is made in the automaton's own memory: a worker holds one of them at a time beside those that are done.
+            missing = step == 0
+            fresh = step[0].copy()
+            np.copyto(step, fresh, where=missing)
+            step *= SYMBOLS << 2
             # A missing transition ends the phrase; a symbol unknown to the language is one of its own.
-            phrases = np.where(known, 0, 1 + (fresh == 0)).astype(np.int32)
-            phrases[0] = step[0] == 0
-            target[:, PAD], phrases[:, PAD] = 0, 1
-            phrases[0, PAD] = 0
-            self.tables.append((((target * SYMBOLS) << 2) | phrases).astype(np.int32).ravel())
+            np.add(step, (1 + (fresh == 0)).astype(np.int32), out=step, where=missing)
+            step[0] = fresh * (SYMBOLS << 2) + (fresh == 0)
+            step[:, PAD] = 1
+            step[0, PAD] = 0
+            self.tables.append(step.ravel())
             self.bits.append(np.log2(max(2, len(text))))
 
     def symbols_of_codes(self, codes: np.ndarray) -> np.ndarray:
@@ -229,7 +231,7 @@ def identify(
             )
 
     schema = narrow.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return in_tasks(narrow, run, schema)
+    return in_tasks(narrow, run, schema, holds=True)
 
 
 def keep_identified(docs: DataFrame, labelled: list[tuple[str, str]], text_col: str = "text") -> DataFrame:

@@ -115,7 +115,8 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), *columns], names)
 
     names = ["id", "start", "length", "ids_crc32", "doc_tokens"]
-    return in_tasks(narrow, run, f"id {id_kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    schema = f"id {id_kind}, start long, length long, ids_crc32 long, doc_tokens long"
+    return in_tasks(narrow, run, schema, holds=True)
 
 
 # --- the plan, on the histogram ---

@@ -54,6 +54,37 @@ def test_phrases_match_brute_force():
             assert math.isclose(row[k], phrases * math.log2(len(source)) / len(text))
 
 
+def test_language_tables_are_built_in_place():
+    """Beside the tables that are done stands one automaton, and no copies of it."""
+    import tracemalloc
+
+    rng = random.Random(5)
+    labelled = [(lang, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=20_000))) for lang in ("aa", "bb")]
+    tracemalloc.start()
+    parser = language_id.Parser(labelled)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = (2 * 20_000 + 2) * language_id.SYMBOLS * 4  # what an automaton asks for, filled or not
+    assert len(parser.tables) == 2 and peak < 3 * whole
+
+
+def test_workers_let_the_last_model_go(spark):
+    from ledgerlake.llm import common
+
+    narrow = spark.range(4).repartition(1)
+
+    def keep(batches):
+        for part in batches:
+            yield common.held("table", lambda: part)
+
+    def count(batches):
+        for part in batches:
+            yield part.slice(0, len(common._HELD))
+
+    assert common.in_tasks(narrow, keep, "id long", holds=True).count() == 4
+    assert common.in_tasks(narrow, count, "id long").count() == 0
+
+
 def test_language_edge_cases(spark):
     rows = [(1, "the dog and the cat"), (2, None), (3, ""), (4, "123 !?"), (5, "der hund und die katze"), (6, "the " * 40_000), (1, "the dog and the cat")]
     docs = clashing(spark.createDataFrame(rows, DOCS))
