@@ -54,6 +54,7 @@ TARGET = 0.999
 SKETCH = 0.6
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1_000_000
+STRIP = 128  # rows of a matrix of pairs that wider numbers than booleans are made for at a time
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -183,30 +184,42 @@ def leaves(sets: DataFrame, runs: int) -> DataFrame:
 # --- comparing ---
 
 
-def overlaps(sets: list[np.ndarray], rows: range) -> np.ndarray:
-    """Sizes of the intersections of the sets in ``rows`` with all sets, by an inverted list of shingles."""
+def overlaps(sets: list[np.ndarray], strip: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """Sizes of the intersections with all sets, by an inverted list of shingles: ``strip`` sets at a time, with their places."""
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(flat, kind="stable")
-    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
-    posting = owner[order]
-    first = np.cumsum(count) - count
+    flat = flat[order]
+    fresh = np.ones(len(flat), dtype=bool)
+    np.not_equal(flat[1:], flat[:-1], out=fresh[1:])
+    del flat
+    number = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
+    column = np.empty_like(number)
+    column[order] = number
+    posting = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[order]
+    count = np.bincount(number).astype(np.int32)
+    del order, fresh, number
+    first = np.cumsum(count, dtype=np.int32) - count
     begin = np.cumsum(sizes) - sizes
-    out = np.zeros((len(rows), len(sets)), dtype=np.int64)
-    for k, row in enumerate(rows):
-        own = column[begin[row] : begin[row] + sizes[row]]
-        length = count[own]
-        jump = np.repeat(first[own] - np.cumsum(length) + length, length)
-        out[k] = np.bincount(posting[jump + np.arange(len(jump))], minlength=len(sets))
-    return out
+    for start in range(0, len(sets), strip):
+        here = slice(start, min(start + strip, len(sets)))
+        out = np.empty((here.stop - start, len(sets)), dtype=np.int64)
+        for k, row in enumerate(range(start, here.stop)):
+            own = column[begin[row] : begin[row] + sizes[row]]
+            length = count[own]
+            jump = np.repeat(first[own] - np.cumsum(length, dtype=np.int32) + length, length)
+            jump += np.arange(len(jump), dtype=np.int32)
+            out[k] = np.bincount(posting[jump], minlength=len(sets))
+        yield here, out
 
 
 def exactly_similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     """Which pairs of sets have a Jaccard similarity at the threshold or above, as a boolean matrix."""
-    shared = overlaps(sets, range(len(sets)))
     size = np.array([len(s) for s in sets])
-    return shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-9
+    similar = np.empty((len(sets), len(sets)), dtype=bool)
+    for here, shared in overlaps(sets, STRIP):
+        similar[here] = shared >= threshold * (size[here, None] + size[None, :] - shared) - 1e-9
+    return similar
 
 
 def maybe_similar(sigs: np.ndarray, share: float) -> np.ndarray:
@@ -217,6 +230,10 @@ def maybe_similar(sigs: np.ndarray, share: float) -> np.ndarray:
     return agree >= share * sigs.shape[1]
 
 
+def in_strips(pairs: np.ndarray) -> Iterator[np.ndarray]:
+    return (pairs[start : start + STRIP] for start in range(0, len(pairs), STRIP))
+
+
 def between_blocks(similar: np.ndarray, side: np.ndarray, one_block: bool) -> np.ndarray:
     """No pair of a row with itself; of two blocks, one of which may be empty, only the pairs between them."""
     np.fill_diagonal(similar, False)
@@ -227,7 +244,8 @@ def spanning(similar: np.ndarray) -> list[tuple[int, int]]:
     """Edges from every member of a component to its first member."""
     label = np.arange(len(similar))
     while True:
-        least = np.minimum(label, np.where(similar, label[None, :], len(label)).min(axis=1))
+        near = [np.where(part, label, len(label)).min(axis=1) for part in in_strips(similar)]
+        least = np.minimum(label, np.concatenate(near))
         if (least == label).all():
             return [(k, int(at)) for k, at in enumerate(label) if at != k]
         label = least
@@ -243,7 +261,8 @@ def compare(pieces: DataFrame, similar_pairs: Callable[[list[dict]], np.ndarray]
         rows = list({(r["hi"], r["lo"]): r for r in rows}.values())  # texts that repeat come more than once
         one_block = rows[0]["i"] == rows[0]["j"]
         similar = between_blocks(similar_pairs(rows), np.array([r["side"] for r in rows]), one_block)
-        links, linked = similar.sum(axis=1), similar @ np.array([r["copies"] for r in rows])
+        copies = np.array([r["copies"] for r in rows])
+        links, linked = similar.sum(axis=1), np.concatenate([part @ copies for part in in_strips(similar)])
         key = [(r["hi"], r["lo"]) for r in rows]
         out = [(*key[k], None, None, int(links[k]), int(linked[k])) for k in links.nonzero()[0]]
         return out + [(*key[a], *key[b], 0, 0) for a, b in spanning(similar)]

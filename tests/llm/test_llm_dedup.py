@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,6 +138,25 @@ def test_classes_and_links_match_brute_force(spark, monkeypatch, blocks):
     assert got == brute_classes(rows)
 
 
+def test_pairs_of_a_block_are_compared_in_strips():
+    """Of all pairs of a block's sets only booleans stand in memory; results are those of plain Python."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    common_part = rng.integers(0, 2**63, 50, dtype=np.uint64)
+    sets = [np.unique(np.append(common_part, rng.integers(0, 2**63, k % 25, dtype=np.uint64))) for k in range(1200)]
+    tracemalloc.start()
+    similar = jaccard_join.exactly_similar(sets, 0.8)
+    edges = jaccard_join.spanning(similar)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(sets) ** 2  # less than one matrix of numbers
+    plain = [set(s.tolist()) for s in sets[:60]]
+    want = [[len(a & b) >= 0.8 * len(a | b) for b in plain] for a in plain]
+    assert similar[:60, :60].tolist() == want and (similar == similar.T).all()
+    assert len(edges) == sum(similar.sum(axis=1) > 1) - 1  # those at 0.8 to some other are one component
+
+
 def test_large_group_of_near_copies(spark):
     rng = random.Random(1)
     base = [f"w{k}" for k in range(120)]

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +86,29 @@ def test_workers_let_the_last_model_go(spark):
     assert common.in_tasks(narrow, count, "id long").count() == 0
 
 
+def test_workers_get_small_batches(spark):
+    """Rows go to Python in small batches, whatever the session's own setting; a smaller one stays."""
+    from ledgerlake import session
+    from ledgerlake.llm import common
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def sizes(batches):
+        for part in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([part.num_rows])], ["id"])
+
+    def largest():
+        return common.in_tasks(spark.range(0, 5000, 1, 1), sizes, "id long").agg(F.max("id")).first()[0]
+
+    try:
+        spark.conf.set(name, "10000")
+        assert largest() == session.BATCH_ROWS
+        spark.conf.set(name, "100")
+        assert largest() == 100
+    finally:
+        spark.conf.unset(name)
+
+
 def test_language_edge_cases(spark):
     rows = [(1, "the dog and the cat"), (2, None), (3, ""), (4, "123 !?"), (5, "der hund und die katze"), (6, "the " * 40_000), (1, "the dog and the cat")]
     docs = clashing(spark.createDataFrame(rows, DOCS))
