@@ -244,7 +244,7 @@ def gini(labels: np.ndarray) -> float:
     return len(labels) * share * (1 - share)
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6) -> Tree:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8) -> Tree:
     """Split where the Gini impurity falls most; of equal splits the first feature wins."""
     tree = Tree(bool(labels.mean() >= 0.5) if len(labels) else False)
     best = gini(labels) - 1e-9
