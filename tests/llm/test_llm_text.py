@@ -86,6 +86,23 @@ def test_workers_let_the_last_model_go(spark):
     assert common.in_tasks(narrow, count, "id long").count() == 0
 
 
+def test_memory_of_the_last_model_goes_back():
+    """Also where something that is still used lies behind it."""
+    import os
+
+    from ledgerlake.llm import common
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    common.held("blocks", lambda: [b"x" * 50_000 for _ in range(2000)])
+    behind = b"y" * 50_000
+    full = resident()
+    common.let_go()
+    assert behind and full - resident() > 80_000_000
+
+
 def test_workers_get_small_batches(spark):
     """Rows go to Python in small batches, whatever the session's own setting; a smaller one stays."""
     from ledgerlake import session
