@@ -35,13 +35,15 @@ register(
 
 # Documents arrive in a monthly folder, some of them one or two days late.
 ARRIVAL = "date_add(last_day(d), cast(k % 3 as int))"
+FOLDERS = {"local_date": ARRIVAL, "node": "k % 2", "kind": "concat('logs-', k % 2)"}
+FILE_ROWS = 50_000  # of a compressed file, which one task reads whole
 RAW_DAY, RAW_SINCE = "2001-07-02", "2001-06-10"
 
 
 def _raw_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "raw")
-    documents = V.block_documents(spark, sf, f"{ARRIVAL} as local_date", "k % 2 as node", "'logs' as kind")
-    documents.repartition("local_date", "node").write.partitionBy("local_date", "node", "kind").text(root)
+    documents = V.block_documents(spark, sf, *FOLDERS, by=FOLDERS)
+    documents.write.partitionBy(*FOLDERS).option("maxRecordsPerFile", FILE_ROWS).text(root, compression="gzip")
     lines = readers.read_raw(spark, root, RAW_DAY, windows.Windows().raw, "*")
     return readers.scan(parse.envelope(lines), since=RAW_SINCE).drop("info")
 

@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -297,15 +297,19 @@ def part_count(spark: SparkSession, sf_dir: str) -> Column:
     return load(spark, sf_dir, "part").agg(F.count("*").alias("np")).scalar()
 
 
-def block_documents(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    """Raw documents in column ``info``.
+BY_KEY = {"_by": "k"}
+
+
+def block_documents(spark: SparkSession, sf_dir: str, *keep: str, by: Mapping[str, str] = BY_KEY) -> DataFrame:
+    """Raw documents in column ``info``; of the other columns those that ``keep`` names.
 
     The orders may come in few files; the small seed rows are spread before the
-    documents are built.
+    documents are built, over the columns of ``by`` and in their order, so that
+    no document has to be shuffled or sorted.
     """
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = load(spark, sf_dir, "orders").withColumn("np", part_count(spark, sf_dir))
-    seeds = orders.repartition(tasks, "o_orderkey").selectExpr(
+    seeds = orders.selectExpr(
         "np",
         "o_orderkey as k",
         "o_custkey as c",
@@ -314,7 +318,8 @@ def block_documents(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
         "datediff(to_date(o_orderdate), date'1970-01-01') * 86400L + (o_orderkey * 37) % 86400 as e",
         "to_date(o_orderdate) as d",
     )
-    return seeds.selectExpr(f"{_block_document()} as info", *keep)
+    spread = seeds.selectExpr("*", *[f"{key} as {name}" for name, key in by.items()]).repartition(tasks, *by)
+    return spread.sortWithinPartitions(*by).selectExpr(f"{_block_document()} as info", *keep)
 
 
 _STAGED: dict[tuple[str, str, str], str] = {}
