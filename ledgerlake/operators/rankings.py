@@ -73,6 +73,44 @@ def _pieces(start: Column, stop: Column) -> Column:
     return F.concat(*parts)
 
 
+# Tokens share this many rows of lower bounds, so that their table stays small however many tokens there are.
+BOUND_ROWS = 256
+
+
+def _bound_row() -> Column:
+    return F.pmod(F.xxhash64(TOKEN), F.lit(BOUND_ROWS)).cast("int")
+
+
+def _rounded(count: Column) -> Column:
+    """The count with its leading six bits, never more than the count: few values, however wide the counts."""
+    low = F.greatest(F.floor(F.log2(count)).cast("int") - 5, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", count, low), low)
+
+
+def _lower_bounds(steps: DataFrame, begin: Column, end: Column, k: int) -> DataFrame:
+    """One row, one list: per row of bounds and day from ``begin`` to ``end`` a count that the best ``k`` of every token reach.
+
+    How many addresses have a count on a day follows from the starts and ends of
+    the stretches alone, so they are added up before they are shuffled.
+    """
+    edges = F.inline(F.array(*[F.struct(F.col(at).alias("day"), F.lit(by).alias("by")) for at, by in (("start", 1), ("stop", -1))]))
+    changes = steps.select(TOKEN, _rounded(F.col("value_num")).alias("count"), edges)
+    changes = changes.groupBy(TOKEN, "count", "day").agg(F.sum("by").alias("by"))
+    in_time = Window.partitionBy(TOKEN, "count").orderBy("day")
+    held = changes.select(TOKEN, "count", "day", F.lead("day").over(in_time).alias("next"), F.sum("by").over(in_time).alias("n"))
+    each_day = F.explode(F.sequence("day", F.col("next") - 1)).alias("day")
+    held = held.where(F.col("n") > 0).select(TOKEN, "count", "n", each_day)
+    above = F.sum("n").over(Window.partitionBy(TOKEN, "day").orderBy(F.desc("count")))
+    reached = held.select(TOKEN, "day", F.when(above >= k, F.col("count")).otherwise(0).alias("least"))
+    least = reached.groupBy(TOKEN, "day").agg(F.max("least").alias("least")).select(_bound_row().alias("row"), "day", "least")
+    every = F.explode(F.sequence(F.unix_date(begin), F.unix_date(end))).alias("day")
+    grid = steps.sparkSession.range(BOUND_ROWS).select(F.col("id").cast("int").alias("row"), every, F.lit(None).cast("bigint").alias("least"))
+    filled = grid.unionByName(least).groupBy("row", "day").agg(F.coalesce(F.min("least"), F.lit(0)).alias("least"))
+    in_order = lambda *by: F.array_sort(F.collect_list(F.struct(*by)))
+    rows = filled.groupBy("row").agg(F.transform(in_order("day", "least"), lambda x: x["least"]).alias("bounds"))
+    return rows.agg(F.flatten(F.transform(in_order("row", "bounds"), lambda x: x["bounds"])).alias("bounds"))
+
+
 def top_participants_history(
     ledger: DataFrame,
     days_back: int = 0,
@@ -85,10 +123,11 @@ def top_participants_history(
 
     A day's participations enter the trailing window on the day and leave it
     ``days_back + 1`` days later, so an address has one running count, constant
-    between such days. Each constant stretch is cut into aligned spans of 1 to 32
-    days; of the addresses that cover a span only the best ``k`` can be among the
-    best of a day in it. What is left, at most ``k`` addresses a span, is laid out
-    day by day.
+    between such days. Stretches whose count is on none of their days among the
+    best ``k`` counts of the token go first. Each other stretch is cut into aligned
+    spans of 1 to 32 days; of the addresses that cover a span only the best ``k``
+    can be among the best of a day in it. What is left, at most ``k`` addresses a
+    span, is laid out day by day.
     """
     keys = ["customer_address", TOKEN]
     ledger = ledger.where(F.col(DATE).isNotNull())
@@ -100,7 +139,7 @@ def top_participants_history(
         ledger = ledger.where(between_days(ledger, DATE, reach, None if last is None else as_date(last)))
     number = F.unix_date(DATE)
     daily = participants(ledger, sides, [TOKEN, DATE]).groupBy(*keys, number.alias("day")).agg(F.count("*").alias("n"))
-    events = daily.select(
+    events = daily.repartition(*keys).select(
         *keys,
         F.inline(
             F.array(
@@ -117,6 +156,10 @@ def top_participants_history(
         F.sum("change").over(order).alias("value_num"),  # rows of one day count together
     )
     steps = steps.where((F.col("value_num") > 0) & (F.col("start") < F.col("stop")))
+    bounds = _lower_bounds(steps, begin, end, k).scalar()
+    first_day, days = F.unix_date(begin), F.unix_date(end) - F.unix_date(begin) + 1
+    at = _bound_row() * days + F.col("start") - first_day + 1
+    steps = steps.where(F.col("value_num") >= F.array_min(F.slice(bounds, at, F.col("stop") - F.col("start"))))
     spans = steps.select("value_num", *keys, F.inline(_pieces(F.col("start"), F.col("stop"))))
     best = [F.desc("value_num"), F.asc("customer_address")]
     spans = top_k(spans, [TOKEN, "level", "number"], best, k, ["customer_address"])
