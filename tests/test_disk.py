@@ -48,3 +48,12 @@ def test_raw_lines_are_kept_compressed(spark, small, written):
     near = dated.where("day between date'2001-06-30' and date'2001-07-02'")
     assert 0 < got <= near.count()
     assert 3 * size(spark, written["raw"]) < lines.agg(F.sum(F.octet_length("value"))).first()[0]
+
+
+@pytest.mark.parametrize("name", ["native_ledger", "movements", "block_rewards", "transfer_valid", "ledger_priced"])
+def test_documents_are_kept_once_and_no_text_of_them(spark, small, written, name):
+    catalog.QUERIES[name](spark, small).write.format("noop").mode("overwrite").save()
+    kept = {n: spark.read.parquet(path) for n, path in written.items() if n != "native-price"}
+    assert list(kept) == ["documents"]
+    assert "info" not in kept["documents"].columns
+    assert 6 * size(spark, written["documents"]) < V.block_documents(spark, small).agg(F.sum(F.octet_length("info"))).first()[0]
